@@ -9,9 +9,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ._columns import Arg, big, col, dbl, digits
+from ._columns import Arg, big, col, dbl, digits, idiv
 from .grid import coord_to_gid, grid_id_to_coord
 
+MAX_DEPTH = 9  # a 64-bit key has room for the leading 1 and nine cells
+
 
 def gchain_levels(base_size: int | float) -> int:
     """Refinements below a base cell: 2 for a base size of 1000."""
@@ -31,35 +33,27 @@ def to_gchain_key(
     The base cell itself is not part of the key.
     """
     size = float(base_size)
-    sizes = [size / 10**level for level in range(1, gchain_levels(base_size) + 1)]
-    corner = grid_id_to_coord(
-        coord_to_gid(x, y, x_min, y_min, x_max, y_max, size, size),
-        x_min, y_min, x_max, y_max, size, size,
-    )
-    start = F.struct(
-        corner["x"].alias("x"), corner["y"].alias("y"), F.lit(size).alias("size"),
-        F.when(corner["x"].isNotNull(), F.lit(1).cast("bigint")).alias("key"),
-    )
-
-    def refine(at: Column, cell_size: Column) -> Column:
-        # one axis at a time, from the corner: fractional bounds round as they do level by level
-        parts = []
-        for axis, value in (("x", dbl(x)), ("y", dbl(y))):
-            low = at[axis]
-            step = F.floor((value - low) / cell_size)
-            count = F.floor((low + at["size"] - low) / cell_size)
-            parts.append(F.when((step >= 0) & (step < count), step))
-        i, j = parts
-        cols = F.floor((at["x"] + at["size"] - at["x"]) / cell_size)
-        return F.struct(
-            (i * cell_size + at["x"]).alias("x"), (j * cell_size + at["y"]).alias("y"),
-            cell_size.alias("size"), (at["key"] * 100 + cols * j + i).alias("key"),
-        )
-
-    key = start["key"]
-    if sizes:
-        key = F.aggregate(F.array(*[F.lit(s) for s in sizes]), start, refine)["key"]
-    return F.coalesce(key, F.lit(-1).cast("bigint"))
+    levels = gchain_levels(base_size)
+    px, py = dbl(x), dbl(y)
+    base = coord_to_gid(px, py, x_min, y_min, x_max, y_max, size, size)
+    inside = base >= 0
+
+    def steps(value: Column, low: Column) -> list[Column]:
+        """Cell of each level along one axis, always counted from the cell corner above."""
+        corner = F.floor((value - low) / size) * size + low
+        found = []
+        for level in range(1, levels + 1):
+            step = F.floor((value - corner) / (size / 10**level))
+            corner = step * (size / 10**level) + corner
+            found.append(step)
+        return found
+
+    key = F.lit(1).cast("bigint")
+    for i, j in zip(steps(px, dbl(x_min)), steps(py, dbl(y_min))):
+        # rounding may put a point on fractional bounds just past the last cell
+        inside = inside & i.between(0, 9) & j.between(0, 9)
+        key = key * 100 + j * 10 + i
+    return F.when(inside, key).otherwise(F.lit(-1).cast("bigint"))
 
 
 def gchain_depth(key: Arg) -> Column:
@@ -101,25 +95,15 @@ def gchain_key_to_bounds(
     start = grid_id_to_coord(
         ref_id, ref_x_min, ref_y_min, ref_x_max, ref_y_max, ref_size, ref_size
     )
-    base = F.struct(
-        start["x"].alias("x"), start["y"].alias("y"), dbl(ref_size).alias("size")
-    )
-
-    def refine(at: Column, cell: Column) -> Column:
-        # the columns are counted from the rounded corners, so fractional bounds keep their cells
-        size = at["size"] / 10
-        cols = F.floor((at["x"] + at["size"] - at["x"]) / size)
-        rows = F.floor((at["y"] + at["size"] - at["y"]) / size)
-        known = cell.between(F.lit(0), cols * rows - 1)
-        return F.struct(
-            F.when(known, cell % cols * size + at["x"]).alias("x"),
-            F.when(known, F.floor(cell / cols) * size + at["y"]).alias("y"),
-            size.alias("size"),
-        )
-
-    at = F.aggregate(segment_gchain_key(key), base, refine)
+    corner_x, corner_y = start["x"], start["y"]
+    for level in range(1, MAX_DEPTH + 1):
+        cell = F.coalesce(gchain_segment(key, level), F.lit(0))
+        step = dbl(ref_size) / float(10**level)
+        corner_x = cell % 10 * step + corner_x
+        corner_y = idiv(cell, 10) * step + corner_y
+    size = dbl(ref_size) / F.pow(F.lit(10.0), gchain_depth(key))
     return F.struct(
         big(ref_id).alias("ref_id"), big(key).alias("gchain_key"),
-        at["x"].alias("x_min"), at["y"].alias("y_min"),
-        (at["x"] + at["size"]).alias("x_max"), (at["y"] + at["size"]).alias("y_max"),
+        corner_x.alias("x_min"), corner_y.alias("y_min"),
+        (corner_x + size).alias("x_max"), (corner_y + size).alias("y_max"),
     )

@@ -29,7 +29,8 @@ def build_session(master: str | None = None, app: str = "vesselmart", **conf: st
     if master:
         builder = builder.master(master)
         if master.startswith("local"):
-            builder = builder.config("spark.driver.bindAddress", "127.0.0.1")
+            for key in ("spark.driver.bindAddress", "spark.driver.host"):
+                builder = builder.config(key, "127.0.0.1")
     for key, value in {**SETTINGS, **{k.replace("__", "."): v for k, v in conf.items()}}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
