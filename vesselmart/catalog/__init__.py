@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from . import grids, keys
+from . import grids, keys, loads, shapes
 from .registry import ORACLES, QUERIES

@@ -39,12 +39,14 @@ def _smallest_per(df: DataFrame, key: tuple[str, ...]) -> DataFrame:
 def first_wins(
     rows: DataFrame, existing: DataFrame, unique: list[tuple[str, ...]]
 ) -> DataFrame:
-    """Rows an insert-or-ignore would take, going through them from the smallest up.
+    """Rows an insert-or-ignore would take.
 
     A row is left out if any unique key is already in ``existing`` or in a row
-    taken before it. (Null key parts do not conflict.)
+    taken before it. (Null key parts do not conflict.) With one unique key the
+    smallest row of each key is taken. With several, rows are gone through in
+    the order of a digest, so that rivalries do not form long chains and a few
+    rounds settle all of them.
     """
-    spark = rows.sparkSession
     columns = rows.columns
     if len(unique) == 1:
         fresh = rows.join(existing.select(*unique[0]), list(unique[0]), "left_anti")
@@ -53,36 +55,36 @@ def first_wins(
     def unclaimed(candidates: DataFrame, taken: DataFrame) -> DataFrame:
         for key in unique:
             candidates = candidates.join(taken.select(*key).distinct(), list(key), "left_anti")
-        return candidates.select(*columns)
+        return candidates.select(*columns, "__turn")
 
-    def keep(df: DataFrame, label: str) -> DataFrame:
-        path = scratch_dir(spark, label)
-        df.write.parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
-
-    left = keep(unclaimed(rows.distinct(), existing), "candidates")
+    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])
+    turn = F.struct(F.md5(text).alias("digest"), *columns)
+    left = _written(unclaimed(rows.distinct().withColumn("__turn", turn), existing))
     taken: list[DataFrame] = []
     while not left.isEmpty():
-        # a row that is the smallest under each of its keys meets no smaller rival
-        whole = F.struct(*columns)
-        ranked = left.withColumn("__whole", whole)
+        # a row that is first under each of its keys meets no earlier rival
+        ranked = left
+        sure = F.lit(True)
         for n, key in enumerate(unique):
-            best = left.groupBy(*key).agg(F.min(whole).alias(f"__best{n}"))
-            ranked = ranked.join(
-                best.withColumnsRenamed({k: f"__{n}{k}" for k in key}),
-                reduce(lambda a, b: a & b, (ranked[k] == F.col(f"__{n}{k}") for k in key)), "left",
+            best = left.groupBy(*[F.col(k).alias(f"__{n}{k}") for k in key]).agg(
+                F.min("__turn").alias(f"__best{n}")
             )
-        sure = reduce(
-            lambda a, b: a & b,
-            (
-                F.coalesce(F.col(f"__best{n}") == F.col("__whole"), F.lit(True))
-                for n in range(len(unique))
-            ),
-        )
-        winners = keep(ranked.filter(sure).select(*columns), "winners")
-        taken.append(winners)
-        left = keep(unclaimed(left.exceptAll(winners), winners), "candidates")
-    return reduce(DataFrame.unionAll, taken) if taken else left
+            same = reduce(lambda a, b: a & b, (ranked[k] == best[f"__{n}{k}"] for k in key))
+            ranked = ranked.join(best, same, "left")
+            first = F.coalesce(F.col(f"__best{n}") == F.col("__turn"), F.lit(True))
+            sure = sure & first
+        winners = _written(ranked.filter(sure).select(*columns, "__turn"))
+        taken.append(winners.select(*columns))
+        rest = left.join(winners.select("__turn"), "__turn", "left_anti")
+        left = _written(unclaimed(rest, winners))
+    return reduce(DataFrame.unionAll, taken) if taken else left.select(*columns)
+
+
+def _written(df: DataFrame) -> DataFrame:
+    """The same rows from a table in the shared folder, so that no lineage builds up."""
+    path = scratch_dir(df.sparkSession, "rivals")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def merge_smart(wh: Warehouse, batch_id: int, rows: DataFrame, dim: Dimension) -> None:
