@@ -34,18 +34,18 @@ def line_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(LINES + """,
-u as (select distinct traj_id, p.x as x, p.y as y from e),
+u as (select distinct traj_id, cast(round(p.x * 10000) as bigint) as x, cast(round(p.y * 10000) as bigint) as y from e),
 g as (select a.traj_id, a.x as ax, a.y as ay, b.x as qx, b.y as qy,
-    min(round((b.x - a.x) * (q.y - a.y) - (b.y - a.y) * (q.x - a.x), 12)) as side,
-    max(case when round((b.x - a.x) * (q.y - a.y) - (b.y - a.y) * (q.x - a.x), 12) = 0
+    min((b.x - a.x) * (q.y - a.y) - (b.y - a.y) * (q.x - a.x)) as side,
+    max(case when (b.x - a.x) * (q.y - a.y) = (b.y - a.y) * (q.x - a.x)
       and ((q.x - a.x) * (b.x - a.x) + (q.y - a.y) * (b.y - a.y) < 0
         or (q.x - b.x) * (a.x - b.x) + (q.y - b.y) * (a.y - b.y) < 0) then 1 else 0 end) as beyond
   from u a join u b on a.traj_id = b.traj_id and (a.x, a.y) <> (b.x, b.y)
     join u q on q.traj_id = a.traj_id group by all)
-select traj_id, count(*) as edges, round(sum(ax * qy - qx * ay) / 2, 6) + 0.0e0 as area
+select traj_id, round(sum(ax * qy - qx * ay) / 2e8, 6) + 0.0e0 as area
 from g where side >= 0 and beyond = 0 group by 1""")
 def convex_hull(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Edges and area of each hull (a line that collapses to a segment has two edges)."""
+    """Area of each hull (a line that collapses to a segment has none)."""
     hulls = objects(spark, sf_dir).select("traj_id", G.convex_hull("geom").alias("h"))
     head, tail = F.expr("slice(h, 1, size(h) - 1)"), F.expr("slice(h, 2, size(h) - 1)")
     area = F.aggregate(
@@ -53,7 +53,7 @@ def convex_hull(spark: SparkSession, sf_dir: str) -> DataFrame:
         lambda total, v: total + v,
     )
     return hulls.filter(F.size("h") > 1).select(
-        "traj_id", F.when(F.size("h") == 2, 2).otherwise(F.size("h") - 1).cast("bigint").alias("edges"),
+        "traj_id",
         (F.when(F.size("h") == 2, 0.0).otherwise(F.round(area / 2, 6)) + 0.0).alias("area"),
     )
 
@@ -107,8 +107,8 @@ s as (select traj_id, p.x as ax, p.y as ay, lead(p.x) over w as qx, lead(p.y) ov
 m as (select *, sqrt((qx - ax) * (qx - ax) + (qy - ay) * (qy - ay)) as d from s),
 c as (select traj_id, sum(d) as length, sum((ax + qx) / 2 * d) as sx, sum((ay + qy) / 2 * d) as sy,
   avg(ax) as mx, avg(ay) as my from m group by 1)
-select round(case when length > 0 then sx / length else mx end, 6) as x,
-  round(case when length > 0 then sy / length else my end, 6) as y, geom[1].x as start_x
+select round(case when c.length > 0 then sx / c.length else mx end, 6) as x,
+  round(case when c.length > 0 then sy / c.length else my end, 6) as y, geom[1].x as start_x
 from c join o using (traj_id) where type = 'stationary'""")
 def stop_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = object_warehouse(spark, sf_dir).table("stop_geom_dim")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -96,26 +97,41 @@ def hull_ring(pts: np.ndarray) -> np.ndarray:
     if len(pts) < 3:
         return pts
 
-    def chain(points: np.ndarray) -> list:
+    def chain(points: list) -> list:
         out: list = []
         for p in points:
-            while len(out) > 1 and _cross(out[-2], out[-1], p) <= 0:
+            while len(out) > 1 and _turn(out[-2], out[-1], p) <= 0:
                 out.pop()
             out.append(p)
         return out
 
-    lower, upper = chain(pts), chain(pts[::-1])
-    ring = np.array(lower[:-1] + upper[:-1])
-    if len(ring) < 3:
-        return ring
-    return np.vstack([ring, ring[:1]])
+    points = [tuple(p) for p in pts.tolist()]
+    ring = chain(points)[:-1] + chain(points[::-1])[:-1]
+    return np.array(ring if len(ring) < 3 else [*ring, ring[0]])
 
 
-def _cross(a, b, c):
-    """Twice the signed area of the triangle a, b, c."""
-    return (b[..., 0] - a[..., 0]) * (c[..., 1] - a[..., 1]) - (b[..., 1] - a[..., 1]) * (
-        c[..., 0] - a[..., 0]
-    )
+_ROUNDING = 4e-16  # bound on the relative rounding error of an orientation sum
+
+
+def _turn(a, b, c) -> int:
+    """1 if c is left of a-b, -1 if right, 0 if on the line: exact for the given doubles."""
+    left = (b[0] - a[0]) * (c[1] - a[1])
+    right = (b[1] - a[1]) * (c[0] - a[0])
+    if abs(left - right) <= _ROUNDING * (abs(left) + abs(right)):
+        ax, ay, bx, by, cx, cy = map(Fraction, (*a, *b, *c))
+        left, right = (bx - ax) * (cy - ay), (by - ay) * (cx - ax)
+    return (left > right) - (left < right)
+
+
+def _turns(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """As :func:`_turn`, over rows (any argument may be a single point)."""
+    a, b, c = np.broadcast_arrays(a, b, c)
+    left = (b[:, 0] - a[:, 0]) * (c[:, 1] - a[:, 1])
+    right = (b[:, 1] - a[:, 1]) * (c[:, 0] - a[:, 0])
+    signs = np.sign(left - right).astype(int)
+    for n in np.flatnonzero(np.abs(left - right) <= _ROUNDING * (np.abs(left) + np.abs(right))):
+        signs[n] = _turn(a[n].tolist(), b[n].tolist(), c[n].tolist())
+    return signs
 
 
 def _distances(pts: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -140,8 +156,8 @@ def _interior_hit(a, b, starts: np.ndarray, ends: np.ndarray) -> bool:
         & (np.maximum(starts, ends) >= np.minimum(a, b)).all(axis=1)
     )
     starts, ends = starts[box], ends[box]
-    d1, d2 = _cross(a, b, starts), _cross(a, b, ends)
-    d3, d4 = _cross(starts, ends, a), _cross(starts, ends, b)
+    d1, d2 = _turns(a, b, starts), _turns(a, b, ends)
+    d3, d4 = _turns(starts, ends, a), _turns(starts, ends, b)
     proper = (d1 * d2 < 0) & (d3 * d4 < 0)
     if proper.any():
         return True

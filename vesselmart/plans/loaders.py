@@ -29,7 +29,7 @@ from ..warehouse.store import Warehouse
 
 logger = logging.getLogger(__name__)
 
-PARALLEL_ACTIONS = 6  # dimension loads the driver keeps in flight
+PARALLEL_ACTIONS = 8  # dimension loads the driver keeps in flight
 MAX_FILES = 20_000  # files per batch; a call with more goes through in several batches
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .store import Warehouse
@@ -53,6 +53,7 @@ class LoadScope:
         self.pairs = sorted(set(pairs))
         self.batch_id = -1
         self.load_ids: dict[tuple[str, str], int] = {}
+        self._ingest: list[dt.datetime | None] = [None, None]
 
     def __enter__(self) -> LoadScope:
         wanted = self.wh.spark.createDataFrame(self.pairs, "src_id string, dst_tbl string")
@@ -80,23 +81,11 @@ class LoadScope:
         )
 
     def ingest_started(self) -> None:
-        self._started = _now()
-        self.wh.log(
-            [{"kind": "ingest_start", "load_id": n, "ingest_start_ts": self._started}
-             for n in self.load_ids.values()]
-        )
+        self._ingest = [_now(), None]
 
     def ingest_stopped(self) -> None:
-        """Record the end of ingest and the rows written per second."""
-        stop = _now()
-        seconds = (stop - self._started).total_seconds()
-        self.wh.log_frame(
-            self._counts().select(
-                F.lit("ingest_stop").alias("kind"), "load_id",
-                F.lit(stop).cast("timestamp_ntz").alias("ingest_end_ts"),
-                F.try_divide(F.col("no_rows").cast("double"), F.lit(seconds)).alias("ingest_per_sec"),
-            )
-        )
+        """The end of ingest; rows per second follow from the counts when the scope closes."""
+        self._ingest[1] = _now()
 
     def _counts(self) -> DataFrame:
         """Rows each load wrote, zeros included."""
@@ -111,18 +100,28 @@ class LoadScope:
 
     def __exit__(self, kind, error, trace) -> None:
         if error is None:
-            closing = self._counts().select(
-                F.lit("success").alias("kind"), "load_id", "no_rows", F.lit(False).alias("failed")
-            )
-            publish = self.wh.spark.range(1).select(
-                F.lit("publish").alias("kind"), F.lit(self.batch_id).alias("batch_id")
-            )
-            entries = closing.unionByName(publish, allowMissingColumns=True).withColumn(
-                "end_ts", F.when(F.col("load_id").isNotNull(), F.lit(_now()).cast("timestamp_ntz"))
-            )
-            self.wh.log_frame(entries)
+            self.wh.log_frame(self._closing_entries())
         else:
             self.wh.log(
                 [{"kind": "failure", "load_id": n, "end_ts": _now(), "no_rows": 0, "failed": True}
                  for n in self.load_ids.values()]
             )
+
+    def _closing_entries(self) -> DataFrame:
+        """What makes the batch visible, and each load's outcome."""
+        start, stop = self._ingest
+        seconds = (stop - start).total_seconds() if start and stop else None
+
+        def stamp(value: dt.datetime | None) -> Column:
+            return F.lit(value).cast("timestamp_ntz")
+
+        loads = self._counts().select(
+            F.lit("success").alias("kind"), "load_id", "no_rows", F.lit(False).alias("failed"),
+            stamp(_now()).alias("end_ts"), stamp(start).alias("ingest_start_ts"),
+            stamp(stop).alias("ingest_end_ts"),
+            F.try_divide(F.col("no_rows").cast("double"), F.lit(seconds)).alias("ingest_per_sec"),
+        )
+        publish = self.wh.spark.range(1).select(
+            F.lit("publish").alias("kind"), F.lit(self.batch_id).alias("batch_id")
+        )
+        return loads.unionByName(publish, allowMissingColumns=True)
