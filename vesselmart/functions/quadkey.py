@@ -119,8 +119,9 @@ def get_zxy(lon: Arg, lat: Arg, zoom: Arg) -> Column:
     rad = F.radians(dbl(lat))
     x = (dbl(lon) + 180.0) / 360.0 * n
     y = (F.lit(1.0) - F.ln(F.tan(rad) + F.lit(1.0) / F.cos(rad)) / math.pi) / 2.0 * n
+    # NaN compares above every number, so it fails the bound as well
     return F.when(
-        y.isNotNull() & ~F.isnan(y) & (F.abs(y) < 2.0**62),
+        (F.abs(x) < 2.0**62) & (F.abs(y) < 2.0**62),
         F.struct(z.alias("z"), x.cast("bigint").alias("x"), y.cast("bigint").alias("y")),
     )
 
