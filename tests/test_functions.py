@@ -126,6 +126,12 @@ def test_gchain_segments_and_bounds(spark):
     b = V.gchain_key_to_bounds("key", F.lit(17692581), *area, 1000)
     (got,) = rows(spark, [(16884,)], "key bigint", b)
     assert tuple(got[0]) == (17692581, 16884, 3133465, 4324355, 3133475, 4324365)
+    fixed = V.gchain_key_to_bounds("key", F.lit(17692581), *area, 1000, depth=2)
+    assert rows(spark, [(16884,)], "key bigint", fixed)[0][0] == got[0]
+    mixed = rows(spark, [(1,), (168,), (1688412,)], "key bigint", b["x_min"], b["x_max"])
+    assert mixed == [(3132625, 3133625), (3133425, 3133525), (3133467, 3133468)]
+    with pytest.raises(Exception, match="2 levels deep"):
+        rows(spark, [(168,)], "key bigint", fixed)
     # the point in the middle of those bounds has that key again
     key = V.to_gchain_key(F.lit(3133470), F.lit(4324360), *area, 1000)
     assert rows(spark, [(1,)], "one int", key)[0][0] == 16884

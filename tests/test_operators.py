@@ -53,9 +53,8 @@ def test_lookup_of_hot_and_null_keys(spark, how):
         "v bigint, k1 bigint, k2 string",
     )
     keys = {"a": "k1", "b": "k2"}
-    want = {
-        r.id: {(d.k1, d.k2): d.v for d in dim.collect()}.get((r.a, r.b)) for r in rows.collect()
-    }
+    known = {(d.k1, d.k2): d.v for d in dim.collect()}
+    want = {r.id: known.get((r.a, r.b)) for r in rows.collect()}
     if how == "inner":
         want = {k: v for k, v in want.items() if v is not None}
     for size in (0, 1 << 60):
@@ -220,7 +219,7 @@ def _jts_line(jvm, gw, pts):
 
 
 def _points(geometry):
-    return [(c.x, c.y) for c in geometry.getCoordinates()]
+    return [(c.getX(), c.getY()) for c in geometry.getCoordinates()]
 
 
 def test_shapes_against_jts(spark, jts):

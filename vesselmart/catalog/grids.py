@@ -186,7 +186,7 @@ from k where key > 0""")
 def gchain_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     ref = V.coord_to_gid("x", "y", *CHAIN_BOUNDS, 1000, 1000)
     keyed = chain_points(spark, sf_dir).withColumns({"key": chain_key(), "ref": ref})
-    bounds = V.gchain_key_to_bounds("key", "ref", *CHAIN_BOUNDS, 1000)
+    bounds = V.gchain_key_to_bounds("key", "ref", *CHAIN_BOUNDS, 1000, depth=2)
     return keyed.filter("key > 0").select("l_orderkey", "l_linenumber", bounds.alias("b")).select(
         "l_orderkey", "l_linenumber", "b.*"
     )

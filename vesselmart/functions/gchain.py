@@ -89,21 +89,40 @@ def assert_one_depth(key: Arg) -> Column:
 
 def gchain_key_to_bounds(
     key: Arg, ref_id: Arg, ref_x_min: Arg, ref_y_min: Arg, ref_x_max: Arg, ref_y_max: Arg,
-    ref_size: Arg,
+    ref_size: Arg, depth: int | None = None,
 ) -> Column:
-    """Struct(ref_id, gchain_key, x_min, y_min, x_max, y_max) of a key below a base cell."""
+    """Struct(ref_id, gchain_key, x_min, y_min, x_max, y_max) of a key below a base cell.
+
+    With ``depth``, every key must have that depth and only so many levels are
+    worked out; without it keys of any depth may be mixed.
+    """
+    k = big(key)
     start = grid_id_to_coord(
         ref_id, ref_x_min, ref_y_min, ref_x_max, ref_y_max, ref_size, ref_size
     )
     corner_x, corner_y = start["x"], start["y"]
-    for level in range(1, MAX_DEPTH + 1):
-        cell = F.coalesce(gchain_segment(key, level), F.lit(0))
+    if depth is None:
+        # the leading 1's place value; below it each level takes two places
+        scale = F.pow(F.lit(100.0), gchain_depth(k)).cast("bigint")
+    else:
+        fits = k.between(100**depth, 2 * 100**depth - 1)
+        k = F.when(fits, k).when(
+            k.isNotNull(), F.raise_error(F.lit(f"a key is not {depth} levels deep")).cast("bigint")
+        )
+    for level in range(1, (MAX_DEPTH if depth is None else depth) + 1):
+        if depth is None:
+            place = F.when(scale >= 100**level, idiv(scale, 100**level))
+            cell = F.coalesce(idiv(k, place) % 100, F.lit(0))
+        else:
+            cell = idiv(k, 100 ** (depth - level)) % 100
         step = dbl(ref_size) / float(10**level)
         corner_x = cell % 10 * step + corner_x
         corner_y = idiv(cell, 10) * step + corner_y
-    size = dbl(ref_size) / F.pow(F.lit(10.0), gchain_depth(key))
+    size = dbl(ref_size) / (
+        F.pow(F.lit(10.0), gchain_depth(k)) if depth is None else F.lit(10.0**depth)
+    )
     return F.struct(
-        big(ref_id).alias("ref_id"), big(key).alias("gchain_key"),
+        big(ref_id).alias("ref_id"), k.alias("gchain_key"),
         corner_x.alias("x_min"), corner_y.alias("y_min"),
         (corner_x + size).alias("x_max"), (corner_y + size).alias("y_max"),
     )

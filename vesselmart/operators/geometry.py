@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -97,40 +96,47 @@ def hull_ring(pts: np.ndarray) -> np.ndarray:
     if len(pts) < 3:
         return pts
 
-    def chain(points: list) -> list:
-        out: list = []
-        for p in points:
-            while len(out) > 1 and _turn(out[-2], out[-1], p) <= 0:
+    exact = _whole(pts.tolist())
+
+    def chain(order: range) -> list[int]:
+        out: list[int] = []
+        for n in order:
+            while len(out) > 1 and _turn(exact[out[-2]], exact[out[-1]], exact[n]) <= 0:
                 out.pop()
-            out.append(p)
+            out.append(n)
         return out
 
-    points = [tuple(p) for p in pts.tolist()]
-    ring = chain(points)[:-1] + chain(points[::-1])[:-1]
-    return np.array(ring if len(ring) < 3 else [*ring, ring[0]])
+    ring = chain(range(len(pts)))[:-1] + chain(range(len(pts) - 1, -1, -1))[:-1]
+    return pts[ring if len(ring) < 3 else [*ring, ring[0]]]
 
 
 _ROUNDING = 4e-16  # bound on the relative rounding error of an orientation sum
 
 
+def _whole(points: list) -> list[tuple[int, int]]:
+    """The points on a common whole-number scale, without rounding."""
+    ratios = [(x.as_integer_ratio(), y.as_integer_ratio()) for x, y in points]
+    scale = max(d for pair in ratios for _, d in pair)  # powers of two divide each other
+    return [(nx * (scale // dx), ny * (scale // dy)) for (nx, dx), (ny, dy) in ratios]
+
+
 def _turn(a, b, c) -> int:
-    """1 if c is left of a-b, -1 if right, 0 if on the line: exact for the given doubles."""
-    left = (b[0] - a[0]) * (c[1] - a[1])
-    right = (b[1] - a[1]) * (c[0] - a[0])
-    if abs(left - right) <= _ROUNDING * (abs(left) + abs(right)):
-        ax, ay, bx, by, cx, cy = map(Fraction, (*a, *b, *c))
-        left, right = (bx - ax) * (cy - ay), (by - ay) * (cx - ax)
+    """1 if c is left of a-b, -1 if right, 0 if on the line."""
+    left, right = (b[0] - a[0]) * (c[1] - a[1]), (b[1] - a[1]) * (c[0] - a[0])
     return (left > right) - (left < right)
 
 
 def _turns(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
-    """As :func:`_turn`, over rows (any argument may be a single point)."""
+    """As :func:`_turn`, over rows (any argument may be a single point).
+
+    Where rounding could hide the sign, it is worked out on whole numbers.
+    """
     a, b, c = np.broadcast_arrays(a, b, c)
     left = (b[:, 0] - a[:, 0]) * (c[:, 1] - a[:, 1])
     right = (b[:, 1] - a[:, 1]) * (c[:, 0] - a[:, 0])
     signs = np.sign(left - right).astype(int)
     for n in np.flatnonzero(np.abs(left - right) <= _ROUNDING * (np.abs(left) + np.abs(right))):
-        signs[n] = _turn(a[n].tolist(), b[n].tolist(), c[n].tolist())
+        signs[n] = _turn(*_whole([a[n].tolist(), b[n].tolist(), c[n].tolist()]))
     return signs
 
 
