@@ -142,21 +142,28 @@ def _turns(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
 
 def _distances(pts: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Distance of each point to the segment a-b."""
-    d = b - a
-    span = float(d @ d)
-    if span == 0:
-        return np.hypot(*(pts - a).T)
-    t = np.clip((pts - a) @ d / span, 0, 1)
-    return np.hypot(*(pts - (a + t[:, None] * d)).T)
+    d, v = b - a, pts - a
+    square = float(d @ d)
+    to_a = np.sqrt((v * v).sum(axis=1))
+    if square == 0:
+        return to_a
+    along = v @ d / square
+    to_b = np.sqrt(((pts - b) ** 2).sum(axis=1))
+    across = np.abs(v[:, 1] * d[0] - v[:, 0] * d[1]) / square * np.sqrt(square)
+    return np.where(along <= 0, to_a, np.where(along >= 1, to_b, across))
 
 
 def _interior_hit(a, b, starts: np.ndarray, ends: np.ndarray) -> bool:
-    """Does a-b meet one of the segments at a point inside either of the two?
+    """Is a-b one of the segments, or does it meet one at a point inside either of the two?
 
-    Sharing just an end point is no hit; nor is an equal segment.
+    Sharing just an end point is no hit.
     """
     if not len(starts):
         return False
+    forth = (starts == a).all(axis=1) & (ends == b).all(axis=1)
+    back = (starts == b).all(axis=1) & (ends == a).all(axis=1)
+    if (forth | back).any():
+        return True
     box = (
         (np.minimum(starts, ends) <= np.maximum(a, b)).all(axis=1)
         & (np.maximum(starts, ends) >= np.minimum(a, b)).all(axis=1)
@@ -186,12 +193,9 @@ def simplify_line(pts: np.ndarray, tolerance: float) -> np.ndarray:
     Sections are flattened as in the Douglas-Peucker method, but only if the new
     segment meets neither the line kept so far nor a section still to come.
     """
-    if len(pts) < 3:
-        return pts
-    pts = pts[np.r_[True, (pts[1:] != pts[:-1]).any(axis=1)]]
     n = len(pts)
     if n < 3:
-        return pts if n > 1 else np.vstack([pts, pts])
+        return pts
     starts, ends = pts[:-1], pts[1:]
     alive = np.ones(n - 1, dtype=bool)  # original segments not yet replaced
     flat: list[tuple[int, int]] = []  # segments that replaced a section
