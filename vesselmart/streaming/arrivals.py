@@ -8,6 +8,8 @@ from pyspark.sql.streaming.query import StreamingQuery
 from ..plans.loaders import load
 from ..warehouse.store import Warehouse
 
+FILE_ENTRY = "path string, modificationTime timestamp, length bigint, content binary"
+
 
 def load_arrivals(
     wh: Warehouse, folder: str, checkpoint: str, files_per_batch: int = 1000,
@@ -19,7 +21,7 @@ def load_arrivals(
     restart is turned away by the ledger.
     """
     stream = (
-        wh.spark.readStream.format("binaryFile").option("maxFilesPerTrigger", files_per_batch)
+        wh.spark.readStream.format("binaryFile").schema(FILE_ENTRY).option("maxFilesPerTrigger", files_per_batch)
         .load(folder).select("path")  # one row per file; the content column is not read
     )
 
