@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from vesselmart.operators import dimension as dims
 from vesselmart.operators.geometry import centroid, hull_ring, simplify_line
 from vesselmart.operators.ids import SequenceOverflow, number_rows
-from vesselmart.operators.lookup import HOT_SHARE, broadcast_limit, lookup
+from vesselmart.operators.lookup import HOT_SHARE, broadcast_limit, fits_broadcast, lookup
 from vesselmart.operators.merge import KeyConflict, first_wins
 from vesselmart.session import scratch_dir
 from vesselmart.sources import wkb
@@ -68,6 +68,7 @@ def test_lookup_of_hot_and_null_keys(spark, how):
 def test_hot_keys_are_few_by_construction(spark):
     assert HOT_SHARE <= 1024
     assert broadcast_limit(spark) == 10 << 20
+    assert fits_broadcast(spark, 2 << 20) and not fits_broadcast(spark, 3 << 20)
 
 
 def test_first_wins_is_a_greedy_choice(spark):

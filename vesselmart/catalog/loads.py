@@ -12,7 +12,7 @@ from ..operators.audit import audit
 from ..operators.ids import number_rows
 from ..operators.lookup import lookup, new_members
 from ..operators.merge import first_wins
-from ..plans.loaders import FACTS, load_dir
+from ..plans.loaders import FACTS
 from ..plans.maintenance import compact
 from ..plans.reports import ingest_rate as rates
 from ..plans.reports import rows_per_load
@@ -24,7 +24,7 @@ from ..sources.trajectories import REQUIRED, conformance, list_files
 from ..warehouse.schema import CONFIG_COLUMNS, MEASURES, TABLES
 from .registry import query
 from .sqltext import MEASURE_COLUMNS, OBJECTS, PINGS
-from .warehouses import object_warehouse, point_warehouse
+from .warehouses import load_again, object_warehouse, point_warehouse
 
 # the objects that are loaded, with the load that brought them
 LOADED = f"""
@@ -312,13 +312,8 @@ union all select 'vessel_dim', count(*) from (select distinct mmsi, imo from l)
 union all select 'traj_geom_dim', count(*) from l where type = 'in motion'""")
 def idempotent_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts after loading the same files once more."""
-    from ..warehouse.store import Warehouse
-
-    path = scratch_dir(spark, "objects")
-    folders = write_object_files(spark, sf_dir, path)
-    wh = Warehouse.create(spark, scratch_dir(spark, "warehouse"))
-    for folder in (*folders, *folders):
-        load_dir(wh, folder)
+    wh = object_warehouse(spark, sf_dir)
+    load_again(wh)
     names = ("ais_traj_fact", "ais_stop_fact", "vessel_dim", "traj_geom_dim")
     return reduce(
         DataFrame.unionAll,

@@ -19,6 +19,7 @@ from ..session import scratch_dir
 from ..warehouse.store import Warehouse
 
 _OPEN: dict[tuple[str, str, str], Warehouse] = {}
+_FOLDERS: dict[str, tuple[str, str]] = {}
 DEPTH = 8  # digits of the spatial partition key
 ZOOM = 24
 
@@ -31,10 +32,16 @@ def object_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
         wh = Warehouse.create(spark, scratch_dir(spark, "warehouse"))
         load_dir(wh, early)
         load_dir(wh, late)
-        _OPEN[key] = wh
+        _OPEN[key], _FOLDERS[wh.root] = wh, (early, late)
     return _OPEN[key]
 
 
+def load_again(wh: Warehouse) -> None:
+    """Offer the same files a second time."""
+    for folder in _FOLDERS[wh.root]:
+        load_dir(wh, folder)
+
+
 def point_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The reports as rows of the point fact; what they do not tell is a constant."""
     tile = get_zxy("lon", "lat", F.lit(ZOOM))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 HOT_SHARE = 256  # a key is hot from 1/256 of all rows on, so at most 256 keys are
 SALTS = 1024
+EXPANSION = 4  # memory a broadcast row takes against its compressed size on disk
 
 
 def broadcast_limit(spark: SparkSession) -> int:
@@ -23,6 +24,10 @@ def broadcast_limit(spark: SparkSession) -> int:
     return int(float(text[:-1]) * units[text[-1]]) if text[-1:] in units else int(text)
 
 
+def fits_broadcast(spark: SparkSession, disk_bytes: int) -> bool:
+    return disk_bytes * EXPANSION <= broadcast_limit(spark)
+
+
 def null_safe(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> Column:
     """Equality over (left, right) column names in which null equals null."""
     return reduce(
@@ -40,21 +45,22 @@ def new_members(candidates: DataFrame, existing: DataFrame, keys: list[str]) ->
 
 def lookup(
     df: DataFrame, dim: DataFrame, keys: dict[str, str], value: str, out: str, *,
-    dim_bytes: int, row_id: str, rows: int, how: str = "left",
+    dim_bytes: int, row_id: str, rows: int | None = None, how: str = "left",
 ) -> DataFrame:
     """Add the dimension's ``value`` as ``out``; ``keys`` maps df columns to dim columns.
 
-    ``dim_bytes`` is the dimension's size on disk, ``rows`` the length of ``df``
-    and ``row_id`` a column that is unique in it.
+    ``dim_bytes`` is the dimension's size on disk, ``row_id`` a column that is
+    (nearly) unique in ``df`` and ``rows`` its length, if that is known already.
     """
     spark = df.sparkSession
     renamed = {f"__key{n}": c for n, c in enumerate(keys.values())}
     small = dim.select(*[F.col(c).alias(k) for k, c in renamed.items()], F.col(value).alias("__value"))
     pairs = list(zip(keys, renamed))
-    if dim_bytes <= broadcast_limit(spark):
+    if fits_broadcast(spark, dim_bytes):
         found = df.join(F.broadcast(small), null_safe(df, small, pairs), how)
         return found.withColumn(out, F.col("__value")).drop(*renamed, "__value")
 
+    rows = df.count() if rows is None else rows
     counts = df.groupBy(*[F.col(a).alias(f"__hot_{k}") for a, k in pairs]).agg(
         F.count(F.lit(1)).alias("__n")
     ).filter(F.col("__n") * HOT_SHARE >= rows)

@@ -5,18 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.lookup import broadcast_limit
+from ..operators.lookup import lookup
 from ..warehouse.store import Warehouse
 from .loaders import FACTS, ObjectFact
 
 
 def _activity(wh: Warehouse, fact: ObjectFact) -> DataFrame:
     rows = wh.table(fact.table)
-    vessels = wh.table("vessel_dim").select("vessel_id", "mmsi")
     geometry = wh.table(fact.geometry.table).select("geom_id", "geom")
-    if wh.bytes("vessel_dim") <= broadcast_limit(wh.spark):
-        vessels = F.broadcast(vessels)
-    joined = rows.join(vessels, "vessel_id").join(geometry, "geom_id")
+    named = lookup(
+        rows, wh.table("vessel_dim"), {"vessel_id": "vessel_id"}, "mmsi", "mmsi",
+        dim_bytes=wh.bytes("vessel_dim"), row_id=fact.key, how="inner",
+    )
+    joined = named.join(geometry, "geom_id")
     shape = [c for c in rows.columns if c not in (fact.key, "load_id", "geom_id")]
     return joined.select("mmsi", F.lit(fact.object_type).alias("traj_type"), *shape, "geom")
 
