@@ -175,7 +175,10 @@ def gchain_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     keyed = chain_points(spark, sf_dir).withColumn("key", chain_key()).filter("key > 0")
     return keyed.select(
         "l_orderkey", "l_linenumber", F.posexplode(V.segment_gchain_key("key")).alias("n", "cell")
-    ).select("l_orderkey", "l_linenumber", (F.col("n") + 1).alias("level"), "cell")
+    ).select(
+        "l_orderkey", "l_linenumber", (F.col("n") + 1).alias("level"),
+        F.col("cell").cast("bigint").alias("cell"),
+    )
 
 
 @query(CHAIN + """

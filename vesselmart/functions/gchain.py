@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ._columns import Arg, big, col, dbl, digits, idiv
-from .grid import coord_to_gid, grid_id_to_coord
+from .grid import grid_id_to_coord
 
 MAX_DEPTH = 9  # a 64-bit key has room for the leading 1 and nine cells
 
@@ -32,30 +32,36 @@ def to_gchain_key(
 
     The base cell itself is not part of the key.
     """
-    size = float(base_size)
     levels = gchain_levels(base_size)
-    px, py = dbl(x), dbl(y)
-    base = coord_to_gid(px, py, x_min, y_min, x_max, y_max, size, size)
-    inside = base >= 0
-
-    def steps(value: Column, low: Column) -> list[Column]:
-        """Cell of each level along one axis, always counted from the cell corner above."""
-        corner = F.floor((value - low) / size) * size + low
-        found = []
-        for level in range(1, levels + 1):
-            step = F.floor((value - corner) / (size / 10**level))
-            corner = step * (size / 10**level) + corner
-            found.append(step)
-        return found
-
+    size = float(base_size)
     key = F.lit(1).cast("bigint")
-    for i, j in zip(steps(px, dbl(x_min)), steps(py, dbl(y_min))):
-        # rounding may put a point on fractional bounds just past the last cell
-        inside = inside & i.between(0, 9) & j.between(0, 9)
+    inside = F.lit(True)
+    axes = []
+    for value, low, high in ((dbl(x), x_min, x_max), (dbl(y), y_min, y_max)):
+        base = F.floor((value - dbl(low)) / size)
+        last = F.floor((dbl(high) - dbl(low)) / size) - 1
+        # an infinite value falls outside by itself, NaN would not
+        inside = inside & ~F.isnan(value) & base.between(F.lit(0), last)
+        axes.append(_steps(value, base * size + dbl(low), size, levels))
+    for i, j in zip(*axes):
         key = key * 100 + j * 10 + i
     return F.when(inside, key).otherwise(F.lit(-1).cast("bigint"))
 
 
+def _steps(value: Column, corner: Column, size: float, levels: int) -> list[Column]:
+    """Cell of each level along one axis, always counted from the cell corner above.
+
+    Rounding on fractional bounds cannot carry a value past its row of ten cells.
+    """
+    found = []
+    for level in range(1, levels + 1):
+        width = size / 10**level
+        step = F.greatest(F.lit(0), F.least(F.lit(9), F.floor((value - corner) / width)))
+        corner = step * width + corner
+        found.append(step)
+    return found
+
+
 def gchain_depth(key: Arg) -> Column:
     return ((F.length(digits(key)) - 1) / 2).cast("int")
 
