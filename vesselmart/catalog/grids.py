@@ -159,6 +159,11 @@ def chain_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def base_cell() -> Column:
+    """Cheaper to filter by than the key: a point has a key where it has a base cell."""
+    return V.coord_to_gid("x", "y", *CHAIN_BOUNDS, 1000, 1000)
+
+
 def chain_key() -> Column:
     return V.to_gchain_key("x", "y", *CHAIN_BOUNDS, 1000)
 
@@ -172,7 +177,7 @@ def gchain_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 select l_orderkey, l_linenumber, level, case level when 1 then key // 100 % 100 else key % 100 end as cell
 from k, (values (1), (2)) l(level) where key > 0""")
 def gchain_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    keyed = chain_points(spark, sf_dir).withColumn("key", chain_key()).filter("key > 0")
+    keyed = chain_points(spark, sf_dir).filter(base_cell() >= 0).withColumn("key", chain_key())
     return keyed.select(
         "l_orderkey", "l_linenumber", F.posexplode(V.segment_gchain_key("key")).alias("n", "cell")
     ).select(
@@ -187,10 +192,10 @@ select l_orderkey, l_linenumber, ref_id, key as gchain_key, 1599625.0e0 + dx //
   762685.0e0 + dy // 10 * 10 as y_max
 from k where key > 0""")
 def gchain_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ref = V.coord_to_gid("x", "y", *CHAIN_BOUNDS, 1000, 1000)
-    keyed = chain_points(spark, sf_dir).withColumns({"key": chain_key(), "ref": ref})
+    inside = chain_points(spark, sf_dir).filter(base_cell() >= 0)
+    keyed = inside.withColumns({"key": chain_key(), "ref": base_cell()})
     bounds = V.gchain_key_to_bounds("key", "ref", *CHAIN_BOUNDS, 1000, depth=2)
-    return keyed.filter("key > 0").select("l_orderkey", "l_linenumber", bounds.alias("b")).select(
+    return keyed.select("l_orderkey", "l_linenumber", bounds.alias("b")).select(
         "l_orderkey", "l_linenumber", "b.*"
     )
 
@@ -199,7 +204,7 @@ def gchain_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
 select l_orderkey, l_linenumber, key, key // 100 as parent, key // 10000 as root, key as same
 from k where key > 0""")
 def gchain_trim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    keyed = chain_points(spark, sf_dir).withColumn("key", chain_key()).filter("key > 0")
+    keyed = chain_points(spark, sf_dir).filter(base_cell() >= 0).withColumn("key", chain_key())
     return keyed.select(
         "l_orderkey", "l_linenumber", "key", V.gchain_trim_key("key", 1).alias("parent"),
         V.gchain_trim_key("key", 0).alias("root"), V.gchain_trim_key("key", 9).alias("same"),

@@ -30,7 +30,9 @@ def to_gchain_key(
 ) -> Column:
     """Key of the finest cell that holds the point, -1 outside the base grid.
 
-    The base cell itself is not part of the key.
+    The base cell itself is not part of the key. To keep only points inside,
+    filter by the base cell (``coord_to_gid``), which is far cheaper to evaluate
+    in a filter than the whole key.
     """
     levels = gchain_levels(base_size)
     size = float(base_size)
