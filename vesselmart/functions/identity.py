@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ._columns import Arg, big, col, digits, idiv
+from ._columns import Arg, big, digits, idiv
 
 # Service types by the digit that follows the identifier's prefix.
 COAST_BY_DIGIT = {
