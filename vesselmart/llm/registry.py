@@ -1,0 +1,23 @@
+"""Decorator that registers the training-data queries."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    """Register a function under its own name, with the SQL that checks it."""
+
+    def add(function: Query) -> Query:
+        QUERIES[function.__name__] = function
+        if sql:
+            ORACLES[function.__name__] = sql
+        return function
+
+    return add
