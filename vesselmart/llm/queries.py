@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chatwindows, parityjoin, pii, quality, urlratio, wordpieces
+from . import bpe, chatwindows, parityjoin, pii, quality, substrings, urlratio, wordpieces
 from .common import table
 from .registry import ORACLES, QUERIES, query
 
@@ -105,6 +105,12 @@ def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op8_difference_cover_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that earlier text repeats, and what remains."""
+    return substrings.deduplicate(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op9_parity_sketch_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate component of every document, by shingle similarity."""
