@@ -11,7 +11,7 @@ and broadcast: its size does not depend on the data.
 
 Defined results: null and empty texts give no ids and decode to an empty text;
 bytes that are no UTF-8 decode to U+FFFD; other columns pass through ``encode``
-and ``decode`` unchanged.
+and ``decode`` unchanged, but for one of the name that the result has.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -278,9 +279,8 @@ class Codec:
             out.append(b"".join(packed))
         return out
 
-    def decode(self, packed: bytes) -> str:
-        take = self.vocab.token_bytes.__getitem__
-        joined = b"".join(map(take, np.frombuffer(packed, "<u4").tolist()))
+    def decode(self, ids: np.ndarray) -> str:
+        joined = b"".join(map(self.vocab.token_bytes.__getitem__, ids.tolist()))
         return joined.decode("utf-8", "replace")
 
 
@@ -300,6 +300,16 @@ def _source(df: DataFrame, path: str):
         return df.sparkSession.sparkContext.broadcast(file.read())
 
 
+def _schema(df: DataFrame, out: str, kind: T.DataType) -> T.StructType:
+    kept = [f for f in df.schema.fields if f.name != out]
+    return T.StructType([*kept, T.StructField(out, kind)])
+
+
+def _with_column(batch: pa.RecordBatch, out: str, values: pa.Array) -> pa.RecordBatch:
+    kept = [n for n in batch.schema.names if n != out]
+    return pa.RecordBatch.from_arrays([*(batch.column(n) for n in kept), values], [*kept, out])
+
+
 def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids") -> DataFrame:
     """``df`` with the token ids of column ``text`` as an array of integers."""
     source = _source(df, path)
@@ -314,12 +324,9 @@ def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids") -> Da
                     pa.array(offsets, pa.int32()),
                     pa.array(np.frombuffer(b"".join(packed), "<u4").astype(np.int32)),
                 )
-                yield pa.RecordBatch.from_arrays([*part.columns, ids], [*part.schema.names, out])
+                yield _with_column(part, out, ids)
 
-    if out in df.columns:
-        raise ValueError(f"column {out} exists")
-    schema = T.StructType([*df.schema.fields, T.StructField(out, T.ArrayType(T.IntegerType()))])
-    return df.mapInArrow(work, schema)
+    return df.mapInArrow(work, _schema(df, out, T.ArrayType(T.IntegerType())))
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -329,17 +336,14 @@ def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") ->
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(source.value)
         for batch in batches:
-            decoded = [
-                codec.decode(np.array(x or [], "<u4").tobytes()) for x in batch.column(ids).to_pylist()
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(decoded, pa.string())], [*batch.schema.names, out]
-            )
+            lists = batch.column(ids)
+            sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+            flat = lists.flatten().to_numpy(zero_copy_only=False).astype("<u4")
+            ends = np.cumsum(sizes)
+            decoded = [codec.decode(flat[e - n:e]) for e, n in zip(ends.tolist(), sizes.tolist())]
+            yield _with_column(batch, out, pa.array(decoded, pa.string()))
 
-    if out in df.columns:
-        raise ValueError(f"column {out} exists")
-    schema = T.StructType([*df.schema.fields, T.StructField(out, T.StringType())])
-    return df.mapInArrow(work, schema)
+    return df.mapInArrow(work, _schema(df, out, T.StringType()))
 
 
 DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -359,7 +363,10 @@ def round_trip(df: DataFrame, path: str) -> DataFrame:
                         part.column("doc_id").cast(pa.int64()),
                         pa.array([len(p) // 4 for p in packed], pa.int64()),
                         pa.array([hashlib.sha256(p).hexdigest() for p in packed]),
-                        pa.array([hashlib.sha256(codec.decode(p).encode()).hexdigest() for p in packed]),
+                        pa.array([
+                            hashlib.sha256(codec.decode(np.frombuffer(p, "<u4")).encode()).hexdigest()
+                            for p in packed
+                        ]),
                     ],
                     ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
                 )

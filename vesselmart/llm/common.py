@@ -55,3 +55,20 @@ def word_array(text: Column) -> Column:
     """Words of a text in order, as an array; null gives an empty array."""
     words = F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+")
     return F.array_remove(words, "")
+
+
+#: Most rows of ids that are broadcast, counted before each join.
+FEW_IDS = 500_000
+
+
+def without_ids(documents: DataFrame, ids: DataFrame) -> DataFrame:
+    """``documents`` but for the rows whose ``doc_id`` is in ``ids``, nulls included.
+
+    The ids are written first. Up to ``FEW_IDS`` of them are broadcast, so that
+    texts are not shuffled; more are joined by a shuffle.
+    """
+    ids = materialised(ids.select("doc_id").distinct(), "ids").withColumnRenamed("doc_id", "gone_id")
+    few = ids.limit(FEW_IDS + 1).count() <= FEW_IDS
+    return documents.join(
+        F.broadcast(ids) if few else ids, documents["doc_id"].eqNullSafe(F.col("gone_id")), "left_anti"
+    )

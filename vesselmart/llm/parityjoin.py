@@ -49,7 +49,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import by_bytes, materialised, texts
+from .common import by_bytes, materialised, texts, without_ids
 from .components import components
 from .shingles import mix, shingle_sets
 
@@ -100,6 +100,15 @@ def _keys(
     return key[taken], owner[taken]
 
 
+def _nodes(value: np.ndarray, sizes: np.ndarray) -> list[int | None]:
+    """A number for each set, the same for equal sets; none for an empty one."""
+    ends = np.cumsum(sizes)
+    return [
+        xxhash.xxh3_64_intdigest(value[e - n:e].tobytes(), n) - (1 << 63) if n else None
+        for e, n in zip(ends.tolist(), sizes.tolist())
+    ]
+
+
 def _signatures(part: pa.RecordBatch) -> pa.RecordBatch:
     value, sizes = shingle_sets(texts(part, "text"))
     rows = len(sizes)
@@ -116,12 +125,7 @@ def _signatures(part: pa.RecordBatch) -> pa.RecordBatch:
     bit = (mix(value ^ np.uint64(0xD1342543DE82EF95)) >> np.uint64(54)).astype(np.int64)
     parity = np.bincount(text * BITS + bit, minlength=rows * BITS) & 1
     sketch = np.packbits(parity.astype(np.uint8)).view(np.int64).reshape(rows, LONGS)
-    ends = np.cumsum(sizes)
-    node = [
-        xxhash.xxh3_64_intdigest(value[e - n:e].tobytes(), n) if n else None
-        for e, n in zip(ends.tolist(), sizes.tolist())
-    ]
-    node = [None if h is None else h - (1 << 63) for h in node]
+    node = _nodes(value, sizes)
     offsets = np.concatenate([[0], np.cumsum(per)])
     keys = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(key.view(np.int64)))
     return pa.RecordBatch.from_arrays(
@@ -240,13 +244,15 @@ def _linked(table: pa.Table) -> pa.Table:
     order = np.argsort(~centre, kind="stable")
     sets, sizes = shingle_sets([t or "" for t in table.column("text").take(pa.array(order)).to_pylist()])
     ends = np.cumsum(sizes)
-    first = sets[:sizes[0]]
     node = table.column("node").to_numpy()[order]
+    # where rows share an id, those with another text are not meant
+    meant = [k for k, n in enumerate(_nodes(sets, sizes)) if n == node[k]]
     a, b = [], []
-    for k in range(1, len(order)):
+    first = sets[ends[meant[0]] - sizes[meant[0]]:ends[meant[0]]] if meant else sets
+    for k in meant[1:]:
         both = len(np.intersect1d(first, sets[ends[k] - sizes[k]:ends[k]], assume_unique=True))
-        if 100 * both >= 80 * (sizes[0] + sizes[k] - both):
-            a.append(node[0])
+        if 100 * both >= 80 * (len(first) + sizes[k] - both):
+            a.append(node[meant[0]])
             b.append(node[k])
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
@@ -272,7 +278,7 @@ def verified(pairs: DataFrame, members: DataFrame, documents: DataFrame) -> Data
 def link(documents: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``documents(doc_id, text)``.
 
-    Ids must be distinct for documents to be told apart when texts are compared.
+    A component's id is the least of its rows, null only if all are null.
     """
     signed = materialised(signatures(documents), "signatures")
     shared = materialised(shared_keys(signed), "shared")
@@ -299,6 +305,16 @@ def link(documents: DataFrame) -> DataFrame:
 
 
 def representatives(documents: DataFrame) -> DataFrame:
-    """``documents`` with one row of each component, the one of the least id."""
-    kept = link(documents).filter("doc_id = component_id").select("doc_id")
-    return documents.join(kept, "doc_id", "left_semi")
+    """``documents`` with one row of each component, one of the least id.
+
+    Of repeated ids only one row stays where their texts are equal.
+    """
+    linked = link(documents)
+    ids = documents.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    again = materialised(ids.select("doc_id"), "ids")
+    kept = without_ids(documents, linked.filter("doc_id <> component_id"))
+    if again.isEmpty():
+        return kept
+    single = without_ids(kept, again)
+    same = kept["doc_id"].eqNullSafe(again["doc_id"])
+    return single.unionByName(kept.join(again, same, "left_semi").dropDuplicates(["doc_id", "text"]))

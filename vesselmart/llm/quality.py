@@ -31,7 +31,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialised, word_array
+from .common import materialised, without_ids, word_array
 
 FEATURES = ("log_words", "word_length", "symbols", "dup_lines", "repeated", "capitals")
 #: Least standard deviation of each statistic, so that one that is constant
@@ -285,11 +285,6 @@ def judge(documents: DataFrame, cut: float = CUT) -> DataFrame:
 
 
 def keep(documents: DataFrame, cut: float = CUT) -> DataFrame:
-    """``documents`` without those rejected, all columns kept.
-
-    Documents are matched by ``doc_id``; rows that share one are kept or go
-    each by a verdict of its own, so give rows distinct ids (null ids are kept
-    out of the result).
-    """
-    verdicts = judge(documents, cut).filter("kept").select("doc_id")
-    return documents.join(verdicts, "doc_id", "left_semi")
+    """``documents`` without those rejected, all columns kept; rows that share an
+    id go together if one of them is rejected."""
+    return without_ids(documents, judge(documents, cut).filter("NOT kept"))

@@ -9,7 +9,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chatwindows, parityjoin, pii, quality, substrings, urlratio, wordpieces
+from . import (
+    bpe, chatwindows, decontaminate, pairrank, parityjoin, pii, quality, substrings, urlratio,
+    wordpieces,
+)
 from .common import table
 from .registry import ORACLES, QUERIES, query
 
@@ -97,6 +100,12 @@ def op4_word_piece_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op5_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from preference pairs."""
+    return pairrank.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query()
 def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids of every document, and what they decode to."""
@@ -105,6 +114,12 @@ def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op7_benchmark_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a passage of a benchmark item, with the item."""
+    return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query()
 def op8_difference_cover_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that earlier text repeats, and what remains."""
