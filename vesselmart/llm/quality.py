@@ -79,7 +79,7 @@ def base(documents: DataFrame) -> DataFrame:
     # windows found twice, in the order of their hash; most documents have none
     placed = F.when(
         F.size(F.array_distinct("windows")) < F.size("windows"),
-        F.array_sort(
+        F.sort_array(
             F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i")))
         ),
     ).otherwise(F.array().cast("array<struct<h:bigint,i:int>>"))
@@ -89,7 +89,7 @@ def base(documents: DataFrame) -> DataFrame:
         same = [F.coalesce(F.get("placed", k + d)["h"] == x["h"], F.lit(False)) for d in (-1, 1)]
         return same[0] | same[1]
 
-    starts = F.array_sort(F.transform(F.filter("placed", twin), lambda x: x["i"]))
+    starts = F.sort_array(F.transform(F.filter("placed", twin), lambda x: x["i"]))
     df = df.withColumn("starts", starts).drop("placed")
     covered = F.aggregate(
         F.transform(
@@ -131,9 +131,12 @@ def _quantile(p: float, half: int) -> float:
     return low
 
 
-def _join_groups(df: DataFrame, groups: DataFrame, on: list[str]) -> DataFrame:
-    """Join one row a group; broadcast only what has been counted."""
-    few = groups.limit(FEW_GROUPS + 1).count() <= FEW_GROUPS
+def _few(groups: DataFrame) -> bool:
+    return groups.limit(FEW_GROUPS + 1).count() <= FEW_GROUPS
+
+
+def _join_groups(df: DataFrame, groups: DataFrame, on: list[str], few: bool) -> DataFrame:
+    """Join one row a group; broadcast only if the groups were counted to be few."""
     return df.join(F.broadcast(groups) if few else groups, on)
 
 
@@ -147,7 +150,7 @@ def _with_group(df: DataFrame) -> DataFrame:
         F.col("n") >= MIN_GROUP, F.to_json(F.struct("lang_key", "source_key"))
     ).when(F.col("rest") >= MIN_GROUP, F.to_json(F.struct("lang_key"))).otherwise(F.lit("all"))
     groups = materialised(sized.select("lang_key", "source_key", pool.alias("pool")), "pools")
-    return _join_groups(df, groups, ["lang_key", "source_key"])
+    return _join_groups(df, groups, ["lang_key", "source_key"], _few(groups))
 
 
 def _params(sums: DataFrame, factor: float) -> DataFrame:
@@ -172,10 +175,10 @@ def _params(sums: DataFrame, factor: float) -> DataFrame:
     return df.select("pool", *[f"m{i}" for i in range(P)], *[f"l{i}_{j}" for i, j in PAIRS])
 
 
-def _distance(df: DataFrame, params: DataFrame) -> DataFrame:
+def _distance(df: DataFrame, params: DataFrame, few: bool) -> DataFrame:
     """``df`` with the squared Mahalanobis distance ``d2`` from its pool."""
     kept = df.columns
-    df = _join_groups(df, params, ["pool"])
+    df = _join_groups(df, params, ["pool"], few)
     total = F.lit(0.0)
     for i in range(P):
         y = F.col(FEATURES[i]) - F.col(f"m{i}")
@@ -240,19 +243,19 @@ def _bin(d2: Column) -> Column:
     return F.floor(F.log2(F.greatest(d2, F.lit(1e-3))) * 32)
 
 
-def robust_params(df: DataFrame) -> DataFrame:
+def robust_params(df: DataFrame, few: bool) -> DataFrame:
     """Centre and Cholesky factor of each pool by minimum covariance determinant."""
     params = materialised(_start(df), "mcd")
     half = P // 2
     middle = _quantile(0.5, half)
     for _ in range(STEPS):
-        near = _distance(df, params).withColumn("bin", _bin(F.col("d2")))
+        near = _distance(df, params, few).withColumn("bin", _bin(F.col("d2")))
         limits = materialised(_quantile_bins(near, ["pool"], (0.5,)), "mcd")
-        inside = _join_groups(near, limits, ["pool"]).filter(F.col("bin") <= F.col("q0"))
+        inside = _join_groups(near, limits, ["pool"], few).filter(F.col("bin") <= F.col("q0"))
         # the covariance of the nearer half of a normal sample, scaled to the whole
         params = materialised(_params(_sums(inside), 0.5 / _chi_square(middle, half + 1)), "mcd")
     edge = _quantile(0.975, half)
-    inside = _distance(df, params).filter(F.col("d2") <= edge)
+    inside = _distance(df, params, few).filter(F.col("d2") <= edge)
     return materialised(_params(_sums(inside), 0.975 / _chi_square(edge, half + 1)), "mcd")
 
 
@@ -269,11 +272,14 @@ def judge(documents: DataFrame, cut: float = CUT) -> DataFrame:
     failed = rows.filter("base_failed").withColumn("distance", F.lit(None).cast("double"))
     sound = rows.filter("NOT base_failed")
     pooled = materialised(_with_group(sound), "pooled")
-    large = pooled.groupBy("pool").agg(F.count(F.lit(1)).alias("size"))
-    params = robust_params(pooled)
-    judged = _distance(pooled, materialised(params.join(large.filter(F.col("size") >= MIN_GROUP), "pool").drop("size"), "mcd"))
-    # pools too small for an estimate have no row there
-    rest = _join_groups(pooled, large.filter(F.col("size") < MIN_GROUP), ["pool"]).withColumn("d2", F.lit(None).cast("double"))
+    sizes = materialised(pooled.groupBy("pool").agg(F.count(F.lit(1)).alias("size")), "pools")
+    few = _few(sizes)
+    params = robust_params(pooled, few)
+    # pools too small for an estimate get no row here, and so no distance
+    params = params.join(sizes.filter(F.col("size") >= MIN_GROUP).select("pool"), "pool")
+    judged = _distance(pooled, params, few)
+    rest = _join_groups(pooled, sizes.filter(F.col("size") < MIN_GROUP).drop("size"), ["pool"], few)
+    rest = rest.withColumn("d2", F.lit(None).cast("double"))
     columns = [
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
     ]
