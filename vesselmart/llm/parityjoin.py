@@ -59,7 +59,7 @@ LONGS = BITS // 64
 COMBINED = 1 << 20
 #: Most sets compared with a centre in one group.
 MEMBERS = 64
-#: Most rows of (document, group) that are broadcast to the scan of the texts.
+#: Most rows of a table counted to be small that are broadcast.
 BROADCAST_ROWS = 500_000
 SIGNATURE = (
     "doc_id long, n_shingles long, node long, keys array<long>, "
@@ -298,8 +298,12 @@ def link(documents: DataFrame) -> DataFrame:
     rows = signed.select("doc_id", "n_shingles", "node").join(roots, "node", "left")
     # a document without shingles is a component of its own
     rows = rows.select("doc_id", "n_shingles", F.coalesce("root", "node").alias("root"))
-    first = rows.filter("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return rows.join(first, "root", "left").select(
+    first = rows.filter("root IS NOT NULL").groupBy("root").agg(
+        F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("size")
+    )
+    first = materialised(first.filter("size > 1").drop("size"), "components")
+    small = first.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    return rows.join(F.broadcast(first) if small else first, "root", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
     )
 
