@@ -285,8 +285,9 @@ def _firsts(documents: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Whole digests with a mark on copies; the documents without copies before them."""
     whole = materialised(_whole(documents), "whole")
     first = whole.groupBy("digest", "n_words").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
-    several = first.filter("n > 1").drop("n")
-    copies = whole.select("doc_id", "digest", "n_words").join(several, ["digest", "n_words"])
+    several = materialised(first.filter("n > 1").drop("n"), "copied")
+    listed = F.broadcast(several) if _few(several) else several
+    copies = whole.select("doc_id", "digest", "n_words").join(listed, ["digest", "n_words"])
     copies = materialised(copies.filter("doc_id <> first_id").select("doc_id"), "copies")
     text = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     small = _few(copies)
