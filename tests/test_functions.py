@@ -183,7 +183,9 @@ def test_quadkey_widths(spark):
     data = [("11",), ("",), (None,), ("1x1",), ("3" * 8,)]
     got = rows(
         spark, data, "q string", V.quadkey_bit_encode("q"), V.quadkey_int16_encode("q"),
-        V.quadkey_uint16_encode("q"), V.quadkey_int32_encode("q"), V.quadkey_to_int("q"),
+        V.quadkey_uint16_encode("q"), V.quadkey_int32_encode("q"),
+        # other characters are skipped by the encoders and refused here
+        V.quadkey_to_int(F.when(F.col("q") != "1x1", F.col("q"))),
     )
     assert got[0] == ("0101", 5, 5, 5, 5)
     assert got[1] == (None, None, None, None, 0)
@@ -293,3 +295,37 @@ def test_modulo(spark):
     data = [(7.0, 3.0), (-7.0, 3.0), (7.0, -3.0), (None, 3.0)]
     got = rows(spark, data, "a double, b double", V.modulo("a", "b"))
     assert [g[0] for g in got] == [1.0, 2.0, -2.0, None]
+
+
+@pytest.mark.parametrize("bad", ["1239", "12x3", "a", "1 2"])
+def test_a_key_with_other_characters_is_an_error(spark, bad):
+    df = spark.createDataFrame([(bad,)], "q string")
+    for column in (V.quadkey_to_int("q"), V.compute_qkey_range("q")["lo"]):
+        with pytest.raises(Exception, match="not a quadkey"):
+            df.select(column).collect()
+
+
+def test_no_digits_at_depth_zero(spark):
+    row = spark.range(1).select(
+        V.int_to_quadkey(F.lit(5), F.lit(0)).alias("a"), V.quadkey_to_int(F.lit("")).alias("b")
+    ).first()
+    assert (row.a, row.b) == (None, 0)
+
+
+def test_whole_number_modulo_is_exact(spark):
+    pairs = [(2**62 + 1, 7), (-(2**62) - 1, 7), (5, -3), (-5, 3), (6, 3), (-6, -4), (0, 5)]
+    df = spark.createDataFrame(pairs, "a bigint, b bigint")
+    got = [r.m for r in df.select(V.modulo_int("a", "b").alias("m")).collect()]
+    assert got == [a % b for a, b in pairs]
+
+
+def test_chain_key_grows_with_its_levels(spark):
+    df = spark.range(1)
+    sizes = []
+    for levels in range(1, 10):
+        key = V.to_gchain_key(F.lit(5.0), F.lit(7.0), 0, 0, 1e12, 1e12, 10 ** (levels + 1))
+        sizes.append(len(df.select(key)._jdf.queryExecution().analyzed().toString()))
+    steps = [b - a for a, b in zip(sizes, sizes[1:])]
+    assert max(steps) <= 1.5 * min(steps)
+    with pytest.raises(ValueError, match="room for 9 levels"):
+        V.to_gchain_key(F.lit(5.0), F.lit(7.0), 0, 0, 1e12, 1e12, 10**11)

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from vesselmart.operators import dimension as dims
 from vesselmart.operators.geometry import centroid, hull_ring, simplify_line
 from vesselmart.operators.ids import SequenceOverflow, number_rows
-from vesselmart.operators.lookup import HOT_SHARE, broadcast_limit, fits_broadcast, lookup
+from vesselmart.operators.expanders import expand_time_ids
+from vesselmart.operators.lookup import HOT_KEYS, broadcast_limit, fits_broadcast, lookup
 from vesselmart.operators.merge import KeyConflict, first_wins
 from vesselmart.session import scratch_dir
 from vesselmart.sources import wkb
@@ -59,14 +60,61 @@ def test_lookup_of_hot_and_null_keys(spark, how):
         want = {k: v for k, v in want.items() if v is not None}
     for size in (0, 1 << 60):
         out = lookup(
-            rows, dim, keys, "v", "found", dim_bytes=size, row_id="id", rows=6000, how=how
+            rows, dim, keys, "v", "found", dim_bytes=size, row_id="id", how=how
         )
         assert {r.id: r.found for r in out.collect()} == want
         assert out.columns == ["id", "a", "b", "found"]
 
 
+def _far(spark, rows, key, counted=None):
+    """A look-up of ``key`` in a dimension beyond the broadcast limit that lacks key 7."""
+    dim = spark.range(900).filter("id <> 7").select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    return lookup(
+        rows, dim, {key: "k"}, "v", f"found_{key}", dim_bytes=1 << 60, row_id="id", counted=counted
+    )
+
+
+def test_salt_is_part_of_the_partitioning(spark):
+    rows = spark.range(1000).withColumn("a", F.col("id") % 9)
+    plan = _far(spark, rows, "a")._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "__salt" in line]
+    assert exchanges and "SortMergeJoin" in plan
+
+
+def test_hot_key_spreads_though_the_dimension_lacks_it(spark):
+    rows = spark.range(20_000).withColumn("a", F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id") % 900))
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        sizes = sorted(
+            r["count"] for r in _far(spark, rows, "a").groupBy(F.spark_partition_id()).count().collect()
+        )
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
+    assert len(sizes) == 8 and sizes[-1] <= 2 * sizes[4]
+
+
+def test_chain_of_lookups_grows_linearly(spark):
+    base = spark.range(100).selectExpr("id", *[f"id % {n + 3} AS c{n}" for n in range(5)])
+    joins, rows = [], base
+    for n in range(5):
+        rows = _far(spark, rows, f"c{n}", counted=base)
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        joins.append(plan.count("Join "))
+    steps = {b - a for a, b in zip(joins, joins[1:])}
+    assert len(steps) == 1
+
+
+def test_impossible_time_of_day(spark):
+    df = spark.createDataFrame([(996199,)], "time_id bigint")
+    with pytest.raises(Exception):
+        expand_time_ids(df, {"time_id": "time_id"}).collect()
+
+
 def test_hot_keys_are_few_by_construction(spark):
-    assert HOT_SHARE <= 1024
+    assert HOT_KEYS <= 1024
     assert broadcast_limit(spark) == 10 << 20
     assert fits_broadcast(spark, 2 << 20) and not fits_broadcast(spark, 3 << 20)
 
@@ -126,7 +174,7 @@ def test_surrogate_merge(spark, wh):
     _load(wh, changed, dims.VESSEL)
     got = wh.table("vessel_dim").orderBy("vessel_id").collect()
     assert [(r.vessel_id, r.mmsi, r.imo, r.mid) for r in got] == [(1, 1, 5, 1), (2, 2, None, 1), (3, 2, 7, 1)]
-    found = dims.attach_surrogate(wh, None, changed, dims.VESSEL, {}, row_id="mmsi", rows=3)
+    found = dims.attach_surrogate(wh, None, changed, dims.VESSEL, {}, row_id="mmsi")
     assert sorted((r.mmsi, r.imo or 0, r.vessel_id) for r in found.collect()) == [(1, 5, 1), (2, 0, 2), (2, 7, 3)]
 
 
@@ -153,7 +201,7 @@ def test_float_keys(spark, wh):
     for _ in range(2):
         _load(wh, df, dims.VESSEL_CONFIG)
     assert wh.count("vessel_config_dim") == 3
-    found = dims.attach_surrogate(wh, None, df, dims.VESSEL_CONFIG, {}, row_id="length", rows=4)
+    found = dims.attach_surrogate(wh, None, df, dims.VESSEL_CONFIG, {}, row_id="length")
     assert found.filter("vessel_config_id IS NULL").isEmpty() and found.count() == 4
 
 
@@ -162,7 +210,7 @@ def test_roles_share_a_dimension(spark, wh):
     roles = [{"org_msg": "s", "destination_id": "s_id"}, {"org_msg": "e", "destination_id": "e_id"}]
     _load(wh, df, dims.DESTINATION, roles)
     for role in roles:
-        df = dims.attach_surrogate(wh, None, df, dims.DESTINATION, role, row_id="n", rows=2)
+        df = dims.attach_surrogate(wh, None, df, dims.DESTINATION, role, row_id="n")
     assert sorted(map(tuple, df.collect())) == [(1, "A", "B", 2, 3), (2, "B", "unknown", 3, 1)]
 
 
@@ -268,3 +316,18 @@ def test_wkb_both_byte_orders(spark):
     with pytest.raises(Exception, match="linestring"):
         bad = spark.createDataFrame([(bytearray(struct.pack("<BII", 1, 3, 0)),)], "b binary")
         bad.select(wkb.wkb_to_line("b")).collect()
+
+
+def test_first_load_of_a_key_counts(spark, wh):
+    rows = [
+        (501, None, 2, "ship", True, True, None, 9), (501, None, 1, "ship", True, True, None, 8),
+        (501, None, 3, "ship", True, True, None, 9), (502, 6, 4, "ship", True, True, None, 9),
+    ]
+    _load(wh, spark.createDataFrame(rows, VESSELS + ", load_id bigint"), dims.VESSEL)
+    got = wh.table("vessel_dim").filter("mmsi > 500").orderBy("mmsi").collect()
+    assert [(r.mmsi, r.mid) for r in got] == [(501, 1), (502, 4)]
+    with pytest.raises(KeyConflict, match="mmsi=503"):
+        rows = [(503, 1, m, "ship", True, True, None, load) for m, load in ((1, 7), (2, 7), (3, 8))]
+        dims.load_dimension(
+            wh, wh.next_batch(), spark.createDataFrame(rows, VESSELS + ", load_id bigint"), dims.VESSEL
+        )

@@ -114,7 +114,7 @@ def test_fact_plans(spark, wh):
     rows = wh.table("ais_traj_fact")
     vessels = loaders.attach_surrogate(
         wh, None, rows.select("ais_traj_id", F.concat(F.lit("type "), F.col("vessel_id") % 5).alias("vessel_type")), loaders.dims.VESSEL_TYPE,
-        {"vessel_type_id": "found"}, row_id="ais_traj_id", rows=10,
+        {"vessel_type_id": "found"}, row_id="ais_traj_id",
     )
     text = vessels._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in text and "SinglePartition" not in text

@@ -10,7 +10,7 @@ from ..samples import table
 from .registry import query
 
 BOUNDS = (100.0, 5.0, 1900.0, 95.5, 7.5, 2.5)
-COUNTS = "with v as (select *, floor((1900.0e0 - 100.0e0) / 7.5e0) as cols, floor((95.5e0 - 5.0e0) / 2.5e0) as rows from c)"
+COUNTS = "with v as (select *, 240 as cols, 36 as rows from c)"
 # some coordinates are made infinite, not a number or unknown
 COORDINATES = """
   select l_orderkey, l_linenumber,
@@ -35,15 +35,20 @@ def coordinates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(f"""
-with c as ({COORDINATES}), k as ({COUNTS}
-  select *, floor((x - 100.0e0) / 7.5e0) as i, floor((y - 5.0e0) / 2.5e0) as j from v)
-select l_orderkey, l_linenumber,
-  case when 0 > i or i >= cols or 0 > j or j >= rows or isinf(x) or isinf(y) then -1
-    else cast(cols * j + i as bigint) end as grid_id,
-  case when x is null or y is null or not isfinite(x) or not isfinite(y) then null
-    when 0 > i or i >= cols or 0 > j or j >= rows then -1
-    else cast(cols * j + i as bigint) end as gid
+# Cells as half-open intervals of each axis; a coordinate is in one or in none.
+PLACED = f"""
+with c as ({COORDINATES}),
+across as (select n as i, 100 + n * 7.5e0 as low, 100 + (n + 1) * 7.5e0 as high from range(240) t(n)),
+up as (select n as j, 5 + n * 2.5e0 as low, 5 + (n + 1) * 2.5e0 as high from range(36) t(n)),
+k as (select c.*, i, j, x is not null and i is null or y is not null and j is null as beyond
+  from c left join across on x >= across.low and x < across.high
+  left join up on y >= up.low and y < up.high)
+"""
+
+
+@query(PLACED + """
+select l_orderkey, l_linenumber, case when beyond then -1 else j * 240 + i end as grid_id,
+  case when isfinite(x) and isfinite(y) then coalesce(j * 240 + i, -1) end as gid
 from k""")
 def grid_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coordinates(spark, sf_dir).select(
@@ -98,14 +103,17 @@ def lonlat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# The four quadrants as a table, with the corner their cells are counted from.
 WGS84 = f"""
-with p as ({LONLAT}), e as (select *, case when lon = 180 then -180 else lon end + 180 as ex, lat + 90 as ny from p),
-q as (select *, case when ex < 180 then 0 else 180 end as x0, case when ny < 90 then 0 else 90 end as y0 from e),
-g as (select *, case when ex - 180 >= 0 then case when ny - 90 >= 0 then 1 else 4 end
-    else case when ny - 90 >= 0 then 2 else 3 end end as quadrant,
-  floor((ex - x0) / 0.5e0) as i, floor((ny - y0) / 0.5e0) as j from q),
-r as (select *, case when i < 0 or i >= 360 or j < 0 or j >= 180 then -1
-    else cast(360 * j + i + quadrant * 100000 as bigint) end as grid_id from g)
+with p as (select l_orderkey, l_linenumber, if(lon = 180, -180, lon) as lon, lat from ({LONLAT})),
+quadrants(quadrant, west, east, south, north) as (
+  values (1, 0, 180, 0, 91), (2, -180, 0, 0, 91), (3, -180, 0, -90, 0), (4, 0, 180, -90, 0)),
+columns as (select n as i, n * 0.5e0 as low, n * 0.5e0 + 0.5e0 as high from range(360) t(n)),
+rows as (select n as j, n * 0.5e0 as low, n * 0.5e0 + 0.5e0 as high from range(180) t(n)),
+r as (select l_orderkey, l_linenumber, quadrant, coalesce(j * 360 + i + quadrant * 100000, -1) as grid_id
+  from p join quadrants on lon >= west and lon < east and lat >= south and lat < north
+  left join columns on lon - west >= columns.low and lon - west < columns.high
+  left join rows on lat - south >= rows.low and lat - south < rows.high)
 """
 
 
@@ -160,7 +168,7 @@ def chain_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def base_cell() -> Column:
-    """Cheaper to filter by than the key: a point has a key where it has a base cell."""
+    """The base cell of a point, which its key is below."""
     return V.coord_to_gid("x", "y", *CHAIN_BOUNDS, 1000, 1000)
 
 
@@ -177,7 +185,7 @@ def gchain_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 select l_orderkey, l_linenumber, level, case level when 1 then key // 100 % 100 else key % 100 end as cell
 from k, (values (1), (2)) l(level) where key > 0""")
 def gchain_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    keyed = chain_points(spark, sf_dir).filter(base_cell() >= 0).withColumn("key", chain_key())
+    keyed = chain_points(spark, sf_dir).withColumn("key", chain_key()).filter("key > 0")
     return keyed.select(
         "l_orderkey", "l_linenumber", F.posexplode(V.segment_gchain_key("key")).alias("n", "cell")
     ).select(
@@ -192,8 +200,8 @@ select l_orderkey, l_linenumber, ref_id, key as gchain_key, 1599625.0e0 + dx //
   762685.0e0 + dy // 10 * 10 as y_max
 from k where key > 0""")
 def gchain_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    inside = chain_points(spark, sf_dir).filter(base_cell() >= 0)
-    keyed = inside.withColumns({"key": chain_key(), "ref": base_cell()})
+    points = chain_points(spark, sf_dir)
+    keyed = points.withColumns({"key": chain_key(), "ref": base_cell()}).filter("key > 0")
     bounds = V.gchain_key_to_bounds("key", "ref", *CHAIN_BOUNDS, 1000, depth=2)
     return keyed.select("l_orderkey", "l_linenumber", bounds.alias("b")).select(
         "l_orderkey", "l_linenumber", "b.*"
@@ -204,7 +212,7 @@ def gchain_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
 select l_orderkey, l_linenumber, key, key // 100 as parent, key // 10000 as root, key as same
 from k where key > 0""")
 def gchain_trim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    keyed = chain_points(spark, sf_dir).filter(base_cell() >= 0).withColumn("key", chain_key())
+    keyed = chain_points(spark, sf_dir).withColumn("key", chain_key()).filter("key > 0")
     return keyed.select(
         "l_orderkey", "l_linenumber", "key", V.gchain_trim_key("key", 1).alias("parent"),
         V.gchain_trim_key("key", 0).alias("root"), V.gchain_trim_key("key", 9).alias("same"),
@@ -224,29 +232,30 @@ def gchain_depth_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-select l_orderkey, l_linenumber, a - b * floor(a / b) as m from
-  (select l_orderkey, l_linenumber, l_partkey - 1000.0e0 as a,
-    case when l_suppkey % 2 = 0 then 7.0e0 else -7.0e0 end as b from lineitem) t""")
+select l_orderkey, l_linenumber, a - b * floor(a / b) as m,
+  cast((whole % d + d) % d as bigint) as m_int
+from (select l_orderkey, l_linenumber, l_partkey - 1000.0e0 as a,
+    case when l_suppkey % 2 = 0 then 7.0e0 else -7.0e0 end as b,
+    cast((l_partkey - 1000) * 9007199254740993 as hugeint) as whole,
+    cast(case when l_suppkey % 2 = 0 then 7 else -7 end as hugeint) as d from lineitem) t""")
 def floor_modulo(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = F.when(F.col("l_suppkey") % 2 == 0, 7.0).otherwise(-7.0)
+    even = F.col("l_suppkey") % 2 == 0
+    whole = (F.col("l_partkey") - 1000) * (2**53 + 1)
     return table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", V.modulo(F.col("l_partkey") - 1000.0, b).alias("m")
+        "l_orderkey", "l_linenumber",
+        V.modulo(F.col("l_partkey") - 1000.0, F.when(even, 7.0).otherwise(-7.0)).alias("m"),
+        V.modulo_int(whole, F.when(even, 7).otherwise(-7)).alias("m_int"),
     )
 
 
-@query(f"""
-with c as ({COORDINATES}), k as ({COUNTS}
-  select *, floor((x - 100.0e0) / 7.5e0) as i, floor((y - 5.0e0) / 2.5e0) as j from v)
-select l_orderkey, l_linenumber,
-  case when 0 > i or i >= cols or 0 > j or j >= rows or isinf(x) or isinf(y) then -1
-    else cast(cols * j + i as bigint) end as grid_id,
-  cast(year(l_shipdate) * 100 + month(l_shipdate) as bigint) as part_key,
-  l_partkey % 10000000 between 1000000 and 9999999 as in_range
+@query(PLACED + """
+select l_orderkey, l_linenumber, case when beyond then -1 else j * 240 + i end as grid_id,
+  cast(strftime(l_shipdate, '%Y%m') as bigint) as part_key, l_partkey < 1000000000 as in_range
 from k join lineitem using (l_orderkey, l_linenumber)""")
 def sql_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same functions called from SQL text."""
     V.register_functions(
-        spark, ["coord_to_grid_id", "point_to_grid_id", "ts_to_temporal_part_key"]
+        spark, ["coord_to_grid_id", "point_to_grid_id", "ts_to_temporal_part_key", "is_valid_mmsi"]
     )
     extra = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_shipdate", "l_partkey"
@@ -256,7 +265,7 @@ def sql_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_linenumber",
         "point_to_grid_id(named_struct('x', x, 'y', y), 100, 5, 1900, 95.5, 7.5, 2.5) AS grid_id",
         "ts_to_temporal_part_key(l_shipdate) AS part_key",
-        "l_partkey % 10000000 BETWEEN 1000000 AND 9999999 AS in_range",
+        "is_valid_mmsi(l_partkey) AS in_range",
     )
 
 

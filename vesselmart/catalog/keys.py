@@ -88,30 +88,35 @@ def temporal_part_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").groupBy(key).agg(F.count(F.lit(1)).alias("orders"))
 
 
+# What a number starts with tells its service, at times with one more digit; the
+# longest prefix counts, and a digit before none.
+SERVICES = """
+services(prefix, place, digit, service) as (values
+  ('00', 6, '1', 'cost station'), ('00', 6, '2', 'port station'), ('00', 6, '3', 'pilot station'),
+  ('00', 6, '4', 'ais repeater station'), ('00', 6, '5', 'ais base station'), ('00', 0, '', 'unknown'),
+  ('0', 0, '', 'ship group'), ('2', 0, '', 'ship'), ('3', 0, '', 'ship'), ('4', 0, '', 'ship'),
+  ('5', 0, '', 'ship'), ('6', 0, '', 'ship'), ('7', 0, '', 'ship'),
+  ('111', 7, '1', 'fixed-wing aircraft'), ('111', 7, '5', 'helicopter'), ('111', 0, '', 'unknown'),
+  ('99', 6, '1', 'physical ais aton'), ('99', 6, '6', 'virtual ais aton'), ('99', 6, '8', 'mobile aton'),
+  ('99', 0, '', 'unknown'), ('98', 0, '', 'deployable child craft'),
+  ('8', 0, '', 'handheld vhf transceiver with dsc and integral gnss receiver'),
+  ('970', 0, '', 'ais-sart'), ('972', 0, '', 'man overboard'), ('974', 0, '', 'epirb-ais'),
+  ('979', 0, '', 'amrd group b')),
+countries(prefix, start) as (values ('00', 3), ('98', 3), ('99', 3), ('0', 2), ('8', 2), ('111', 4),
+  ('2', 1), ('3', 1), ('4', 1), ('5', 1), ('6', 1), ('7', 1))
+"""
+
+
 @query(f"""
-with m as ({MMSI_CASES}), s as (
-  select *, case when length(cast(mmsi as varchar)) > 9 then left(cast(mmsi as varchar), 9)
-    else repeat('0', 9 - length(cast(mmsi as varchar))) || cast(mmsi as varchar) end as t from m)
+with m as ({MMSI_CASES}), s as (select *, lpad(cast(mmsi as varchar), 9, '0') as t from m), {SERVICES},
+numbers as (select distinct t from s where t is not null),
+known as (select t, arg_max(service, 2 * length(prefix) + sign(place)) as service
+  from numbers join services on starts_with(t, prefix) and (place = 0 or t[place] = digit) group by t),
+country as (select t, arg_max(substr(t, start, 3), length(prefix)) as mid
+  from numbers join countries on starts_with(t, prefix) group by t)
 select l_orderkey, l_linenumber, mmsi, length(cast(mmsi as varchar)) <= 9 as valid,
-  case
-    when t like '00%' then case t[6] when '1' then 'cost station' when '2' then 'port station'
-      when '3' then 'pilot station' when '4' then 'ais repeater station'
-      when '5' then 'ais base station' else 'unknown' end
-    when t like '0%' then 'ship group'
-    when t[1] in ('2', '3', '4', '5', '6', '7') then 'ship'
-    when t like '111%' then case t[7] when '1' then 'fixed-wing aircraft' when '5' then 'helicopter'
-      else 'unknown' end
-    when t like '99%' then case t[6] when '1' then 'physical ais aton' when '6' then 'virtual ais aton'
-      when '8' then 'mobile aton' else 'unknown' end
-    when t like '98%' then 'deployable child craft'
-    when t like '8%' then 'handheld vhf transceiver with dsc and integral gnss receiver'
-    when t like '970%' then 'ais-sart' when t like '972%' then 'man overboard'
-    when t like '974%' then 'epirb-ais' when t like '979%' then 'amrd group b'
-    else 'unknown' end as service,
-  cast(case when t[:2] in ('00', '98', '99') then t[3:5] when t[1] in ('0', '8') then t[2:4]
-    when t like '111%' then t[4:6] when t[1] in ('2', '3', '4', '5', '6', '7') then t[1:3] end
-    as bigint) as mid
-from s""")
+  coalesce(service, 'unknown') as service, cast(mid as bigint) as mid
+from s left join known using (t) left join country using (t)""")
 def mmsi_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
     table(spark, sf_dir, "lineitem").createOrReplaceTempView("vm_lineitem")
     return spark.sql(MMSI_CASES.replace("from lineitem", "from vm_lineitem")).select(
@@ -222,11 +227,12 @@ with v as (select l_orderkey, l_linenumber, l_partkey * 7919 - 5000000 as val,
 select l_orderkey, l_linenumber, array_to_string(list_transform(range(z, 0, -1),
   lambda i: case right(cast(val::bit as varchar), 2 * i)[:2]
     when '00' then '0' when '01' then '1' when '10' then '2' else '3' end), '') as quadkey
-from v where z > 0""")
+from v where z > 0
+union all select l_orderkey, l_linenumber, null from v where z = 0""")
 def int_to_quadkey(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").withColumn(
         "z", (F.col("l_orderkey") % 33).cast("int")
-    ).filter("z > 0").select(
+    ).select(
         "l_orderkey", "l_linenumber",
         V.int_to_quadkey(F.col("l_partkey") * 7919 - 5000000, "z").alias("quadkey"),
     )
@@ -246,20 +252,17 @@ def tile_xyz(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-with t as ({TILES}), k as (select l_orderkey, l_linenumber, z, array_to_string({DIGITS}, '') as q from t
-  where z > 0),
+with t as ({TILES}), k as (select l_orderkey, l_linenumber, z, coalesce(array_to_string({DIGITS}, ''), '') as q from t),
 r as (select *, left(q, 8) as h from k),
 b as (select *, h || repeat('0', 8 - length(h)) as a, h || repeat('3', 8 - length(h)) as c from r)
 select l_orderkey, l_linenumber,
   cast(list_sum(list_transform(range(1, 9), lambda i: cast(a[i] as bigint) * (4 ** (8 - i)))) as bigint) as lo,
   cast(list_sum(list_transform(range(1, 9), lambda i: cast(c[i] as bigint) * (4 ** (8 - i)))) as bigint) as hi,
-  cast(list_sum(list_transform(range(1, z + 1), lambda i: cast(q[i] as bigint) * (4 ** (z - i)))) as bigint) as value,
+  coalesce(cast(list_sum(list_transform(range(1, z + 1), lambda i: cast(q[i] as bigint) * (4 ** (z - i)))) as bigint), 0) as value,
   repeat('0', cast((4 - z % 4) % 4 as integer)) || q as byte_quadkey
 from b""")
 def quadkey_prefix_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    keyed = _tiles(spark, sf_dir).filter("z > 0").withColumn(
-        "q", V.zxy_to_quadkey("z", "x", "y")
-    )
+    keyed = _tiles(spark, sf_dir).withColumn("q", V.zxy_to_quadkey("z", "x", "y"))
     r = V.compute_qkey_range("q")
     value = V.quadkey_to_int("q")
     # a value of z digits always fits z + 1 digits' signed bytes, and is padded to whole bytes

@@ -211,11 +211,64 @@ def nullsafe_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     found = lookup(
         rows, dim, {"k": "k"}, "id", "p_partkey", dim_bytes=1 << 62, row_id="l_orderkey",
-        rows=rows.count(),
     )
     return found.select("l_orderkey", "l_linenumber", "p_partkey")
 
 
+@query("""
+select l_orderkey, l_linenumber, p_size, s_nationkey, o_custkey, c_nationkey,
+  cast(n.n_regionkey as bigint) as n_regionkey, cast(m.n_regionkey as bigint) as low_region
+from lineitem left join part on p_partkey = l_partkey and p_partkey > 40
+  left join supplier on s_suppkey = l_suppkey left join orders on o_orderkey = l_orderkey
+  left join customer on c_custkey = l_orderkey % 100
+  left join nation n on n.n_nationkey = l_suppkey % 30
+  left join nation m on m.n_nationkey is not distinct from case when l_suppkey % 3 = 0 then l_suppkey % 25 end""")
+def lookup_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six look-ups one after another, none of them by broadcast."""
+    base = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+        (F.col("l_orderkey") % 100).alias("c"), (F.col("l_suppkey") % 30).alias("n"),
+        F.when(F.col("l_suppkey") % 3 == 0, F.col("l_suppkey") % 25).alias("m"),
+        F.xxhash64("l_orderkey", "l_linenumber").alias("row"),
+    )
+    rows = base
+    for name, key, at, value, out in (
+        ("part", "l_partkey", "p_partkey", "p_size", "p_size"),
+        ("supplier", "l_suppkey", "s_suppkey", "s_nationkey", "s_nationkey"),
+        ("orders", "l_orderkey", "o_orderkey", "o_custkey", "o_custkey"),
+        ("customer", "c", "c_custkey", "c_nationkey", "c_nationkey"),
+        ("nation", "n", "n_nationkey", "n_regionkey", "n_regionkey"),
+        ("nation", "m", "n_nationkey", "n_regionkey", "low_region"),
+    ):
+        dim = table(spark, sf_dir, name)
+        if name == "part":
+            dim = dim.filter("p_partkey > 40")  # frequent keys that the dimension has not
+        rows = lookup(
+            rows, dim, {key: at}, value, out, dim_bytes=1 << 62, row_id="row", counted=base
+        )
+    return whole(rows.drop("l_partkey", "l_suppkey", "c", "n", "m", "row"))
+
+
+@query(f"""
+with o as ({OBJECTS}), f as (select mmsi, imo, min(week) as week from o group by all)
+select o.mmsi, o.imo, o.week % 2 = 0 as in_eu_mrv_db from o join f on o.mmsi = f.mmsi
+  and o.imo is not distinct from f.imo and o.week = f.week
+group by all""")
+def vessel_conflicts_over_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One batch of several files that disagree on a vessel: the first file counts."""
+    from ..samples import objects
+    from ..warehouse.store import Warehouse
+
+    rows = objects(spark, sf_dir).withColumns(
+        {"load_id": F.col("week") + 1, "in_eu_mrv_db": F.col("week") % 2 == 0}
+    )
+    wh = Warehouse.create(spark, scratch_dir(spark, "warehouse"))
+    batch = wh.next_batch()
+    dims.load_dimension(wh, batch, rows, dims.VESSEL)
+    wh.publish(batch)
+    return wh.table("vessel_dim").select("mmsi", "imo", "in_eu_mrv_db")
+
+
 @query("""
 select distinct c_nationkey as k, c_mktsegment as v from customer
 where not exists (select 1 from supplier where s_nationkey is not distinct from c_nationkey and s_suppkey % 2 = 0)""")
@@ -443,14 +496,28 @@ def compacted_equals_original(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.join(cents, "ais_point_id")
 
 
-@query(LOADED + "select count(*) > 0 as any_file, true as all_compatible, cast(0 as bigint) as missing from l")
+@query(f"""
+with o as (select count(*) as n from ({OBJECTS}) o),
+f(folder, compatible, missing) as (values ('as it should be', true, 0), ('50%20 off+more', true, 0),
+  ('lacks two', false, 2), ('no table', false, 79), ('other name', false, 79))
+select folder, compatible, cast(missing as bigint) as missing from f, o where n > 0""")
 def file_conformance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folders = write_object_files(spark, sf_dir, scratch_dir(spark, "objects"))
-    paths = [p for f in folders for p in list_files(spark, f) if p.endswith(".parquet")]
-    return conformance(spark, paths).agg(
-        (F.count(F.lit(1)) > 0).alias("any_file"), F.bool_and("compatible").alias("all_compatible"),
-        F.sum(F.size("missing")).cast("bigint").alias("missing"),
-    )
+    """Files that qualify and files that do not, some under names with odd characters."""
+    from ..samples import objects
+
+    root = scratch_dir(spark, "conformance")
+    rows = objects(spark, sf_dir).drop("week")
+    rows.write.parquet(f"{root}/as it should be")
+    rows.withColumn("more", F.lit(1)).write.parquet(f"{root}/50%20 off+more")
+    rows.drop("mmsi", "geom").write.parquet(f"{root}/lacks two")
+    rows.select("vessel_name").write.option("header", True).csv(f"{root}/no table")
+    rows.write.orc(f"{root}/other name")
+    folders = ("as it should be", "50%20 off+more", "lacks two", "no table", "other name")
+    paths = [p for f in folders for p in list_files(spark, f"{root}/{f}") if "/part-" in p]
+    folder = F.element_at(F.split("path", "/"), -2)
+    return conformance(spark, paths).select(
+        folder.alias("folder"), "compatible", F.size("missing").cast("bigint").alias("missing"),
+    ).distinct()
 
 
 @query(f"""

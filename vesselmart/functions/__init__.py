@@ -21,6 +21,7 @@ from .grid import (
     grid_id_to_wgs84_coord,
     grid_id_to_wgs84_envelope,
     modulo,
+    modulo_int,
     point_to_grid_id,
     wgs84_coord_to_grid_id,
 )

@@ -22,6 +22,8 @@ def gchain_levels(base_size: int | float) -> int:
         size, levels = size / 10, levels + 1
     if size != 1 or levels < 0:
         raise ValueError(f"base size must be a power of ten above 1, got {base_size}")
+    if levels > MAX_DEPTH:
+        raise ValueError(f"a key has room for {MAX_DEPTH} levels, base size {base_size} has {levels}")
     return levels
 
 
@@ -30,9 +32,9 @@ def to_gchain_key(
 ) -> Column:
     """Key of the finest cell that holds the point, -1 outside the base grid.
 
-    The base cell itself is not part of the key. To keep only points inside,
-    filter by the base cell (``coord_to_gid``), which is far cheaper to evaluate
-    in a filter than the whole key.
+    The base cell itself is not part of the key. Along each axis the place within
+    the base cell is counted once in finest cells, and every level is a digit of
+    that number, so the expression grows with the number of levels.
     """
     levels = gchain_levels(base_size)
     size = float(base_size)
@@ -44,24 +46,21 @@ def to_gchain_key(
         last = F.floor((dbl(high) - dbl(low)) / size) - 1
         # an infinite value falls outside by itself, NaN would not
         inside = inside & ~F.isnan(value) & base.between(F.lit(0), last)
-        axes.append(_steps(value, base * size + dbl(low), size, levels))
+        axes.append(_steps(value - (base * size + dbl(low)), levels))
     for i, j in zip(*axes):
         key = key * 100 + j * 10 + i
     return F.when(inside, key).otherwise(F.lit(-1).cast("bigint"))
 
 
-def _steps(value: Column, corner: Column, size: float, levels: int) -> list[Column]:
-    """Cell of each level along one axis, always counted from the cell corner above.
+def _steps(rest: Column, levels: int) -> list[Column]:
+    """Digit of each level along one axis, for a place within its base cell.
 
-    Rounding on fractional bounds cannot carry a value past its row of ten cells.
+    The finest cells are ten units wide. Rounding on fractional bounds cannot
+    carry a place past the base cell.
     """
-    found = []
-    for level in range(1, levels + 1):
-        width = size / 10**level
-        step = F.greatest(F.lit(0), F.least(F.lit(9), F.floor((value - corner) / width)))
-        corner = step * width + corner
-        found.append(step)
-    return found
+    last = 10**levels - 1
+    number = F.greatest(F.lit(0), F.least(F.lit(last), F.floor(rest / 10.0))).cast("bigint")
+    return [idiv(number, 10 ** (levels - level)) % 10 for level in range(1, levels + 1)]
 
 
 def gchain_depth(key: Arg) -> Column:

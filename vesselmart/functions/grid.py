@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ._columns import Arg, big, col, dbl, positive
 
 INFINITIES = (float("inf"), float("-inf"))
+QUADRANTS = (3, 4, 2, 1)  # fixed values: south-west, south-east, north-west, north-east
 QUADRANT_STRIDE = 100000  # fixed value: geographic ids are quadrant * stride + cell
 
 
@@ -104,10 +105,8 @@ def grid_id_to_envelope(
 
 def coord_to_quadrant(lon: Arg, lat: Arg) -> Column:
     """1 north-east, 2 north-west, 3 south-west, 4 south-east; zero counts as positive."""
-    east, north = dbl(lon) >= 0, dbl(lat) >= 0
-    return F.when(east & north, 1).when(~east & north, 2).when(~east & ~north, 3).when(
-        east & ~north, 4
-    )
+    place = (dbl(lon) >= 0).cast("int") + (dbl(lat) >= 0).cast("int") * 2
+    return F.element_at(F.array(*map(F.lit, QUADRANTS)), place + 1)
 
 
 def _check_quadrant(cell_width: Arg, cell_height: Arg) -> None:
@@ -157,6 +156,13 @@ def grid_id_to_wgs84_envelope(grid_id: Arg, cell_width: Arg, cell_height: Arg) -
     )
 
 
+def modulo_int(a: Arg, b: Arg) -> Column:
+    """As :func:`modulo` for whole numbers, exact over all 64 bits."""
+    n, d = big(a), big(b)
+    rest = n % d
+    return F.when((rest != 0) & ((rest < 0) != (d < 0)), rest + d).otherwise(rest)
+
+
 def modulo(a: Arg, b: Arg) -> Column:
     """a - b * floor(a / b): the result has the divisor's sign."""
     n, d = dbl(a), dbl(b)

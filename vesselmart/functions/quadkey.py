@@ -104,12 +104,13 @@ def zxy_to_quadkey(z: Arg, x: Arg, y: Arg) -> Column:
 
 
 def int_to_quadkey(value: Arg, z: Arg) -> Column:
-    """Last 2*z bits of the two's complement as z digits (at most 32)."""
+    """Last 2*z bits of the two's complement as z digits (at most 32); null for z below 1."""
     zoom = F.least(col(z).cast("int"), F.lit(32))
     mask = F.when(zoom >= 32, F.lit(-1).cast("bigint")).otherwise(
         F.call_function("shiftleft", F.lit(1).cast("bigint"), zoom * 2) - 1
     )
-    return F.lpad(F.conv(big(value).bitwiseAND(mask).cast("string"), 10, 4), zoom, F.lit("0"))
+    digits = F.lpad(F.conv(big(value).bitwiseAND(mask).cast("string"), 10, 4), zoom, F.lit("0"))
+    return F.when(zoom >= 1, digits)
 
 
 def get_zxy(lon: Arg, lat: Arg, zoom: Arg) -> Column:
@@ -126,10 +127,16 @@ def get_zxy(lon: Arg, lat: Arg, zoom: Arg) -> Column:
     )
 
 
+def _checked(quadkey: Column) -> Column:
+    """The key itself; a character that is no digit of base 4 is an error."""
+    bad = F.raise_error(F.concat(F.lit("not a quadkey: "), quadkey)).cast("string")
+    return F.when(quadkey.rlike("[^0-3]"), bad).otherwise(quadkey)
+
+
 def quadkey_to_int(quadkey: Arg) -> Column:
-    """Unsigned base-4 value; the empty key is 0."""
+    """Unsigned base-4 value; the empty key is 0, any other character an error."""
     q = col(quadkey)
-    return F.when(q == "", F.lit(0)).otherwise(F.conv(q, 4, 10).cast("bigint"))
+    return F.when(q == "", F.lit(0)).otherwise(F.conv(_checked(q), 4, 10).cast("bigint"))
 
 
 def int_to_quadkey_bytes(value: Arg, zoom: Arg) -> Column:
@@ -152,7 +159,7 @@ def digits_of(value: Column) -> Column:
 
 def compute_qkey_range(quadkey: Arg, partition_depth: int = 8) -> Column:
     """Struct(lo, hi): partition keys at the given depth that a quadkey covers."""
-    q = F.substring(col(quadkey), 1, partition_depth)
+    q = F.substring(_checked(col(quadkey)), 1, partition_depth)
     return F.struct(
         quadkey_to_int(F.rpad(q, partition_depth, "0")).alias("lo"),
         quadkey_to_int(F.rpad(q, partition_depth, "3")).alias("hi"),

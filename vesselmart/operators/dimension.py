@@ -15,7 +15,7 @@ from ..warehouse.schema import CONFIG_COLUMNS, GEOM_COLUMNS, STOP_EXTRA, TABLES,
 from ..warehouse.store import Warehouse
 from . import expanders
 from .lookup import lookup
-from .merge import merge_smart, merge_surrogate
+from .merge import FIRST_LOAD, merge_smart, merge_surrogate
 
 logger = logging.getLogger(__name__)
 
@@ -51,17 +51,19 @@ class Dimension:
             batch = processor(batch, names)
         return batch
 
-    def trim(self, batch: DataFrame, names: Names) -> DataFrame:
-        """The dimension's columns only, renamed, without repeats."""
-        return batch.select(*[F.col(names[c]).alias(c) for c in self.columns]).distinct()
-
     def candidates(self, batch: DataFrame, roles: Sequence[Names]) -> DataFrame:
-        """Rows the batch offers, over all roles the dimension plays in it."""
+        """Rows the batch offers, over all roles the dimension plays in it, each with
+        the first load (``FIRST_LOAD``) that brings it; 0 where loads are not told."""
         parts = []
         for overrides in roles:
             names = self.names(overrides)
-            parts.append(self.trim(self.process(batch, names), names))
-        return parts[0] if len(parts) == 1 else reduce(DataFrame.unionByName, parts).distinct()
+            rows = self.process(batch, names)
+            load = F.col("load_id") if "load_id" in rows.columns else F.lit(0)
+            parts.append(
+                rows.select(*[F.col(names[c]).alias(c) for c in self.columns], load.cast("bigint").alias(FIRST_LOAD))
+            )
+        every = reduce(DataFrame.unionByName, parts)
+        return every.groupBy(*self.columns).agg(F.min(FIRST_LOAD).alias(FIRST_LOAD))
 
 
 def _smart(
@@ -121,18 +123,24 @@ def load_dimension(
 ) -> None:
     """Take the batch's new members into the dimension, all roles at once."""
     start = time.perf_counter()
-    dim.strategy(wh, batch_id, dim.candidates(batch, roles), dim)
+    rows = dim.candidates(batch, roles)
+    if dim.strategy not in (merge_smart, merge_surrogate):
+        rows = rows.drop(FIRST_LOAD)  # a strategy of the user's own gets the dimension's columns
+    dim.strategy(wh, batch_id, rows, dim)
     logger.info("%s took in new members in %.2fs", dim.table, time.perf_counter() - start)
 
 
 def attach_surrogate(
     wh: Warehouse, batch_id: int | None, batch: DataFrame, dim: Dimension, role: Names, *,
-    row_id: str, rows: int, how: str = "left",
+    row_id: str, counted: DataFrame | None = None, how: str = "left",
 ) -> DataFrame:
-    """Add the dimension's surrogate to the batch, under the role's name for it."""
+    """Add the dimension's surrogate to the batch, under the role's name for it.
+
+    ``counted`` holds the same keys and tells which are hot.
+    """
     names = dim.names(role)
     return lookup(
         batch, wh.table(dim.table, batch_id), {names[k]: k for k in dim.keys}, dim.surrogate,
         role.get(dim.surrogate, dim.surrogate), dim_bytes=wh.bytes(dim.table, batch_id),
-        row_id=row_id, rows=rows, how=how,
+        row_id=row_id, counted=counted, how=how,
     )

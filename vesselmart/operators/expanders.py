@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.timekeys import date_id_to_timestamp
+from ..functions.timekeys import date_id_to_timestamp, time_id_to_timestamp
 from ..functions._columns import idiv
 from ..warehouse.schema import GEOM_COLUMNS, LINE, STOP_EXTRA, TRAJ_EXTRA
 from .geometry import centroid, with_stop_shapes
@@ -30,9 +30,12 @@ def expand_date_ids(batch: DataFrame, names: dict[str, str]) -> DataFrame:
 
 
 def expand_time_ids(batch: DataFrame, names: dict[str, str]) -> DataFrame:
-    """Distinct time keys with hour, minute, second and the slots of the day."""
+    """Distinct time keys with hour, minute, second and the slots of the day.
+
+    A key that is no time of day is an error.
+    """
     key = names["time_id"]
-    t = F.col(key)
+    t = F.hour(time_id_to_timestamp(key)) * 10000 + F.col(key) % 10000
     hour, minute = idiv(t, 10000), idiv(t, 100) % 100
     return batch.select(key).distinct().select(
         key, hour.alias("hour_no"), minute.alias("minute_no"), (t % 100).alias("second_no"),

@@ -12,14 +12,18 @@ from ..session import scratch_dir
 from ..warehouse.schema import TABLES
 from ..warehouse.store import Warehouse
 from .ids import NumberedRows, check_sequence, number_rows
-from .lookup import new_members
+from .lookup import new_members, null_safe
 
 if TYPE_CHECKING:
     from .dimension import Dimension
 
 
+#: Column that tells the first load of a batch that brings a candidate row.
+FIRST_LOAD = "__first_load"
+
+
 class KeyConflict(RuntimeError):
-    """One key came with different attributes in the same batch."""
+    """One key came with different attributes in the same load."""
 
 
 def row_order(columns: list[str]) -> list[Column]:
@@ -43,9 +47,9 @@ def first_wins(
 
     A row is left out if any unique key is already in ``existing`` or in a row
     taken before it. (Null key parts do not conflict.) With one unique key the
-    smallest row of each key is taken. With several, rows are gone through in
-    the order of a digest, so that rivalries do not form long chains and a few
-    rounds settle all of them.
+    smallest row of each key is taken. With several, rows are gone through by
+    their first load, if that is told, and then in the order of a digest, so that
+    rivalries do not form long chains and a few rounds settle all of them.
     """
     columns = rows.columns
     if len(unique) == 1:
@@ -58,7 +62,8 @@ def first_wins(
         return candidates.select(*columns, "__turn")
 
     text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])
-    turn = F.struct(F.md5(text).alias("digest"), *columns)
+    load = [FIRST_LOAD] if FIRST_LOAD in columns else []
+    turn = F.struct(*load, F.md5(text).alias("digest"), *[c for c in columns if c not in load])
     left = _written(unclaimed(rows.distinct().withColumn("__turn", turn), existing))
     taken: list[DataFrame] = []
     while not left.isEmpty():
@@ -87,23 +92,42 @@ def _written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _with_load(rows: DataFrame) -> DataFrame:
+    """Rows that do not tell their first load count as one load."""
+    return rows if FIRST_LOAD in rows.columns else rows.withColumn(FIRST_LOAD, F.lit(0).cast("bigint"))
+
+
 def merge_smart(wh: Warehouse, batch_id: int, rows: DataFrame, dim: Dimension) -> None:
     """Insert rows whose smart key (and every other unique key) is new."""
     table = TABLES[dim.table]
     unique = [(table.primary,), *table.unique]
+    # the earliest load first, as the smallest row is taken
+    rows = _with_load(rows)
+    rows = rows.select(FIRST_LOAD, *[c for c in rows.columns if c != FIRST_LOAD])
     fresh = first_wins(rows, wh.table(dim.table, batch_id), unique)
-    wh.append(dim.table, fresh, batch_id)
+    wh.append(dim.table, fresh.drop(FIRST_LOAD), batch_id)
 
 
 def merge_surrogate(wh: Warehouse, batch_id: int, rows: DataFrame, dim: Dimension) -> None:
     """Insert rows whose key is new under the next numbers, in key order.
 
-    Existing rows are not changed. Nulls in a key match nulls.
+    Existing rows are not changed. Nulls in a key match nulls. Of several sets of
+    attributes for one key the one of the first load is taken, as if the loads
+    came one by one; two sets in that load are an error.
     """
     table = TABLES[dim.table]
-    fresh = new_members(rows, wh.table(dim.table, batch_id), dim.keys).select(
-        *dim.keys, *dim.attributes
+    known = wh.table(dim.table, batch_id)
+    fresh = new_members(_with_load(rows), known, dim.keys).select(
+        *dim.keys, *dim.attributes, FIRST_LOAD
     )
+    if dim.attributes:
+        first_load = fresh.groupBy(*[F.col(k).alias(f"__{k}") for k in dim.keys]).agg(
+            F.min(FIRST_LOAD).alias("__least")
+        )
+        pairs = [(k, f"__{k}") for k in dim.keys]
+        fresh = fresh.join(
+            first_load, null_safe(fresh, first_load, pairs) & (F.col(FIRST_LOAD) == F.col("__least"))
+        ).select(*dim.keys, *dim.attributes, FIRST_LOAD)
     order = row_order([*dim.keys, *dim.attributes])
     first = wh.max_id(dim.table, including=batch_id) + 1
     numbered = number_rows(
@@ -116,7 +140,7 @@ def merge_surrogate(wh: Warehouse, batch_id: int, rows: DataFrame, dim: Dimensio
         if clash:
             key = ", ".join(f"{k}={clash[k]}" for k in dim.keys)
             raise KeyConflict(f"{dim.table}: {clash['count']} attribute sets for {key}")
-    wh.append(dim.table, numbered.rows, batch_id)
+    wh.append(dim.table, numbered.rows.drop(FIRST_LOAD), batch_id)
 
 
 def insert_surrogate(

@@ -21,7 +21,7 @@ from ..operators.dimension import Dimension, Names, attach_surrogate, load_dimen
 from ..operators.ids import NumberedRows, number_files
 from ..operators.merge import insert_surrogate
 from ..session import scratch_dir
-from ..sources.trajectories import conformance, list_files, read_trajectories
+from ..sources.trajectories import conformance, file_name, list_files, read_trajectories
 from ..warehouse import files
 from ..warehouse.ledger import LoadError, LoadScope, not_loaded
 from ..warehouse.schema import TABLES
@@ -117,13 +117,15 @@ def load_dimensions(wh: Warehouse, batch_id: int, batch: DataFrame) -> None:
 
 
 def attach_all(
-    wh: Warehouse, batch_id: int, rows: DataFrame, row_id: str, count: int
+    wh: Warehouse, batch_id: int, rows: DataFrame, row_id: str
 ) -> DataFrame:
+    """All surrogates; hot keys are told from the rows as they come in."""
+    counted = rows
     for dim, roles in ROLES:
         if dim.surrogate:
             for role in roles:
                 rows = attach_surrogate(
-                    wh, batch_id, rows, dim, role, row_id=row_id, rows=count
+                    wh, batch_id, rows, dim, role, row_id=row_id, counted=counted
                 )
     return rows
 
@@ -134,7 +136,7 @@ def load_fact(
     """Geometry, look-ups and the fact itself for rows that are numbered from ``first`` on."""
     rows, _ = insert_surrogate(wh, batch_id, numbered, fact.geometry, first)
     # geometry is in its own table by now and is not carried through the joins
-    facts = project_fact(attach_all(wh, batch_id, rows, fact.key, numbered.count), fact)
+    facts = project_fact(attach_all(wh, batch_id, rows, fact.key), fact)
     wh.append(fact.table, facts, batch_id)
     written = wh.batch(fact.table, batch_id).count()
     if written != numbered.count:
@@ -185,7 +187,7 @@ def load(
     paths = list(paths)
     named = (
         conformance(wh.spark, paths).filter("compatible")
-        .withColumn("src_id", F.element_at(F.split("path", "/"), -1))
+        .withColumn("src_id", file_name(F.col("path")))
         .withColumn("dst_tbl", F.explode(F.array(*[F.lit(f.table) for f in facts])))
     )
     # one row per file and fact; a read needs the paths on the driver anyway
@@ -198,9 +200,12 @@ def load(
         if row.path != by_name[row.src_id]:
             logger.warning("%s skipped: %s has the same name", row.path, by_name[row.src_id])
     todo = [r for r in todo if r.path == by_name[r.src_id]]
-    names = sorted(by_name)
+    names = sorted(by_name, key=lambda n: order[by_name[n]])
+    turn = {f.table: n for n, f in enumerate(facts)}
+    todo.sort(key=lambda r: (order[r.path], turn[r.dst_tbl]))
     for at in range(0, len(names), MAX_FILES):
         chunk = set(names[at : at + MAX_FILES])
+        # loads are numbered in this order, which settles who comes first
         rows = [r for r in todo if r.src_id in chunk]
         groups: dict[str, set[str]] = {}
         for row in rows:
@@ -208,7 +213,7 @@ def load(
         batch = read_trajectories(wh.spark, [sorted(g) for _, g in sorted(groups.items())])
         with LoadScope(wh, [(r.src_id, r.dst_tbl) for r in rows]) as scope:
             load_batch(wh, scope, batch, facts, before_publish)
-    return names
+    return sorted(names)
 
 
 def load_dir(wh: Warehouse, folder: str, facts: Sequence[ObjectFact] = FACTS) -> list[str]:

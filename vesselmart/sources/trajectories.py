@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
+import re
+from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..warehouse import files
@@ -39,6 +40,7 @@ COLUMN_TYPES: dict[str, tuple[str, ...]] = {
 REQUIRED = {name: kind for kind, names in COLUMN_TYPES.items() for name in names}
 GEOMETRY = {n: k for n, k in REQUIRED.items() if k in (LINE, POINT)}
 SUFFIXES = (".parquet", ".pq")
+FOOTERS = 16  # footers read at a time
 
 
 def list_files(spark: SparkSession, folder: str) -> list[str]:
@@ -46,49 +48,48 @@ def list_files(spark: SparkSession, folder: str) -> list[str]:
     return [p for p, is_dir, _ in files.children(spark, folder) if not is_dir]
 
 
+def file_name(path: Column) -> Column:
+    """Last part of a path, as it stands."""
+    return F.element_at(F.split(path, "/"), -1)
+
+
 def conformance(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
     """(path, compatible, missing, form) per file: its suffix and its columns are judged.
 
-    Tasks read file footers only. Extra columns and types do not matter; ``form``
-    tells the types of the required columns, for reading like files together.
+    Footers are read by Spark, so files may be in any store Spark reads; a few
+    are on their way at a time, and what the driver keeps is one row a file.
+    Extra columns and types do not matter; ``form`` tells the types of the
+    required columns, for reading like files together. A file that is no Parquet
+    has no columns.
     """
-    frame = spark.createDataFrame([(p,) for p in paths], "path string")
-    is_parquet = F.lower(F.regexp_extract("path", r"(\.[^./]*)$", 1)).isin(*SUFFIXES)
-
-    def footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            names, forms = [], []
-            for path, ok in zip(batch["path"].to_pylist(), batch["suffix_ok"].to_pylist()):
-                schema = _footer(path) if ok else pa.schema([])
-                names.append(schema.names)
-                forms.append(",".join(f"{f.name}:{f.type}" for f in schema if f.name in REQUIRED))
-            yield pa.RecordBatch.from_arrays(
-                [batch["path"], batch["suffix_ok"], pa.array(names, pa.list_(pa.string())),
-                 pa.array(forms, pa.string())],
-                names=["path", "suffix_ok", "names", "form"],
-            )
-
-    read = (
-        frame.withColumn("suffix_ok", is_parquet)
-        .repartition(spark.sparkContext.defaultParallelism)
-        .mapInArrow(footers, "path string, suffix_ok boolean, names array<string>, form string")
-    )
+    paths = list(paths)
+
+    def footer(path: str) -> list[tuple[str, str]]:
+        if not path.endswith(SUFFIXES):
+            return []
+        try:
+            return spark.read.parquet(literal_path(path)).dtypes
+        except Exception as problem:
+            if "CANNOT_READ_FILE_FOOTER" in str(problem) or "UNABLE_TO_INFER_SCHEMA" in str(problem):
+                return []
+            raise
+
+    with ThreadPoolExecutor(FOOTERS) as pool:
+        columns = list(pool.map(footer, paths))
+    rows = [
+        (p, [n for n, _ in c], ",".join(f"{n}:{k}" for n, k in sorted(c) if n in REQUIRED))
+        for p, c in zip(paths, columns)
+    ]
+    frame = spark.createDataFrame(rows, "path string, names array<string>, form string")
     missing = F.array_except(F.array(*[F.lit(c) for c in sorted(REQUIRED)]), "names")
-    return read.select(
-        "path", (F.col("suffix_ok") & (F.size(missing) == 0)).alias("compatible"),
-        missing.alias("missing"), "form",
+    return frame.select(
+        "path", (F.size(missing) == 0).alias("compatible"), missing.alias("missing"), "form"
     )
 
 
-def _footer(path: str) -> pa.Schema:
-    import pyarrow.fs as pafs
-    import pyarrow.parquet as pq
-
-    fs, inner = pafs.FileSystem.from_uri(path if ":" in path else f"file://{path}")
-    try:
-        return pq.read_schema(inner, filesystem=fs)
-    except pa.ArrowInvalid:
-        return pa.schema([])  # not a Parquet file, whatever its name
+def literal_path(path: str) -> str:
+    """A path in which no character is taken as a pattern."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
 
 
 def is_traj_file(spark: SparkSession, path: str) -> bool:
@@ -103,8 +104,10 @@ def read_trajectories(spark: SparkSession, groups: Iterable[Sequence[str]]) -> D
     """
     parts = []
     for paths in groups:
-        raw = spark.read.parquet(*paths).select(
-            *REQUIRED, F.col("_metadata.file_name").alias("src_id")
+        # the name Spark reports has its special characters percent-encoded
+        encoded = F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))
+        raw = spark.read.parquet(*map(literal_path, paths)).select(
+            *REQUIRED, F.url_decode(encoded).alias("src_id")
         )
         shaped = decode_geometry(raw, GEOMETRY)
         parts.append(

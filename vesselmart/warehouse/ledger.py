@@ -50,7 +50,7 @@ class LoadScope:
 
     def __init__(self, wh: Warehouse, pairs: Sequence[tuple[str, str]]):
         self.wh = wh
-        self.pairs = sorted(set(pairs))
+        self.pairs = list(dict.fromkeys(pairs))  # loads are numbered in the order given
         self.batch_id = -1
         self.load_ids: dict[tuple[str, str], int] = {}
         self._ingest: list[dt.datetime | None] = [None, None]
