@@ -260,9 +260,14 @@ def _linked(table: pa.Table) -> pa.Table:
 def verified(pairs: DataFrame, members: DataFrame, documents: DataFrame) -> DataFrame:
     """Those of ``pairs(a, b)`` whose texts link. ``members`` is (node, doc_id) with
     one document a node."""
-    degree = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("degree"))
-    groups = F.ceil(F.col("degree") / MEMBERS)
-    dealt = pairs.join(degree, "a").withColumn("salt", F.pmod(F.xxhash64("b"), groups))
+    # only centres of more than one group need be told apart
+    degree = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("degree")).filter(F.col("degree") > MEMBERS)
+    hubs = materialised(degree, "hubs")
+    few = hubs.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    groups = F.coalesce(F.ceil(F.col("degree") / MEMBERS), F.lit(1))
+    dealt = pairs.join(F.broadcast(hubs) if few else hubs, "a", "left").withColumn(
+        "salt", F.pmod(F.xxhash64("b"), groups)
+    )
     wanted = dealt.select("a", "salt", F.col("b").alias("node"), F.lit(False).alias("centre")).unionByName(
         dealt.select("a", "salt", F.col("a").alias("node"), F.lit(True).alias("centre")).distinct()
     )
