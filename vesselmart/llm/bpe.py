@@ -55,7 +55,7 @@ BLOCK = 4096
 #: Pieces of up to this many bytes are merged together in a matrix.
 SHORT = 32
 #: Pieces a worker remembers; when full it starts anew, which costs time only.
-MEMORY = 300_000
+MEMORY = 200_000
 
 
 def _byte_letters() -> dict[str, int]:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_dir
 
 #: Bytes of text a Python task works on at a time; bounds its memory, not its input.
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 #: Words are runs of anything but these (ASCII white space).
 SPACES = " \t\n\x0b\x0c\r"
 

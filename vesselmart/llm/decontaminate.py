@@ -43,7 +43,7 @@ SHORTEST = 24
 #: Characters of benchmark text searched for in one pass.
 BLOCK = 1_000_000
 #: Characters of documents filtered at a time.
-STRETCH = 1 << 20
+STRETCH = 1 << 19
 HITS = "doc_id long, item_id long, n_segments long, first long, least_edits long"
 _STEP = 0x9E3779B97F4A7C15
 #: Powers of the step that shift a hash by 1, 2 and 4 characters.

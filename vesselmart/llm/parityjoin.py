@@ -56,7 +56,7 @@ from .shingles import mix, shingle_sets
 BITS = 1024
 LONGS = BITS // 64
 #: Rows of keys a task combines at a time.
-COMBINED = 1 << 20
+COMBINED = 1 << 19
 #: Most sets compared with a centre in one group.
 MEMBERS = 64
 #: Most rows of a table counted to be small that are broadcast.

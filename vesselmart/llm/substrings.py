@@ -47,7 +47,7 @@ PERIOD = 13
 COVER = (0, 1, 3, 9)
 ANCHOR = WINDOW - PERIOD + 1
 #: Rows a task combines at a time.
-COMBINED = 1 << 20
+COMBINED = 1 << 19
 BROADCAST_ROWS = 500_000
 _STEPS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
 
