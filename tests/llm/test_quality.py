@@ -7,6 +7,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from vesselmart.llm import pairrank, quality
+from vesselmart.llm.common import materialised
 
 from .helpers import DOCUMENT, documents, prose, repeat_words
 
@@ -80,7 +81,7 @@ def test_distances_follow_the_estimate(spark):
         texts.append(text if k % 10 else text.upper().replace(" ", "!! ") + " ###" * 40)
     df = documents(spark, texts)
     rows = {r["doc_id"]: r for r in quality.judge(df).collect()}
-    sound = quality.base(df).filter("NOT base_failed")
+    sound = materialised(quality.base(df), "base").filter("NOT base_failed")
     table = sound.select("doc_id", *quality.statistics(sound)).toPandas().sort_values("doc_id")
     want = _mcd(table[list(quality.FEATURES)].to_numpy(float))
     got = np.array([rows[k]["distance"] for k in table["doc_id"]])

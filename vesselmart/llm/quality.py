@@ -51,7 +51,10 @@ PAIRS = [(i, j) for i in range(P) for j in range(i + 1)]
 
 def base(documents: DataFrame) -> DataFrame:
     """(doc_id, lang, source, n_words, word_chars, n_symbols, n_dup_lines,
-    n_repeat_words, base_failed) with lines and capitals counted besides."""
+    n_repeat_words, base_failed) with lines and capitals counted besides.
+
+    Write the result before filtering by it: a filter would be moved down and
+    repeat the counting for every use."""
     text = F.coalesce("text", F.lit(""))
     solid = F.filter(F.split(text, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
     df = documents.select(
