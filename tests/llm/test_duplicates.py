@@ -213,3 +213,34 @@ def test_long_texts_in_stretches(items, monkeypatch):
     monkeypatch.setattr(decontaminate, "STRETCH", 500)
     parts = list(index.hits([text]))
     assert [(h[1], h[2], h[4]) for h in whole] == [(h[1], h[2], h[4]) for h in parts] and whole
+
+
+def _found(index, texts):
+    return {h[0] for h in index.hits(texts)}
+
+
+def test_passages_from_every_offset():
+    item = decontaminate.plain(" ".join("".join(random.Random(k).choices("abcdefgh", k=2 + k % 9)) for k in range(40)))
+    index = decontaminate.Index([(1, item)])
+    n = decontaminate.PASSAGE
+    around = prose(30, 20) + " ", " " + prose(31, 20)
+    parts = [item[k:k + n] for k in range(len(item) - n + 1)]
+    words = item.split()
+    parts += [" ".join(words[k:k + 13]) for k in range(28)]
+    assert _found(index, [p.join(around) for p in parts]) == set(range(len(parts)))
+    # much shorter parts are nobody's
+    assert not _found(index, [item[k:k + 30].join(around) for k in range(len(item) - 30)])
+
+
+@pytest.mark.parametrize("n", [8, 14, 22])
+def test_one_replaced_word(n):
+    words = ["".join(random.Random(50 + k).choices("abcdefgh", k=2 + k % 9)) for k in range(n)]
+    index = decontaminate.Index([(1, " ".join(words))])
+    around = prose(32, 20) + " ", " " + prose(33, 20)
+    texts = []
+    for k in range(n):
+        for new in ([], ["xy"], ["considerations"], [words[k], "zzzzzz"]):
+            texts.append(" ".join(words[:k] + new + words[k + 1:]).join(around))
+    assert _found(index, texts) == set(range(len(texts)))
+    # two words in each dozen characters leave no passage
+    assert not _found(index, [" ".join("zzzz" if k % 2 else w for k, w in enumerate(words)).join(around)])
