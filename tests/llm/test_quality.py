@@ -168,3 +168,15 @@ def test_pair_loss_is_at_its_least():
     loss = lambda w: np.log1p(np.exp(-d @ w)).mean() + pairrank.RIDGE / 2 * (w**2).sum()
     w = model.weights.ravel()
     assert all(loss(w) <= loss(w + 0.01 * draw.normal(size=len(w))) for _ in range(20))
+
+
+def test_small_group_is_judged_by_its_language(spark):
+    texts = [prose(400 + k, 120, 5000) for k in range(205)]
+    texts[203] = texts[203].upper().replace(" ", "!! ") + " ###" * 40
+    rows = [(k, t, "de", "large" if k < 200 else "small", 1) for k, t in enumerate(texts)]
+    got = {r["doc_id"]: r for r in quality.judge(spark.createDataFrame(rows, DOCUMENT)).collect()}
+    assert len(got) == len(rows) and all(r["distance"] is not None for r in got.values())
+    assert [k for k in range(200, 205) if not got[k]["kept"]] == [203]
+    # the large group is judged by its own estimate
+    alone = quality.judge(spark.createDataFrame(rows[:200], DOCUMENT)).collect()
+    assert {k: got[k]["distance"] for k in range(200)} == {r["doc_id"]: r["distance"] for r in alone}

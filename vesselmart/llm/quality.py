@@ -9,8 +9,9 @@ documents nearest to the centre and estimate anew from them; a last estimate
 takes all within the 97.5 % quantile. A document is rejected whose squared
 Mahalanobis distance from its group exceeds ``cut``.
 
-Groups of fewer than ``MIN_GROUP`` documents are pooled, first over the sources
-of a language, then over all; a pool still smaller rejects nothing.
+Groups of fewer than ``MIN_GROUP`` documents are judged by an estimate over all
+documents of their language, those of its larger groups included. Languages that
+have fewer in all are pooled; a pool still smaller rejects nothing.
 
 Statistics are whole multiples of 1/4096 and are summed exactly, and quantiles
 come from counts by bin, so results do not depend on how rows are partitioned.
@@ -144,15 +145,30 @@ def _join_groups(df: DataFrame, groups: DataFrame, on: list[str], few: bool) ->
 
 
 def _with_group(df: DataFrame) -> DataFrame:
-    """Adds ``pool``: language and source, or what small groups are pooled to."""
+    """Adds ``pool``, whose estimate a row counts in, and ``judged``, whether by it.
+
+    That is language and source, or for small groups the language or all small
+    languages. Where a language is needed, the rows of its large groups come a
+    second time for its estimate, not to be judged by it.
+    """
     sized = df.groupBy("lang_key", "source_key").agg(F.count(F.lit(1)).alias("n"))
-    small = F.when(F.col("n") < MIN_GROUP, F.col("n"))
-    of_lang = sized.groupBy("lang_key").agg(F.sum(small).alias("rest"))
+    of_lang = sized.groupBy("lang_key").agg(
+        F.sum("n").alias("all_n"), F.min("n").alias("least_n")
+    )
     sized = sized.join(of_lang, "lang_key")
-    pool = F.when(
-        F.col("n") >= MIN_GROUP, F.to_json(F.struct("lang_key", "source_key"))
-    ).when(F.col("rest") >= MIN_GROUP, F.to_json(F.struct("lang_key"))).otherwise(F.lit("all"))
-    groups = materialised(sized.select("lang_key", "source_key", pool.alias("pool")), "pools")
+    own, lang = F.to_json(F.struct("lang_key", "source_key")), F.to_json(F.struct("lang_key"))
+    large = F.col("n") >= MIN_GROUP
+
+    def entry(pool: Column, judged: bool) -> Column:
+        return F.struct(pool.alias("pool"), F.lit(judged).alias("judged"))
+
+    entries = (
+        F.when(large & (F.col("least_n") < MIN_GROUP), F.array(entry(own, True), entry(lang, False)))
+        .when(large, F.array(entry(own, True)))
+        .when(F.col("all_n") >= MIN_GROUP, F.array(entry(lang, True)))
+        .otherwise(F.array(entry(F.lit("all"), True)))
+    )
+    groups = materialised(sized.select("lang_key", "source_key", F.inline(entries)), "pools")
     return _join_groups(df, groups, ["lang_key", "source_key"], _few(groups))
 
 
@@ -280,6 +296,7 @@ def judge(documents: DataFrame, cut: float = CUT) -> DataFrame:
     params = robust_params(pooled, few)
     # pools too small for an estimate get no row here, and so no distance
     params = params.join(sizes.filter(F.col("size") >= MIN_GROUP).select("pool"), "pool")
+    pooled = pooled.filter("judged")
     judged = _distance(pooled, params, few)
     rest = _join_groups(pooled, sizes.filter(F.col("size") < MIN_GROUP).drop("size"), ["pool"], few)
     rest = rest.withColumn("d2", F.lit(None).cast("double"))
