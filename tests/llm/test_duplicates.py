@@ -244,3 +244,14 @@ def test_one_replaced_word(n):
     assert _found(index, texts) == set(range(len(texts)))
     # two words in each dozen characters leave no passage
     assert not _found(index, [" ".join("zzzz" if k % 2 else w for k, w in enumerate(words)).join(around)])
+
+
+@pytest.mark.parametrize("parts", [1, 6])
+def test_substrings_of_repeated_and_missing_ids(spark, parts):
+    text, passage = prose(5, 80), prose(6, 60)
+    long = [prose(700 + k, 30) + " " + passage for k in range(3)]
+    pairs = [(1, text), (1, text), (None, long[0]), (4, long[1]), (4, long[2]), (5, None), (None, None)]
+    rows = substrings.deduplicate(documents(spark, pairs).repartition(parts)).collect()
+    got = sorted((-1 if r["doc_id"] is None else r["doc_id"], r["n_words"], r["n_removed"]) for r in rows)
+    # the passage stays in the row without id, the text in one of the equal rows
+    assert got == [(-1, 0, 0), (-1, 90, 0), (1, 80, 0), (1, 80, 80), (4, 90, 60), (4, 90, 60), (5, 0, 0)]

@@ -24,9 +24,10 @@ to one record are those of one document. Tables of document ids are broadcast
 only when counted below ``BROADCAST_ROWS``, else the join is a shuffle.
 
 Hashes are 64 bits for anchors, where a clash only costs time, and 96 bits for
-windows. Defined results: null texts have no words; rows with the same id and
-words count as copies, and of repeated ids with different words one order is as
-good as another (give distinct ids).
+windows. Defined results: null texts have no words. Null ids come first. Rows that
+share an id are rows of their own, in an order that is settled once: where ids are
+repeated or null, rows are sorted by id, numbered and written at the start, and the
+numbers stand for the ids.
 """
 
 from __future__ import annotations
@@ -295,8 +296,28 @@ def _firsts(documents: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return whole, copies, firsts
 
 
+def _numbered(documents: DataFrame) -> DataFrame:
+    """(row, doc_id, text), written; ``row`` follows the ids, nulls first."""
+    # sorted by place besides, so that rows of one id spread over several tasks
+    placed = documents.select(
+        F.col("doc_id").cast("long").alias("doc_id"), "text", F.monotonically_increasing_id().alias("place")
+    )
+    rows = placed.orderBy(F.col("doc_id").asc_nulls_first(), "place")
+    return materialised(rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text"), "rows")
+
+
 def deduplicate(documents: DataFrame) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256) of every row of ``documents(doc_id, text)``."""
+    held = documents.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    if held.filter("n > 1 OR doc_id IS NULL").isEmpty():
+        return _deduplicate(documents)
+    rows = _numbered(documents)
+    found = _deduplicate(rows.select(F.col("row").alias("doc_id"), "text")).withColumnRenamed("doc_id", "row")
+    return rows.select("row", "doc_id").join(found, "row").drop("row")
+
+
+def _deduplicate(documents: DataFrame) -> DataFrame:
+    """``deduplicate`` of rows with distinct ids."""
     whole, copies, firsts = _firsts(documents)
     ranges = materialised(repeated_ranges(firsts), "ranges")
     small = _few(ranges)
