@@ -180,3 +180,24 @@ def test_small_group_is_judged_by_its_language(spark):
     # the large group is judged by its own estimate
     alone = quality.judge(spark.createDataFrame(rows[:200], DOCUMENT)).collect()
     assert {k: got[k]["distance"] for k in range(200)} == {r["doc_id"]: r["distance"] for r in alone}
+
+
+def test_ranking_statistics_cover_all_rows(spark, monkeypatch):
+    docs, labels, known = _labelled(spark)
+    rates = materialised(pairrank.rates(docs), "rates")
+    x = rates.toPandas()[list(pairrank.RATES)].to_numpy(float)
+    scale, knots = pairrank.spread(rates)
+    assert np.allclose(scale, np.maximum(x.std(axis=0), 1e-6), atol=2e-4)
+    assert np.allclose(knots * scale[:, None], np.quantile(x, (0.25, 0.5, 0.75), axis=0, method="inverted_cdf").T, atol=2e-4)
+    seen = []
+    fit = pairrank.fit
+    monkeypatch.setattr(pairrank, "LABELLED", 40)
+    monkeypatch.setattr(pairrank, "fit", lambda *a: seen.append((a, fit(*a))) or seen[-1][1])
+    rows = {r["doc_id"]: r for r in pairrank.score(docs, labels).collect()}
+    (args, model), = seen
+    assert len(args[0]) == 40 and np.array_equal(model.scale, scale) and np.array_equal(model.knots, knots)
+    # no other division of all labels that are not held out is better
+    open_ = [(rows[k]["score"], q) for k, q, _ in known if not rows[k]["held_out"]]
+    up, down = ([s for s, q in open_ if q == v] for v in (1, 0))
+    balance = lambda t: np.mean([s >= t for s in up]) + np.mean([s < t for s in down])
+    assert balance(pairrank.ACCEPT) >= max(balance(np.quantile([r["score"] for r in rows.values()], q)) for q in np.linspace(0.01, 0.99, 50)) - 0.02

@@ -3,16 +3,18 @@
 Pairs of one good and one bad document are preferences. Under the Bradley-Terry
 model the good one wins with chance sigmoid(w . (x_good - x_bad)), so the weights
 are found by logistic loss on feature differences, with a small ridge. A
-document's strength is w . x; a quantile of the strengths of the labelled
-documents, the one that divides the labels best, is the threshold, and scores
-are logistic in the distance from it, ``ACCEPT`` at the threshold.
+document's strength is w . x; a quantile of the strengths of all documents, the
+one that divides the labels best, is the threshold, and scores are logistic in
+the distance from it, ``ACCEPT`` at the threshold.
 
 Features are rates of a whole text (``RATES``), each with hinges at its
 quartiles so that too little and too much can both count. They are computed by
 built-in functions; labels, language, source and id are not among them.
 
 Weights are fitted on the driver from at most ``LABELLED`` labelled documents, the
-first by a hash of their id, and ``PAIRS`` pairs; scoring covers all documents.
+first by a hash of their id, and ``PAIRS`` pairs. Standard deviations, quartiles and
+quantiles of strengths come from all documents and the threshold from all labels
+that are not held out, by exact sums and counts by bin.
 
 Defined results: null and empty texts have all rates 0 and get a score like any
 other; without both labels every score is 0.5; of several labels of a document
@@ -28,12 +30,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialised, word_array
+from .quality import _quantile_bins
 
 #: Most labelled documents the weights are fitted on.
 LABELLED = 20_000
 #: Preference pairs drawn from them.
 PAIRS = 60_000
 ACCEPT = 0.7
+#: Rates are summed and counted as whole multiples of 1 / FINE, larger ones as LARGEST.
+FINE, LARGEST = 4096, 1 << 14
+#: Bins of strengths in one unit; strengths beyond MOST either way count as that.
+BINS, MOST = 1024, 64
 RIDGE = 1e-2
 RATES = (
     "log_words", "distinct", "word_length", "symbols", "exclaims", "capitals", "digits",
@@ -99,11 +106,33 @@ def expanded(x: np.ndarray, knots: np.ndarray) -> np.ndarray:
     return np.concatenate([x[:, :, None], hinges], axis=2).reshape(len(x), -1)
 
 
-def fit(x: np.ndarray, good: np.ndarray) -> Ranking:
-    """Weights from rows of rates and their labels."""
-    scale = np.maximum(x.std(axis=0), 1e-6) if len(x) else np.ones(len(RATES))
+def spread(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Standard deviation of each rate and its quartiles in these, over all rows."""
+    whole = rows.select(
+        *[F.round(F.least(F.col(r), F.lit(float(LARGEST))) * FINE).cast("long").alias(r) for r in RATES]
+    )
+    sums = whole.agg(
+        F.count(F.lit(1)).alias("n"), *[F.sum(F.col(r).cast("decimal(20,0)")).alias(f"s_{r}") for r in RATES],
+        *[F.sum((F.col(r) * F.col(r)).cast("decimal(20,0)")).alias(f"q_{r}") for r in RATES],
+    ).first()
+    n = sums["n"]
+    if not n:
+        return np.ones(len(RATES)), np.zeros((len(RATES), 3))
+    # whole numbers up to the division, so that nothing cancels
+    squares = [(n * int(sums[f"q_{r}"]) - int(sums[f"s_{r}"]) ** 2) / n**2 for r in RATES]
+    scale = np.maximum(np.sqrt(squares) / FINE, 1e-6)
+    long = whole.select(F.posexplode(F.array(*RATES)).alias("f", "bin"))
+    quartiles = {r["f"]: (r["q0"], r["q1"], r["q2"]) for r in _quantile_bins(long, ["f"], (0.25, 0.5, 0.75)).collect()}
+    return scale, np.array([quartiles[k] for k in range(len(RATES))]) / FINE / scale[:, None]
+
+
+def fit(x: np.ndarray, good: np.ndarray, scale: np.ndarray | None = None, knots: np.ndarray | None = None) -> Ranking:
+    """Weights from rows of rates and their labels; scale and knots of these rows unless given."""
+    if scale is None:
+        scale = np.maximum(x.std(axis=0), 1e-6) if len(x) else np.ones(len(RATES))
     z = x / scale
-    knots = np.quantile(z, (0.25, 0.5, 0.75), axis=0).T if len(x) else np.zeros((len(RATES), 3))
+    if knots is None:
+        knots = np.quantile(z, (0.25, 0.5, 0.75), axis=0).T if len(x) else np.zeros((len(RATES), 3))
     flat = Ranking(scale, knots, np.zeros((len(RATES), 4)), 0.0, False)
     up, down = np.flatnonzero(good == 1), np.flatnonzero(good == 0)
     if not len(up) or not len(down):
@@ -121,14 +150,25 @@ def fit(x: np.ndarray, good: np.ndarray) -> Ranking:
         w -= step
         if np.abs(step).max() < 1e-8:
             break
-    strength = rows @ w
-    candidates = np.unique(np.quantile(strength, np.linspace(0.005, 0.995, 199)))
-    balance = [
-        (strength[up] >= t).mean() + (strength[down] < t).mean() for t in candidates
-    ]
+    return Ranking(scale, knots, w.reshape(len(RATES), 4), 0.0)
+
+
+def dividing(rows: DataFrame, known: DataFrame, model: Ranking) -> float:
+    """Of 199 quantiles of the strengths of all rows the one that divides the known labels best."""
+    edge = F.lit(float(MOST))
+    bin_ = F.floor(F.least(F.greatest(model.column(), -edge), edge) * BINS)
+    both = rows.select("doc_id", bin_.alias("bin")).join(known, "doc_id", "left")
+    bins = both.groupBy("bin").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("label") == 1).alias("up"),
+        F.count_if(F.col("label") == 0).alias("down"),
+    ).toPandas().sort_values("bin")
+    n, up, down = (bins[c].to_numpy(np.int64) for c in ("n", "up", "down"))
+    upto = np.cumsum(n)
+    at = np.unique(np.searchsorted(upto, np.linspace(0.005, 0.995, 199) * upto[-1]))
+    balance = (up.sum() - np.cumsum(up)[at] + up[at]) / up.sum() + (np.cumsum(down)[at] - down[at]) / down.sum()
     # of equally good quantiles the middle one
     best = np.flatnonzero(np.isclose(balance, max(balance)))
-    return Ranking(scale, knots, w.reshape(len(RATES), 4), float(candidates[best[len(best) // 2]]))
+    return float(bins["bin"].to_numpy()[at[best[len(best) // 2]]]) / BINS
 
 
 def held_out(doc_id: Column) -> Column:
@@ -139,9 +179,13 @@ def score(documents: DataFrame, labels: DataFrame, label: str = "quality") -> Da
     """(doc_id, held_out, score, predicted) of every document; held-out labels are not used."""
     rows = materialised(rates(documents), "rates")
     known = labels.filter(F.col(label).isNotNull()).groupBy("doc_id").agg(F.min(label).alias("label"))
-    sample = rows.join(known.filter(~held_out(F.col("doc_id"))), "doc_id")
+    known = known.filter(~held_out(F.col("doc_id")))
+    scale, knots = spread(rows)
+    sample = rows.join(known, "doc_id")
     sample = sample.orderBy(F.xxhash64("doc_id"), "doc_id").limit(LABELLED).toPandas()
-    model = fit(sample[list(RATES)].to_numpy(np.float64), sample["label"].to_numpy())
+    model = fit(sample[list(RATES)].to_numpy(np.float64), sample["label"].to_numpy(), scale, knots)
+    if model.fitted:
+        model.threshold = dividing(rows, known, model)
     offset = float(np.log(ACCEPT / (1 - ACCEPT)))
     value = F.lit(0.5)
     if model.fitted:
