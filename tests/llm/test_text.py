@@ -45,6 +45,32 @@ def test_encode_and_decode_keep_other_columns(spark):
     assert back.columns == ["doc_id", "text", "lang", "source", "n_chars", "rank", "ids", "decoded"]
     assert all(r["decoded"] == (r["text"] or "") and r["rank"] == "kept" for r in rows)
     assert bpe.round_trip(documents(spark, []), JSON).count() == 0
+    both = bpe.with_ids(df.withColumnRenamed("rank", "decodes"), JSON)
+    assert both.columns == ["doc_id", "lang", "source", "n_chars", "ids", "decodes"]
+    want = {r["doc_id"]: r["ids"] for r in rows}
+    assert all(r["decodes"] and r["ids"] == want[r["doc_id"]] for r in both.collect())
+
+
+def test_rows_of_null_and_repeated_ids_are_encoded_each(spark):
+    df = documents(spark, [(None, "ab"), (4, "ab"), (4, "ab"), (4, "cd"), (None, None)])
+    assert sorted(r["n_tokens"] for r in bpe.round_trip(df, JSON).collect()) == [0, 1, 1, 1, 1]
+    counted = wordpieces.count_pieces(df, RANKS).collect()
+    assert sorted((r["doc_id"] or 0) for r in counted) == [0, 0, 4, 4, 4]
+
+
+def test_a_piece_of_a_million_letters(spark):
+    text = "ab" * 500_000
+    got = bpe.round_trip(documents(spark, [text]), JSON).first()
+    assert got["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+    assert got["n_tokens"] <= 500_000
+
+
+def test_a_full_memory_starts_anew():
+    codec = bpe.Codec(bpe.Vocabulary(open(JSON, encoding="utf-8").read()))
+    first = codec.encode(["some words here"])
+    codec.used = bpe.MEMORY + 1
+    assert codec.encode(["other words"]) and codec.used < 10_000
+    assert codec.encode(["some words here"]) == first
 
 
 def test_one_tree_and_many_agree():
@@ -53,8 +79,8 @@ def test_one_tree_and_many_agree():
     pieces = [bytes(draw.choices(b"thanigerd\xc3\xa9 ", k=draw.randint(1, 32))) for _ in range(500)]
     many = bpe.merge_many(pieces, 32, vocab)
     for piece, packed in zip(pieces, many):
-        one = bpe.merge_one(vocab.byte_ids[np.frombuffer(piece, np.uint8)].tolist(), vocab)
-        assert np.frombuffer(packed, "<u4").tolist() == one
+        one = bpe.merge_one(vocab.symbols(piece), vocab)
+        assert np.frombuffer(packed, "<u4").tolist() == one.tolist()
 
 
 def _greedy(word, vocabulary):

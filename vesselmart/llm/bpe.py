@@ -6,8 +6,9 @@ keeps minima, so its root is the leftmost pair of lowest rank. A merge changes
 three leaves, each repaired in logarithmic time, until the root holds no pair.
 
 Short pieces of one batch are worked on together, one tree a row of a matrix;
-longer ones get a tree of their own. The vocabulary file is read on the driver
-and broadcast: its size does not depend on the data.
+longer ones get a tree of their own, of some 45 bytes of memory for each byte of
+the piece. The vocabulary file is read on the driver and broadcast: its size does
+not depend on the data. A worker's memory of pieces is bounded by bytes.
 
 Defined results: null and empty texts give no ids and decode to an empty text;
 bytes that are no UTF-8 decode to U+FFFD; other columns pass through ``encode``
@@ -19,7 +20,9 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections.abc import Iterator
+from array import array
+from bisect import bisect_left
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -54,11 +57,13 @@ _FAR = np.int32(2**31 - 1)
 BLOCK = 4096
 #: Pieces of up to this many bytes are merged together in a matrix.
 SHORT = 32
-#: Pieces a worker remembers; when full it starts anew, which costs time only.
-MEMORY = 200_000
+#: Bytes of pieces a worker remembers; when full it starts anew, which costs time only.
+MEMORY = 48 << 20
+#: What a remembered piece takes besides its bytes.
+ENTRY = 200
 
 
-def _byte_letters() -> dict[str, int]:
+def byte_letters() -> dict[str, int]:
     """Printable stand-ins of the 256 bytes in vocabulary files of this kind."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     letters = {chr(b): b for b in plain}
@@ -71,18 +76,23 @@ class Vocabulary:
 
     def __init__(self, source: str):
         model = json.loads(source)
-        letters = _byte_letters()
+        letters = byte_letters()
         vocab: dict[str, int] = model["model"]["vocab"]
         self.special = {t["content"]: t["id"] for t in model.get("added_tokens", [])}
         self.size = 1 + max([*vocab.values(), *self.special.values()])
+        # set in vocabularies of words, on the last symbol of each piece
+        suffix = model["model"].get("end_of_word_suffix") or ""
         self.token_bytes = [b""] * self.size
         for token, number in vocab.items():
-            self.token_bytes[number] = bytes(letters[c] for c in token)
+            if number not in self.special.values():
+                plain = token[:-len(suffix)] if suffix and token.endswith(suffix) else token
+                self.token_bytes[number] = bytes(letters[c] for c in plain)
         for token, number in self.special.items():
             self.token_bytes[number] = token.encode()
-        self.byte_ids = np.empty(256, np.int32)
+        self.byte_ids, self.last_ids = np.empty(256, np.int32), np.empty(256, np.int32)
         for letter, byte in letters.items():
             self.byte_ids[byte] = vocab[letter]
+            self.last_ids[byte] = vocab[letter + suffix]
         merges = [m if isinstance(m, list) else m.split(" ") for m in model["model"]["merges"]]
         left = np.array([vocab[a] for a, _ in merges], np.int64)
         right = np.array([vocab[b] for _, b in merges], np.int64)
@@ -90,10 +100,11 @@ class Vocabulary:
         keys = left * self.size + right
         self.order = np.argsort(keys, kind="stable").astype(np.int32)
         self.keys = keys[self.order]
-        self.byte_pairs = self.ranks(
-            np.repeat(self.byte_ids, 256), np.tile(self.byte_ids, 256)
-        ).reshape(256, 256)
-        self.pairs = {int(k): r for r, k in reversed(list(enumerate(keys.tolist())))}
+        # ranks of two bytes inside a piece, and of the two at its end
+        self.byte_pairs, self.last_pairs = (
+            self.ranks(np.repeat(self.byte_ids, 256), np.tile(second, 256)).reshape(256, 256)
+            for second in (self.byte_ids, self.last_ids)
+        )
         self.split_special = (
             regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
             if self.special else None
@@ -107,25 +118,38 @@ class Vocabulary:
         good = (self.keys[at] == keys) & (left >= 0) & (right >= 0)
         return np.where(good, self.order[at], np.int32(-1))
 
+    def symbols(self, piece: bytes) -> np.ndarray:
+        """A piece's bytes as the symbols that merging begins with."""
+        octets = np.frombuffer(piece, np.uint8)
+        out = self.byte_ids[octets]
+        out[-1:] = self.last_ids[octets[-1:]]
+        return out
+
 
-def merge_one(symbols: list[int], vocab: Vocabulary) -> list[int]:
+def merge_one(row: np.ndarray, vocab: Vocabulary) -> np.ndarray:
     """Merge one row of symbols with a segment tree of its own."""
-    n = len(symbols)
+    n = len(row)
     if n < 2:
-        return symbols
+        return row
     leaves = 1 << (n - 1).bit_length()
-    none, size, pairs = _NONE, vocab.size, vocab.pairs
+    none, size, keys = _NONE, vocab.size, vocab.keys
+    symbols = array("i", row.astype(np.int32).tobytes())
 
     def leaf(i: int, j: int) -> int:
-        rank = pairs.get(symbols[i] * size + symbols[j])
-        return none if rank is None else rank * leaves + i
+        key = symbols[i] * size + symbols[j]
+        at = bisect_left(keys, key)
+        return int(vocab.order[at]) * leaves + i if at < len(keys) and keys[at] == key else none
 
-    tree = [none] * (2 * leaves)
-    for i in range(n - 1):
-        tree[leaves + i] = leaf(i, i + 1)
-    for k in range(leaves - 1, 0, -1):
-        tree[k] = min(tree[2 * k], tree[2 * k + 1])
-    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    ranks = vocab.ranks(row[:-1], row[1:]).astype(np.int64)
+    packed = np.full(2 * leaves, none, np.int64)
+    packed[leaves:leaves + n - 1] = np.where(ranks >= 0, ranks * leaves + np.arange(n - 1), none)
+    width = leaves // 2
+    while width:
+        packed[width:2 * width] = np.minimum(packed[2 * width:4 * width:2], packed[2 * width + 1:4 * width:2])
+        width //= 2
+    tree = array("q", packed.tobytes())
+    del packed, ranks
+    after, before = array("i", range(1, n + 1)), array("i", range(-1, n - 1))
 
     def put(i: int, value: int) -> None:
         k = leaves + i
@@ -150,7 +174,8 @@ def merge_one(symbols: list[int], vocab: Vocabulary) -> list[int]:
             put(i, none)
         if before[i] >= 0:
             put(before[i], leaf(before[i], i))
-    return [s for s in symbols if s >= 0]
+    merged = np.frombuffer(symbols, np.int32)
+    return merged[merged >= 0]
 
 
 def merge_many(pieces: list[bytes], leaves: int, vocab: Vocabulary) -> list[bytes]:
@@ -173,13 +198,18 @@ def _merge_block(pieces: list[bytes], leaves: int, vocab: Vocabulary) -> list[by
     octets = np.frombuffer(b"".join(pieces), np.uint8)
     symbols = np.full(rows * wide, -1, np.int32)
     symbols[row * wide + column] = vocab.byte_ids[octets]
+    symbols[np.arange(rows) * wide + lengths - 1] = vocab.last_ids[octets[np.cumsum(lengths) - 1]]
     after = np.tile(np.arange(1, wide + 1, dtype=np.int32), rows)
     after[np.arange(rows) * wide + lengths - 1] = leaves
     before = np.tile(np.arange(-1, leaves, dtype=np.int32), rows)
     tree = np.full((rows, 2 * leaves), _FAR, np.int32)
     inner = column[1:] > 0  # bytes that follow another one of their piece
-    pair = vocab.byte_pairs[octets[:-1][inner], octets[1:][inner]]
     place = column[1:][inner] - 1
+    pair = np.where(
+        place + 2 == lengths[row[1:][inner]],
+        vocab.last_pairs[octets[:-1][inner], octets[1:][inner]],
+        vocab.byte_pairs[octets[:-1][inner], octets[1:][inner]],
+    )
     tree[row[1:][inner], leaves + place] = np.where(pair >= 0, pair * leaves + place, _FAR)
     width = leaves // 2
     while width:
@@ -237,28 +267,35 @@ def pre_tokens(text: str) -> list[str]:
     return FIND_LATIN(text)
 
 
+def merge_pieces(pieces: Iterable[bytes], vocab: Vocabulary) -> Iterator[tuple[bytes, bytes]]:
+    """Each piece (of one byte at least) with its ids as packed 32-bit integers."""
+    by_size: dict[int, list[bytes]] = {}
+    for piece in pieces:
+        n = len(piece)
+        by_size.setdefault(max(2, 1 << (n - 1).bit_length()) if n <= SHORT else 0, []).append(piece)
+    for leaves, some in by_size.items():
+        if leaves:
+            yield from zip(some, merge_many(some, leaves, vocab))
+        else:
+            for piece in some:
+                yield piece, merge_one(vocab.symbols(piece), vocab).astype("<u4").tobytes()
+
+
 class Codec:
     """Encoder and decoder of one worker, with a memory of pieces seen."""
 
     def __init__(self, vocab: Vocabulary):
         self.vocab = vocab
         self.memory: dict[str, bytes] = {}
+        self.used = 0
 
     def _learn(self, pieces: set[str]) -> None:
-        if len(self.memory) + len(pieces) > MEMORY:
-            self.memory = {p: self.memory[p] for p in pieces if p in self.memory}
-        by_size: dict[int, list[str]] = {}
-        for piece in pieces.difference(self.memory):
-            n = len(piece.encode())
-            by_size.setdefault(max(2, 1 << (n - 1).bit_length()) if n <= SHORT else 0, []).append(piece)
-        for leaves, some in by_size.items():
-            if leaves:
-                self.memory.update(zip(some, merge_many([p.encode() for p in some], leaves, self.vocab)))
-            else:
-                for piece in some:
-                    ids = merge_one(self.vocab.byte_ids[np.frombuffer(piece.encode(), np.uint8)].tolist(), self.vocab)
-                    self.memory[piece] = np.array(ids, "<u4").tobytes()
-
+        if self.used > MEMORY:
+            self.memory, self.used = {}, 0
+        new = {p.encode(): p for p in pieces.difference(self.memory)}
+        for piece, packed in merge_pieces(new, self.vocab):
+            self.memory[new[piece]] = packed
+            self.used += len(piece) + len(packed) + ENTRY
 
     def encode(self, many: list[str]) -> list[bytes]:
         """Ids of each text, packed as little-endian unsigned 32-bit integers."""
@@ -310,6 +347,12 @@ def _with_column(batch: pa.RecordBatch, out: str, values: pa.Array) -> pa.Record
     return pa.RecordBatch.from_arrays([*(batch.column(n) for n in kept), values], [*kept, out])
 
 
+def _id_lists(packed: list[bytes]) -> pa.ListArray:
+    offsets = np.cumsum([0, *(len(p) // 4 for p in packed)])
+    ids = np.frombuffer(b"".join(packed), "<u4").astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids))
+
+
 def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids") -> DataFrame:
     """``df`` with the token ids of column ``text`` as an array of integers."""
     source = _source(df, path)
@@ -318,13 +361,7 @@ def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids") -> Da
         codec = _codec(source.value)
         for batch in batches:
             for part in by_bytes(batch, text):
-                packed = codec.encode(texts(part, text))
-                offsets = np.cumsum([0, *(len(p) // 4 for p in packed)])
-                ids = pa.ListArray.from_arrays(
-                    pa.array(offsets, pa.int32()),
-                    pa.array(np.frombuffer(b"".join(packed), "<u4").astype(np.int32)),
-                )
-                yield _with_column(part, out, ids)
+                yield _with_column(part, out, _id_lists(codec.encode(texts(part, text))))
 
     return df.mapInArrow(work, _schema(df, out, T.ArrayType(T.IntegerType())))
 
@@ -346,6 +383,33 @@ def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") ->
     return df.mapInArrow(work, _schema(df, out, T.StringType()))
 
 
+def with_ids(df: DataFrame, path: str, text: str = "text", ids: str = "ids", same: str = "decodes") -> DataFrame:
+    """``df`` with token ids in place of ``text``, and whether they decode to it.
+
+    Both directions in one Python function, so that a task has one worker with
+    one vocabulary.
+    """
+    source = _source(df, path)
+    kept = [f for f in df.schema.fields if f.name not in (text, ids, same)]
+    schema = T.StructType([
+        *kept, T.StructField(ids, T.ArrayType(T.IntegerType())), T.StructField(same, T.BooleanType())
+    ])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = _codec(source.value)
+        for batch in batches:
+            for part in by_bytes(batch, text):
+                many = texts(part, text)
+                packed = codec.encode(many)
+                decodes = [codec.decode(np.frombuffer(p, "<u4")) == t for p, t in zip(packed, many)]
+                columns = [part.column(part.schema.get_field_index(f.name)) for f in kept]
+                yield pa.RecordBatch.from_arrays(
+                    [*columns, _id_lists(packed), pa.array(decodes)], [*(f.name for f in kept), ids, same]
+                )
+
+    return df.mapInArrow(work, schema)
+
+
 DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 

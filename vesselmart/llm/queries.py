@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    bpe, chatwindows, decontaminate, pairrank, parityjoin, pii, quality, substrings, urlratio,
-    wordpieces,
+    bpe, chatwindows, decontaminate, packing, pairrank, parityjoin, pii, quality, substrings,
+    urlratio, whitening, wordpieces,
 )
 from .common import table
 from .registry import ORACLES, QUERIES, query
@@ -136,3 +136,17 @@ def op9_parity_sketch_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every document, disguised writing included."""
     return pii.detect(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op11_bit_sliced_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened components of every usable embedding, fitted on the distinct ones."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op13_histogram_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every piece of every document in sequences of 4096 tokens."""
+    return packing.pack(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), with_ids=False
+    )
