@@ -51,11 +51,9 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids of every document, and whether they decode to its text."""
     path = public_tokenizers.path("byte_bpe_50k.json")
-    decoded = bpe.decode(bpe.encode(docs.select("doc_id", "lang", "source", "text"), path), path)
-    same = F.col("decoded") == F.coalesce("text", F.lit(""))
-    return decoded.select(
-        "doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
-        same.alias("decodes"),
+    made = bpe.with_ids(docs.select("doc_id", "lang", "source", "text"), path)
+    return made.select(
+        "doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "decodes"
     )
 
 
