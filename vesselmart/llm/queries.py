@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from . import (
     bpe, chatwindows, decontaminate, packing, pairrank, parityjoin, pii, quality, substrings,
-    urlratio, whitening, wordpieces,
+    treap, urlratio, whitening, wordpieces,
 )
 from .common import table
 from .registry import ORACLES, QUERIES, query
@@ -144,6 +144,43 @@ def op11_bit_sliced_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
+OP12_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), u AS (SELECT r, doc_id, len(terms) AS n FROM d WHERE len(terms) > 0),
+s AS (SELECT count(*) AS docs, sum(n) :: BIGINT AS len FROM u),
+q AS (
+  SELECT i, item_id, translate(term, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term, count(*) AS again
+  FROM (
+    SELECT row_number() OVER () AS i, item_id,
+      unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark
+  ) GROUP BY ALL
+), t AS (
+  SELECT r, translate(term, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term, count(*) AS tf
+  FROM (SELECT r, unnest(terms) AS term FROM d) GROUP BY ALL
+), w AS (
+  SELECT term, floor(1000 * ln((2.0 :: DOUBLE * docs + 2) / (2 * count(*) + 1))) :: BIGINT AS w
+  FROM t, s WHERE term IN (SELECT term FROM q) GROUP BY term, docs
+), g AS (
+  SELECT i, item_id, r, doc_id,
+    sum(again * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // len)))) :: BIGINT AS score
+  FROM q JOIN w USING (term) JOIN t USING (term) JOIN u USING (r), s GROUP BY ALL
+), p AS (
+  SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS FIRST) AS rank FROM g WHERE score > 0
+)
+SELECT item_id, rank :: INT AS rank, doc_id, score FROM p WHERE rank <= 20
+"""
+
+
+@query(OP12_SQL)
+def op12_treap_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of every benchmark item."""
+    index = treap.build(table(spark, sf_dir, "documents"))
+    return treap.search(index, table(spark, sf_dir, "benchmark"), 20)
+
+
 @query()
 def op13_histogram_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place of every piece of every document in sequences of 4096 tokens."""
