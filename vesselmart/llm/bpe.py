@@ -21,7 +21,7 @@ import hashlib
 import json
 import re
 from array import array
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -269,16 +269,15 @@ def pre_tokens(text: str) -> list[str]:
 
 def merge_pieces(pieces: Iterable[bytes], vocab: Vocabulary) -> Iterator[tuple[bytes, bytes]]:
     """Each piece (of one byte at least) with its ids as packed 32-bit integers."""
-    by_size: dict[int, list[bytes]] = {}
-    for piece in pieces:
-        n = len(piece)
-        by_size.setdefault(max(2, 1 << (n - 1).bit_length()) if n <= SHORT else 0, []).append(piece)
-    for leaves, some in by_size.items():
-        if leaves:
-            yield from zip(some, merge_many(some, leaves, vocab))
-        else:
-            for piece in some:
-                yield piece, merge_one(vocab.symbols(piece), vocab).astype("<u4").tobytes()
+    ordered = sorted(pieces, key=len)
+    start, leaves = 0, 2
+    while leaves <= SHORT:
+        end = bisect_right(ordered, leaves, start, key=len)
+        some = ordered[start:end]
+        yield from zip(some, merge_many(some, leaves, vocab))
+        start, leaves = end, 2 * leaves
+    for piece in ordered[start:]:
+        yield piece, merge_one(vocab.symbols(piece), vocab).astype("<u4").tobytes()
 
 
 class Codec:

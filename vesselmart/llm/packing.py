@@ -40,11 +40,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .bpe import ENTRY, MEMORY, Vocabulary, byte_letters, merge_pieces
+from .bpe import ENTRY, Vocabulary, byte_letters, merge_pieces
 from .common import by_bytes, materialised, texts
 
 CAPACITY = 4096
 SEPARATOR = 1
+#: Bytes of pieces a worker remembers; when full it starts anew, which costs time only.
+MEMORY = 160 << 20
 #: The tokenizer's own pattern (fixed) for Latin-1: contractions, letters, single
 #: digits, other signs. Keys keep their case, which is lowered when merged.
 _LETTERS, _DIGITS, _SPACE = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe", "\t-\r \x85\xa0"
@@ -102,19 +104,20 @@ class Encoder:
     def _learn(self, pieces: set[str]) -> None:
         if self.used > MEMORY:
             self.memory, self.used = {}, 0
-        known, plain, cut = self.memory, {}, {}
+        known = self.memory
         fresh = pieces.difference(known)
-        for piece in fresh:
-            if any(m in piece for m in self.marks):
-                known[piece] = np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
-            elif _is_latin(piece):
-                plain[piece] = piece.lower().encode()
-            else:
-                cut[piece] = self._cut(piece)
-        merged = dict(merge_pieces({*plain.values(), *(p for some in cut.values() for p in some)}, self.vocab))
-        known.update((piece, merged[p]) for piece, p in plain.items())
+        marked = {p for m in self.marks for p in fresh if m in p}
+        for piece in marked:
+            ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
+            known[piece] = np.array(ids, "<u4").tobytes()
+        rest = [p for p in fresh if p not in marked] if marked else list(fresh)
+        latin = [p for p in rest if p.isascii() or _is_latin(p)]
+        plain = list(map(str.encode, map(str.lower, latin)))
+        cut = {p: self._cut(p) for p in set(rest).difference(latin)} if len(latin) < len(rest) else {}
+        merged = dict(merge_pieces({*plain, *(p for some in cut.values() for p in some)}, self.vocab))
+        known.update(zip(latin, map(merged.__getitem__, plain)))
         known.update((piece, b"".join([merged[p] for p in some])) for piece, some in cut.items())
-        self.used += sum(2 * len(p) + ENTRY for p in fresh)
+        self.used += 2 * sum(map(len, fresh)) + ENTRY * len(fresh)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as packed little-endian unsigned 32-bit integers."""
