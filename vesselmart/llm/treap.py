@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from .common import by_bytes, materialised, texts
 
 #: Most documents and about as many term occurrences a segment holds.
-DOCUMENTS, POSTINGS = 1 << 14, 1 << 20
+DOCUMENTS, POSTINGS = 1 << 13, 1 << 18
 #: Characters of items searched for in one pass.
 BLOCK = 400_000
 #: Ranges of an item split at a time before it has k documents.
@@ -182,14 +182,15 @@ class Treap:
 
     def __init__(self, levels: int, top: int, bits: list[bytes], drops: list[bytes]):
         self.levels = levels
-        present, most, nodes = [], [np.array([top], np.int64)], 1
+        present, most, nodes = [], [np.array([top], np.int32)], 1  # impacts are below 10**6
         for packed, drop in zip(bits, drops):
             here = np.unpackbits(np.frombuffer(packed, np.uint8), count=4 * nodes)
             present.append(here)
             parent = np.repeat(most[-1], here.reshape(-1, 4).sum(axis=1, dtype=np.int64))
             nodes = len(parent)
-            most.append(parent - _unpacked(drop, nodes))
-        self.present = np.concatenate(present).astype(bool)
+            parent -= _unpacked(drop, nodes).astype(np.int32)
+            most.append(parent)
+        self.present = np.concatenate(present).view(bool)
         #: bits set up to and with a quadrant's: the number of its node
         self.node = np.cumsum(self.present, dtype=np.int32)
         self.most = np.concatenate(most)
