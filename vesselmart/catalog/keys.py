@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import functions as V
@@ -194,30 +194,46 @@ def quadkey_to_zxy(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# as TILES, with up to 32 levels and numbers that fill them
+DEEP_TILES = """
+  select l_orderkey, l_linenumber, cast(l_orderkey % 33 as integer) as z,
+    (l_partkey * 2654435 + l_linenumber * 97) % 4294967296 as x,
+    (l_suppkey * 40503271 + l_linenumber * 89) % 4294967296 as y from lineitem
+"""
+
+
 @query(f"""
 with k as (select l_orderkey, l_linenumber, array_to_string({DIGITS}, '') as q
-  from (select * from ({TILES}) where z between 1 and 16) t),
+  from (select * from ({DEEP_TILES}) where z > 0) t),
 b as (select *, replace(replace(replace(replace(
     translate(q, '0123', 'abcd'), 'a', '00'), 'b', '01'), 'c', '10'), 'd', '11') as bits from k)
 select l_orderkey, l_linenumber, bits,
   case when length(q) <= 8 then cast(cast(bits as bit) as smallint)::bigint end as i16,
-  cast(cast(bits as bit) as integer)::bigint as i32, cast(cast(bits as bit) as bigint) as i64,
+  case when length(q) <= 16 then cast(cast(bits as bit) as integer)::bigint end as i32,
+  cast(cast(bits as bit) as bigint) as i64,
   case when length(q) <= 8 then cast(cast(bits as bit) as usmallint)::bigint end as u16,
-  cast(cast(bits as bit) as uinteger)::bigint as u32, cast(cast(bits as bit) as ubigint)::bigint as u64
+  case when length(q) <= 16 then cast(cast(bits as bit) as uinteger)::bigint end as u32,
+  cast(cast(cast(bits as bit) as ubigint) as varchar) as u64
 from b""")
 def quadkey_encode_widths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    keys = _tiles(spark, sf_dir).filter("z BETWEEN 1 AND 16").withColumn(
-        "q", V.zxy_to_quadkey("z", "x", "y")
-    )
-    short = F.length("q") <= 8
+    part, supp, line = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
+    keys = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", (F.col("l_orderkey") % 33).cast("int").alias("z"),
+        ((part * 2654435 + line * 97) % 2**32).alias("x"),
+        ((supp * 40503271 + line * 89) % 2**32).alias("y"),
+    ).filter("z > 0").withColumn("q", V.zxy_to_quadkey("z", "x", "y"))
+
+    def up_to(digits: int, value: Column) -> Column:
+        return F.when(F.length("q") <= digits, value).cast("bigint")
+
     return keys.select(
         "l_orderkey", "l_linenumber", V.quadkey_bit_encode("q").alias("bits"),
-        F.when(short, V.quadkey_int16_encode("q")).cast("bigint").alias("i16"),
-        V.quadkey_int32_encode("q").cast("bigint").alias("i32"),
+        up_to(8, V.quadkey_int16_encode("q")).alias("i16"),
+        up_to(16, V.quadkey_int32_encode("q")).alias("i32"),
         V.quadkey_int64_encode("q").alias("i64"),
-        F.when(short, V.quadkey_uint16_encode("q")).cast("bigint").alias("u16"),
-        V.quadkey_uint32_encode("q").alias("u32"),
-        V.quadkey_uint64_encode("q").cast("bigint").alias("u64"),
+        up_to(8, V.quadkey_uint16_encode("q")).alias("u16"),
+        up_to(16, V.quadkey_uint32_encode("q")).alias("u32"),
+        V.quadkey_uint64_encode("q").cast("string").alias("u64"),
     )
 
 

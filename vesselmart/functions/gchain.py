@@ -6,6 +6,8 @@ factor-ten refinement of a base cell.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -38,29 +40,36 @@ def to_gchain_key(
     """
     levels = gchain_levels(base_size)
     size = float(base_size)
-    key = F.lit(1).cast("bigint")
-    inside = F.lit(True)
-    axes = []
-    for value, low, high in ((dbl(x), x_min, x_max), (dbl(y), y_min, y_max)):
-        base = F.floor((value - dbl(low)) / size)
-        last = F.floor((dbl(high) - dbl(low)) / size) - 1
-        # an infinite value falls outside by itself, NaN would not
-        inside = inside & ~F.isnan(value) & base.between(F.lit(0), last)
-        axes.append(_steps(value - (base * size + dbl(low)), levels))
-    for i, j in zip(*axes):
-        key = key * 100 + j * 10 + i
-    return F.when(inside, key).otherwise(F.lit(-1).cast("bigint"))
-
-
-def _steps(rest: Column, levels: int) -> list[Column]:
-    """Digit of each level along one axis, for a place within its base cell.
+    key = F.lit(100**levels).cast("bigint")
+    inside = []
+    for place, value, low, high in ((1, dbl(x), x_min, x_max), (10, dbl(y), y_min, y_max)):
+        base = (value - dbl(low)) / size
+        # compared as they are, cells need not be rounded down; NaN is above every number
+        inside += [base >= 0, base < F.floor((dbl(high) - dbl(low)) / size).cast("double")]
+        steps = _steps(value - (F.floor(base) * size + dbl(low)), levels)
+        key = key + (_every_second(steps, levels) * place if place > 1 else _every_second(steps, levels))
+    return F.when(reduce(lambda a, b: a & b, inside), key).otherwise(F.lit(-1).cast("bigint"))
+
+
+def _steps(rest: Column, levels: int) -> Column:
+    """Finest cells before a place within its base cell, along one axis.
 
     The finest cells are ten units wide. Rounding on fractional bounds cannot
     carry a place past the base cell.
     """
     last = 10**levels - 1
-    number = F.greatest(F.lit(0), F.least(F.lit(last), F.floor(rest / 10.0))).cast("bigint")
-    return [idiv(number, 10 ** (levels - level)) % 10 for level in range(1, levels + 1)]
+    return F.floor(F.greatest(F.lit(0.0), F.least(F.lit(float(last)), rest / 10.0)))
+
+
+def _every_second(number: Column, levels: int) -> Column:
+    """The number with a zero before each digit: 123 becomes 10203.
+
+    With q(n) for the number without its last n digits, digit n is q(n) - 10 q(n + 1).
+    """
+    if levels < 2:
+        return number
+    parts = [idiv(number, 10**n) for n in reversed(range(1, levels))]
+    return number + reduce(lambda a, b: a * 100 + b, parts) * 90
 
 
 def gchain_depth(key: Arg) -> Column:
@@ -100,36 +109,37 @@ def gchain_key_to_bounds(
 ) -> Column:
     """Struct(ref_id, gchain_key, x_min, y_min, x_max, y_max) of a key below a base cell.
 
-    With ``depth``, every key must have that depth and only so many levels are
-    worked out; without it keys of any depth may be mixed.
+    With ``depth``, every key must have that depth; without it keys of any depth
+    may be mixed. Either way the key's digits give one whole number of finest
+    cells along each axis, which is scaled once, so that the generated code stays
+    small enough to be compiled.
     """
     k = big(key)
     start = grid_id_to_coord(
         ref_id, ref_x_min, ref_y_min, ref_x_max, ref_y_max, ref_size, ref_size
     )
-    corner_x, corner_y = start["x"], start["y"]
     if depth is None:
-        # the leading 1's place value; below it each level takes two places
-        scale = F.pow(F.lit(100.0), gchain_depth(k)).cast("bigint")
+        parts = F.pow(F.lit(10.0), gchain_depth(k))
+        cell = dbl(ref_size) / parts
+        # the leading 1 counts as a digit of the x axis
+        column = _digits_of_axis(k, MAX_DEPTH + 1, 0) - parts.cast("bigint")
+        row = _digits_of_axis(k, MAX_DEPTH, 1)
     else:
-        fits = k.between(100**depth, 2 * 100**depth - 1)
-        k = F.when(fits, k).when(
-            k.isNotNull(), F.raise_error(F.lit(f"a key is not {depth} levels deep")).cast("bigint")
+        cell = F.when(k.between(100**depth, 2 * 100**depth - 1), dbl(ref_size) / 10.0**depth).when(
+            k.isNotNull(), F.raise_error(F.lit(f"a key is not {depth} levels deep")).cast("double")
         )
-    for level in range(1, (MAX_DEPTH if depth is None else depth) + 1):
-        if depth is None:
-            place = F.when(scale >= 100**level, idiv(scale, 100**level))
-            cell = F.coalesce(idiv(k, place) % 100, F.lit(0))
-        else:
-            cell = idiv(k, 100 ** (depth - level)) % 100
-        step = dbl(ref_size) / float(10**level)
-        corner_x = cell % 10 * step + corner_x
-        corner_y = idiv(cell, 10) * step + corner_y
-    size = dbl(ref_size) / (
-        F.pow(F.lit(10.0), gchain_depth(k)) if depth is None else F.lit(10.0**depth)
-    )
+        column, row = _digits_of_axis(k, depth, 0), _digits_of_axis(k, depth, 1)
+    corner_x, corner_y = start["x"] + column * cell, start["y"] + row * cell
     return F.struct(
         big(ref_id).alias("ref_id"), k.alias("gchain_key"),
         corner_x.alias("x_min"), corner_y.alias("y_min"),
-        (corner_x + size).alias("x_max"), (corner_y + size).alias("y_max"),
+        (corner_x + cell).alias("x_max"), (corner_y + cell).alias("y_max"),
     )
+
+
+def _digits_of_axis(key: Column, levels: int, place: int) -> Column:
+    """Number made of every second digit of the key: from the last (0) or last but one (1) on."""
+    parts = [
+        (idiv(key, 10**place * 100**n) if place or n else key) % 10 * 10**n for n in range(levels)
+    ]
+    return reduce(lambda a, b: a + b, parts) if parts else key * 0

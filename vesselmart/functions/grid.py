@@ -8,9 +8,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ._columns import Arg, big, col, dbl, positive
+from ._columns import Arg, big, col, dbl, idiv, positive
 
-INFINITIES = (float("inf"), float("-inf"))
+INFINITY = float("inf")
 QUADRANTS = (3, 4, 2, 1)  # fixed values: south-west, south-east, north-west, north-east
 QUADRANT_STRIDE = 100000  # fixed value: geographic ids are quadrant * stride + cell
 
@@ -19,10 +19,6 @@ def _count(low: Column, high: Column, size: Column) -> Column:
     return F.floor((high - low) / size)
 
 
-def _cell(value: Column, low: Column, size: Column) -> Column:
-    return F.floor((value - low) / size)
-
-
 def _check_sizes(cell_width: Arg, cell_height: Arg) -> None:
     positive(cell_width, "cell_width")
     positive(cell_height, "cell_height")
@@ -42,15 +38,16 @@ def coord_to_grid_id(
     px, py = dbl(x), dbl(y)
     x0, y0, w, h = dbl(x_min), dbl(y_min), dbl(cell_width), dbl(cell_height)
     cols, rows = _count(x0, dbl(x_max), w), _count(y0, dbl(y_max), h)
-    i, j = _cell(px, x0, w), _cell(py, y0, h)
-    strange = F.isnan(px) | F.isnan(py) | px.isin(*INFINITIES) | py.isin(*INFINITIES)
-    outside = (i < 0) | (i >= cols) | (j < 0) | (j >= rows)
-    inside = (cols * j + i).cast("bigint")
+    i, j = (px - x0) / w, (py - y0) / h
+    # compared before rounding down; what is not finite is out of range as well
+    outside = (i < 0) | (i >= cols.cast("double")) | (j < 0) | (j >= rows.cast("double"))
+    inside = (cols * F.floor(j) + F.floor(i)).cast("bigint")
+    cell = F.when(outside, F.lit(-1).cast("bigint")).otherwise(inside)
     if nonfinite == "outside":
-        return F.when(strange | outside, F.lit(-1).cast("bigint")).otherwise(inside)
+        return cell
     if nonfinite == "null":
-        known = px.isNotNull() & py.isNotNull() & ~strange
-        return F.when(known, F.when(outside, F.lit(-1).cast("bigint")).otherwise(inside))
+        finite = (F.abs(px) < INFINITY) & (F.abs(py) < INFINITY)
+        return F.when(finite, cell)
     raise ValueError("nonfinite must be 'outside' or 'null'")
 
 
@@ -72,7 +69,7 @@ def grid_id_to_coord(
     known = g.between(F.lit(0), cols * rows - 1)
     return F.struct(
         F.when(known, (g % cols) * w + x0).alias("x"),
-        F.when(known, F.floor(g / cols) * h + y0).alias("y"),
+        F.when(known, idiv(g, cols) * h + y0).alias("y"),
     )
 
 

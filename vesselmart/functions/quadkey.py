@@ -13,37 +13,47 @@ from pyspark.sql import functions as F
 
 from ._columns import Arg, big, col, dbl
 
-MAX_BIGINT_DEPTH = 31  # 62 bits
+MAX_DIGITS = 32  # of a 64-bit key
+NARROW = 18  # decimal digits that surely fit a 64-bit integer
 
 
 def _clean(quadkey: Arg) -> Column:
-    return F.regexp_replace(col(quadkey), "[^0-3]", "")
+    q = col(quadkey)
+    return F.when(q.rlike("[^0-3]"), F.regexp_replace(q, "[^0-3]", "")).otherwise(q)
+
+
+def _bits(quadkey: Arg) -> Column:
+    """Last 64 bits of the cleaned key as a signed number, null for an empty one.
+
+    One expression for all encoders, so that a query with several of them works it
+    out once a row.
+    """
+    return F.conv(F.substring(_clean(quadkey), -MAX_DIGITS, MAX_DIGITS), 4, -10).cast("bigint")
 
 
 def quadkey_bit_encode(quadkey: Arg) -> Column:
     """Two bits per digit as text; other characters are skipped, empty gives null."""
-    letters = F.translate(_clean(quadkey), "0123", "abcd")
-    bits = letters
+    clean = _clean(quadkey)
+    text = F.lpad(F.bin(_bits(quadkey)), F.length(clean) * 2, F.lit("0"))
+    longer = F.translate(clean, "0123", "abcd")
     for letter, pair in (("a", "00"), ("b", "01"), ("c", "10"), ("d", "11")):
-        bits = F.replace(bits, F.lit(letter), F.lit(pair))
-    return F.when(bits != "", bits)
+        longer = F.replace(longer, F.lit(letter), F.lit(pair))
+    return F.when(F.length(clean) <= MAX_DIGITS, text).otherwise(longer)
 
 
 def _encode(quadkey: Arg, width: int, signed: bool) -> Column:
-    clean = _clean(quadkey)
-    if signed and width == 64:
-        value = F.conv(clean, 4, -10).cast("bigint")
-    elif width == 64:
-        value = F.conv(clean, 4, 10).cast("decimal(20,0)")
-    else:
-        unsigned = F.conv(clean, 4, 10).cast("bigint")
-        value = unsigned
-        if signed:
-            value = F.when(unsigned >= 2 ** (width - 1), unsigned - 2**width).otherwise(unsigned)
+    clean, bits = _clean(quadkey), _bits(quadkey)
     too_wide = F.raise_error(
         F.concat(F.lit("quadkey does not fit "), F.lit(str(width)), F.lit(" bits: "), clean)
     )
-    return F.when(clean == "", None).when(F.length(clean) > width // 2, too_wide).otherwise(value)
+    # added, as both sides of a sum are worked out in any case and so can be shared
+    fits = F.when(F.length(clean) > width // 2, too_wide.cast("bigint")).otherwise(0)
+    if signed and width < 64:
+        bits = F.shiftright(F.shiftleft(bits, 64 - width), 64 - width)
+    elif not signed and width == 64:
+        wrapped = F.when(bits < 0, F.lit(str(2**64))).otherwise("0").cast("decimal(20,0)")
+        return (bits.cast("decimal(20,0)") + wrapped + fits).cast("decimal(20,0)")
+    return bits + fits
 
 
 def quadkey_int16_encode(quadkey: Arg) -> Column:
@@ -85,21 +95,25 @@ def quadkey_to_zxy(quadkey: Arg) -> Column:
 
 
 def zxy_to_quadkey(z: Arg, x: Arg, y: Arg) -> Column:
-    """Interleave tile numbers; bits above the zoom level are ignored."""
+    """Interleave tile numbers; bits above the zoom level are ignored.
+
+    Binary texts read as decimal numbers are added, the row's twice: no digit is
+    above 3, so nothing is carried.
+    """
     zoom = col(z).cast("int")
     mask = F.call_function("shiftleft", F.lit(1).cast("bigint"), zoom) - 1
-
-    def spread(v: Arg) -> Column:
-        # the binary text read in base 4 puts each bit on its own base-4 digit
-        return F.conv(F.bin(big(v).bitwiseAND(mask)), 4, 10).cast("bigint")
-
-    def wide(v: Arg) -> Column:
-        return F.bin(big(v).bitwiseAND(mask)).cast("decimal(38,0)")
-
-    narrow_key = F.conv((spread(x) + spread(y) * 2).cast("string"), 10, 4)
-    wide_key = (wide(x) + wide(y) * F.lit(2)).cast("decimal(38,0)").cast("string")
-    return F.when(zoom <= MAX_BIGINT_DEPTH, F.lpad(narrow_key, zoom, F.lit("0"))).otherwise(
-        F.lpad(wide_key, zoom, F.lit("0"))
+    column, row = big(x).bitwiseAND(mask), big(y).bitwiseAND(mask)
+
+    def woven(a: Column, b: Column) -> Column:
+        return (F.bin(a).cast("bigint") + F.bin(b).cast("bigint") * 2).cast("string")
+
+    low = woven(column.bitwiseAND(2**NARROW - 1), row.bitwiseAND(2**NARROW - 1))
+    high = woven(F.shiftright(column, NARROW), F.shiftright(row, NARROW))
+    # levels above what one integer holds are worked out apart
+    return F.when(zoom <= NARROW, F.lpad(low, zoom, F.lit("0"))).otherwise(
+        F.concat(
+            F.lpad(high, zoom - NARROW, F.lit("0")), F.lpad(low, F.lit(NARROW), F.lit("0"))
+        )
     )
 
 
