@@ -10,12 +10,13 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..warehouse.schema import CONFIG_COLUMNS, GEOM_COLUMNS, STOP_EXTRA, TABLES, TRAJ_EXTRA
 from ..warehouse.store import Warehouse
 from . import expanders
 from .lookup import lookup
-from .merge import FIRST_LOAD, merge_smart, merge_surrogate
+from .merge import FIRST_LOAD, merge_smart, merge_surrogate, merge_texts
 
 logger = logging.getLogger(__name__)
 
@@ -42,6 +43,14 @@ class Dimension:
     def columns(self) -> list[str]:
         return [*self.keys, *self.attributes]
 
+    @property
+    def is_text(self) -> bool:
+        """One text behind a sequence, taken in as it stands."""
+        return (
+            self.strategy is merge_surrogate and len(self.keys) == 1 and not self.attributes
+            and not self.processors and TABLES[self.table].schema[self.keys[0]].dataType == StringType()
+        )
+
     def names(self, overrides: Names) -> Names:
         """Dimension column -> batch column; what is not overridden keeps its name."""
         return {**{c: c for c in self.columns}, **overrides}
@@ -130,6 +139,20 @@ def load_dimension(
     logger.info("%s took in new members in %.2fs", dim.table, time.perf_counter() - start)
 
 
+def load_texts(
+    wh: Warehouse, batch_id: int, batch: DataFrame, roles: Sequence[tuple[Dimension, Sequence[Names]]]
+) -> None:
+    """Take the batch's new texts into all the given text dimensions in one pass."""
+    start = time.perf_counter()
+    values = [
+        F.struct(F.lit(d.table).alias("dimension"), F.col(d.names(names)[d.keys[0]]).cast("string").alias("value"))
+        for d, some in roles for names in some
+    ]
+    offered = batch.select(F.explode(F.array(*values)).alias("v")).select("v.*")
+    merge_texts(wh, batch_id, offered, [d for d, _ in roles])
+    logger.info("%d text dimensions took in new members in %.2fs", len(roles), time.perf_counter() - start)
+
+
 def attach_surrogate(
     wh: Warehouse, batch_id: int | None, batch: DataFrame, dim: Dimension, role: Names, *,
     row_id: str, counted: DataFrame | None = None, how: str = "left",

@@ -71,6 +71,41 @@ def number_files(
     return NumberedRows(rows, total)
 
 
+def number_groups(
+    df: DataFrame, path: str, group: str, order_by: list[Column], id_column: str, first_ids: dict[str, int]
+) -> tuple[DataFrame, dict[str, int]]:
+    """Write ``df`` to ``path``, and number the rows of each group in order.
+
+    All groups go through one range-partitioned write and one count. A file holds
+    a group's rows side by side, so that each of its groups has one offset: what
+    the driver gets is a row for each file and group. Returns the rows with their
+    ids and the number of rows by group.
+    """
+    spark = df.sparkSession
+    order = [F.col(group), *order_by]
+    df.repartitionByRange(*order).sortWithinPartitions(*order).write.parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    row = F.col("_metadata.row_index")
+    runs = written.groupBy(group, F.col("_metadata.file_name").alias("name")).agg(
+        F.count(F.lit(1)).alias("n"), F.min(row).alias("first_row")
+    ).collect()
+    counts: dict[str, int] = {}
+    offsets = []
+    for run in sorted(runs, key=lambda r: _file_order(r["name"])):
+        before = counts.get(run[group], 0)
+        offsets.append((run[group], run["name"], first_ids[run[group]] + before - run["first_row"]))
+        counts[run[group]] = before + run["n"]
+    starts = spark.createDataFrame(offsets, "__group string, __file string, __start bigint")
+    if len(offsets) * START_BYTES <= broadcast_limit(spark):
+        starts = F.broadcast(starts)
+    rows = written.select("*", F.col("_metadata.file_name").alias("__name"), row.alias("__row"))
+    same = (rows[group] == F.col("__group")) & (F.col("__name") == F.col("__file"))
+    numbered = rows.join(starts, same).select(
+        (F.col("__start") + F.col("__row")).alias(id_column), *df.columns
+    )
+    return numbered, counts
+
+
 def number_rows(
     df: DataFrame, path: str, id_column: str, first_id: int = 1,
     order_by: list[Column] | None = None, max_id: int | None = None,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from typing import TYPE_CHECKING
 
@@ -11,8 +13,8 @@ from pyspark.sql import functions as F
 from ..session import scratch_dir
 from ..warehouse.schema import TABLES
 from ..warehouse.store import Warehouse
-from .ids import NumberedRows, check_sequence, number_rows
-from .lookup import new_members, null_safe
+from .ids import NumberedRows, check_sequence, number_groups, number_rows
+from .lookup import fits_broadcast, new_members, null_safe
 
 if TYPE_CHECKING:
     from .dimension import Dimension
@@ -140,7 +142,46 @@ def merge_surrogate(wh: Warehouse, batch_id: int, rows: DataFrame, dim: Dimensio
         if clash:
             key = ", ".join(f"{k}={clash[k]}" for k in dim.keys)
             raise KeyConflict(f"{dim.table}: {clash['count']} attribute sets for {key}")
-    wh.append(dim.table, numbered.rows.drop(FIRST_LOAD), batch_id)
+    wh.append(dim.table, numbered.rows.drop(FIRST_LOAD), batch_id, first + numbered.count - 1)
+
+
+def merge_texts(wh: Warehouse, batch_id: int, offered: DataFrame, dims: Sequence[Dimension]) -> None:
+    """Take new texts into several dimensions in one pass.
+
+    ``offered`` has rows (dimension, value), and each dimension is one text behind
+    a sequence. The outcome is that of :func:`merge_surrogate` on each, but texts of
+    all dimensions are matched, sorted and numbered together.
+    """
+    known = reduce(
+        DataFrame.unionAll,
+        (
+            wh.table(d.table, batch_id).select(F.lit(d.table).alias("__dimension"), F.col(d.keys[0]).alias("__value"))
+            for d in dims
+        ),
+    )
+    if fits_broadcast(wh.spark, sum(wh.bytes(d.table, batch_id) for d in dims)):
+        known = F.broadcast(known)
+    rows = offered.select("dimension", "value").distinct()
+    pairs = [("dimension", "__dimension"), ("value", "__value")]
+    fresh = rows.join(known, null_safe(rows, known, pairs), "left_anti")
+    first = {d.table: wh.max_id(d.table, including=batch_id) + 1 for d in dims}
+    numbered, counts = number_groups(
+        fresh, scratch_dir(wh.spark, "texts"), "dimension", row_order(["value"]), "id", first
+    )
+    for dim in dims:
+        check_sequence(first[dim.table], counts.get(dim.table, 0), TABLES[dim.table].max_id)
+
+    def write(dim: Dimension) -> None:
+        mine = numbered.filter(F.col("dimension") == dim.table)
+        wh.append(
+            dim.table, mine.select(F.col("id").alias(dim.surrogate), F.col("value").alias(dim.keys[0])),
+            batch_id, first[dim.table] + counts[dim.table] - 1,
+        )
+
+    grown = [d for d in dims if counts.get(d.table)]
+    if grown:
+        with ThreadPoolExecutor(len(grown)) as pool:
+            list(pool.map(write, grown))
 
 
 def insert_surrogate(
@@ -160,5 +201,5 @@ def insert_surrogate(
     )
     processed = dim.process(rows, dim.names({}))
     if numbered.count:
-        wh.append(dim.table, processed, batch_id)
+        wh.append(dim.table, processed, batch_id, first + numbered.count - 1)
     return rows, first

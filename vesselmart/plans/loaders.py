@@ -17,8 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import dimension as dims
-from ..operators.dimension import Dimension, Names, attach_surrogate, load_dimension
-from ..operators.ids import NumberedRows, number_files
+from ..operators.dimension import Dimension, Names, attach_surrogate, load_dimension, load_texts
+from ..operators.ids import number_files
 from ..operators.merge import insert_surrogate
 from ..session import scratch_dir
 from ..sources.trajectories import conformance, file_name, list_files, read_trajectories
@@ -110,10 +110,22 @@ def project_fact(rows: DataFrame, fact: ObjectFact) -> DataFrame:
 
 
 def load_dimensions(wh: Warehouse, batch_id: int, batch: DataFrame) -> None:
-    """Take new members into every dimension; independent ones run side by side."""
-    _side_by_side(
-        partial(load_dimension, wh, batch_id, batch, dim, roles) for dim, roles in ROLES
-    )
+    """Take new members into every dimension; independent ones run side by side.
+
+    The text dimensions go through together.
+    """
+    _side_by_side(_dimension_loads(wh, batch_id, batch))
+
+
+def _dimension_loads(wh: Warehouse, batch_id: int, batch: DataFrame) -> list[Callable[[], None]]:
+    texts = [(dim, roles) for dim, roles in ROLES if dim.is_text]
+    return [
+        partial(load_texts, wh, batch_id, batch, texts),
+        *(
+            partial(load_dimension, wh, batch_id, batch, dim, roles)
+            for dim, roles in ROLES if not dim.is_text
+        ),
+    ]
 
 
 def attach_all(
@@ -131,16 +143,14 @@ def attach_all(
 
 
 def load_fact(
-    wh: Warehouse, batch_id: int, numbered: NumberedRows, fact: ObjectFact, first: int
+    wh: Warehouse, batch_id: int, rows: DataFrame, fact: ObjectFact, first: int, count: int
 ) -> None:
-    """Geometry, look-ups and the fact itself for rows that are numbered from ``first`` on."""
-    rows, _ = insert_surrogate(wh, batch_id, numbered, fact.geometry, first)
+    """Look-ups and the fact itself for ``count`` rows that are numbered from ``first`` on."""
     # geometry is in its own table by now and is not carried through the joins
     facts = project_fact(attach_all(wh, batch_id, rows, fact.key), fact)
-    wh.append(fact.table, facts, batch_id)
-    written = wh.batch(fact.table, batch_id).count()
-    if written != numbered.count:
-        raise LoadError(f"{fact.table}: {numbered.count} rows came in, {written} were written")
+    written = wh.append(fact.table, facts, batch_id, first + count - 1 if count else None)
+    if written != count:
+        raise LoadError(f"{fact.table}: {count} rows came in, {written} were written")
 
 
 def _side_by_side(calls: Iterable[Callable[[], None]]) -> None:
@@ -162,14 +172,23 @@ def load_batch(
     facts = [f for f in facts if f.table in present]
     if facts:
         staged = spark.read.parquet(path)
-        load_dimensions(wh, scope.batch_id, staged)
         schema = staged.drop("dst_tbl").schema
-        calls = []
-        for fact in facts:
+        numbered: dict[str, tuple[DataFrame, int, int]] = {}
+
+        def geometry(fact: ObjectFact) -> None:
             first = wh.max_id(fact.table, fact.key) + 1
-            rows = number_files(spark, f"{path}/dst_tbl={fact.table}", schema, fact.key, first)
-            calls.append(partial(load_fact, wh, scope.batch_id, rows, fact, first))
-        _side_by_side(calls)
+            found = number_files(spark, f"{path}/dst_tbl={fact.table}", schema, fact.key, first)
+            rows, _ = insert_surrogate(wh, scope.batch_id, found, fact.geometry, first)
+            numbered[fact.table] = rows, first, found.count
+
+        # geometry needs no dimension, and facts need all of both
+        _side_by_side(
+            [*(partial(geometry, f) for f in facts), *_dimension_loads(wh, scope.batch_id, staged)]
+        )
+        _side_by_side(
+            partial(load_fact, wh, scope.batch_id, rows, fact, first, count)
+            for fact in facts for rows, first, count in [numbered[fact.table]]
+        )
     if before_publish:
         before_publish()
     scope.ingest_stopped()

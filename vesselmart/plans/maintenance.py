@@ -29,7 +29,7 @@ def compact(wh: Warehouse, name: str, file_bytes: int = FILE_BYTES) -> int:
     wanted = max(1, math.ceil(size / file_bytes))
     if count <= wanted:
         return -1
-    rows = wh.read_paths(name, small)
+    rows = wh.read_files(name, small)
     if not TABLES[name].partition_by:
         rows = rows.repartition(wanted)
     batch = wh.next_batch()

@@ -35,7 +35,10 @@ def not_loaded(wh: Warehouse, sources: DataFrame) -> DataFrame:
 
 
 def mark_deleted(wh: Warehouse, load_ids: Sequence[int]) -> None:
-    """Hide the loads' fact rows and let their sources be loaded again."""
+    """Hide the loads' rows, geometry included, and let their sources be loaded again.
+
+    Members they brought into other dimensions stay, as later loads use them.
+    """
     wh.log([{"kind": "delete", "load_id": i, "deleted": True} for i in load_ids])
 
 
@@ -60,8 +63,9 @@ class LoadScope:
         done = wanted.join(good_loads(self.wh), ["src_id", "dst_tbl"], "left_semi").first()
         if done:
             raise LoadError(f'source "{done.src_id}" has already been loaded into {done.dst_tbl}')
-        self.batch_id = self.wh.next_batch()
-        first = (self.wh.events().agg(F.max("load_id")).first()[0] or 0) + 1
+        used = self.wh.events().agg(F.max("load_id").alias("load"), F.max("batch_id").alias("batch")).first()
+        self.batch_id = self.wh.next_batch(used.batch or 0)
+        first = (used.load or 0) + 1
         self.load_ids = {pair: n for n, pair in enumerate(self.pairs, first)}
         start = _now()
         self.wh.log(
@@ -121,7 +125,11 @@ class LoadScope:
             stamp(stop).alias("ingest_end_ts"),
             F.try_divide(F.col("no_rows").cast("double"), F.lit(seconds)).alias("ingest_per_sec"),
         )
-        publish = self.wh.spark.range(1).select(
-            F.lit("publish").alias("kind"), F.lit(self.batch_id).alias("batch_id")
+        entries = [{"kind": "publish", "batch_id": self.batch_id}, *self.wh.written(self.batch_id)]
+        names = ("kind", "batch_id", "table_name", "no_rows", "last_id", "ingest_start_ts", "ingest_end_ts")
+        publish = self.wh.spark.createDataFrame(
+            [tuple(e.get(n) for n in names) for e in entries],
+            "kind string, batch_id bigint, table_name string, no_rows bigint, last_id bigint, "
+            "ingest_start_ts timestamp_ntz, ingest_end_ts timestamp_ntz",
         )
         return loads.unionByName(publish, allowMissingColumns=True)

@@ -30,6 +30,7 @@ class Table:
     seed_columns: tuple[str, ...] = ()
     seeds: tuple[tuple, ...] = ()
     partition_by: tuple[str, ...] = ()
+    by_load: bool = False  # files also tell each row's load, so that a deleted load's rows can be hidden
 
     @cached_property
     def schema(self) -> T.StructType:
@@ -41,6 +42,12 @@ class Table:
         """All columns nullable, as files give them back."""
         return T.StructType([T.StructField(f.name, f.dataType) for f in self.schema])
 
+    @property
+    def file_schema(self) -> T.StructType:
+        """The columns of the table's files."""
+        own = self.read_schema
+        return own.add("load_id", T.LongType()) if self.by_load else own
+
     @property
     def columns(self) -> list[str]:
         return self.schema.names
@@ -169,13 +176,13 @@ _TABLES = (
     Table(
         "traj_geom_dim",
         f"{GEOM_HEAD}, " + ", ".join(f"{c} {LINE}" for c in TRAJ_EXTRA),
-        primary="geom_id", max_id=MAX_UINT, checks=IS_LINE,
+        primary="geom_id", max_id=MAX_UINT, checks=IS_LINE, by_load=True,
     ),
     Table(
         "stop_geom_dim",
         f"{GEOM_HEAD}, centroid {POINT} not null, simplified_geom {LINE} not null, "
         f"simplified_geom_topo {LINE} not null",
-        primary="geom_id", max_id=MAX_UINT, checks=IS_LINE,
+        primary="geom_id", max_id=MAX_UINT, checks=IS_LINE, by_load=True,
     ),
     Table(
         "ais_point_fact",
@@ -203,6 +210,7 @@ _TABLES = (
 )
 TABLES: dict[str, Table] = {t.name: t for t in _TABLES}
 
+# Names, types, keys, seeds and limits above are those any loader agrees on.
 # One row per load as of now; kept as an event log and folded on read.
 LOAD_DIM = Table(
     "load_dim",
@@ -213,5 +221,6 @@ LOAD_DIM = Table(
 EVENTS = Table(
     "events",
     "seq bigint, kind string, batch_id bigint, table_name string, replaces array<bigint>, "
+    "last_id bigint, "
     + LOAD_DIM.ddl,
 )

@@ -4,14 +4,19 @@ Layout below the root: ``events/`` is the append-only log, ``<table>/batch=<n>/`
 holds what one batch added. A table's visible rows are those of published
 batches, so a load either shows up whole, when its one closing log entry is
 written, or not at all. One writer at a time is assumed.
+
+The entry that publishes a batch also tells, for each table, how many rows it
+got, in what time and up to which id. So ids go on from the log: the tables are
+not read for them, and no id is given out twice, whatever is deleted later.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import time
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from . import files
@@ -20,11 +25,17 @@ from .schema import EVENTS, LOAD_DIM, TABLES, Table
 SEED_BATCH = 0
 
 
+def _now() -> dt.datetime:
+    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
         self._log: tuple[set[int], dict[str, set[int]], bool] | None = None
+        self._last_ids: dict[str, int] | None = None
+        self._written: dict[int, list[dict]] = {}  # what was written into batches not yet published
 
     @classmethod
     def create(cls, spark: SparkSession, root: str) -> Warehouse:
@@ -33,10 +44,14 @@ class Warehouse:
         if not files.exists(spark, f"{wh.root}/events"):
             seeded = [t for t in TABLES.values() if t.seeds]
             with ThreadPoolExecutor(len(seeded)) as pool:
-                list(pool.map(lambda t: wh.append(t.name, wh.seed_rows(t), SEED_BATCH), seeded))
-            wh.log([{"kind": "publish", "batch_id": SEED_BATCH}])
+                list(pool.map(wh._seed, seeded))
+            wh.publish(SEED_BATCH)
         return wh
 
+    def _seed(self, table: Table) -> None:
+        ids = [s[0] for s in table.seeds if isinstance(s[0], int)]
+        self.append(table.name, self.seed_rows(table), SEED_BATCH, last_id=max(ids, default=None))
+
     def seed_rows(self, table: Table) -> DataFrame:
         fields = {f.name: f for f in table.schema}
         rows = [tuple(dict(zip(table.seed_columns, s)).get(c) for c in fields) for s in table.seeds]
@@ -69,7 +84,7 @@ class Warehouse:
 
     def refresh(self) -> None:
         """Look at the log again; needed only when another process has written."""
-        self._log = None
+        self._log = self._last_ids = None
 
     def _published(self) -> tuple[set[int], dict[str, set[int]], bool]:
         if self._log is None:
@@ -84,16 +99,22 @@ class Warehouse:
             self._log = published, replaced, any(m.kind == "delete" for m in marks)
         return self._log
 
-    def next_batch(self) -> int:
-        """A batch number nothing has been written under, also not by a failed load."""
-        used = self.events().agg(F.max("batch_id")).first()[0] or 0
+    def next_batch(self, used: int | None = None) -> int:
+        """A batch number nothing has been written under, also not by a failed load;
+        ``used`` is the last one in the log, if known."""
+        if used is None:
+            used = self.events().agg(F.max("batch_id")).first()[0] or 0
         for path, is_dir, _ in files.children(self.spark, self.root):
             if is_dir and not path.endswith("/events"):
                 used = max([used, *(n for n, _ in self._batches(path))])
         return used + 1
 
     def publish(self, batch_id: int) -> None:
-        self.log([{"kind": "publish", "batch_id": batch_id}])
+        self.log([{"kind": "publish", "batch_id": batch_id}, *self.written(batch_id)])
+
+    def written(self, batch_id: int) -> list[dict]:
+        """Log entries on what this session wrote into a batch, a row for each write."""
+        return self._written.get(batch_id, [])
 
     # -- tables --------------------------------------------------------------
 
@@ -113,20 +134,23 @@ class Warehouse:
         ]
 
     def table(self, name: str, including: int | None = None) -> DataFrame:
-        df = self.read_paths(name, self.paths(name, including))
+        df = self.read_files(name, self.paths(name, including))
         if "load_id" in df.columns and self._published()[2]:
-            gone = self.loads().filter("deleted").select("load_id")
-            df = df.join(gone, "load_id", "left_anti").select(*df.columns)
-        return df
+            # one row a deleted load
+            gone = self.events().filter("kind = 'delete'").select("load_id")
+            df = df.join(gone, "load_id", "left_anti")
+        return df.select(*TABLES[name].columns)
 
     def read_paths(self, name: str, paths: list[str]) -> DataFrame:
-        table = TABLES[name]
+        return self.read_files(name, paths).select(*TABLES[name].columns)
+
+    def read_files(self, name: str, paths: list[str]) -> DataFrame:
+        """All columns of the files, deleted rows included."""
+        schema = TABLES[name].file_schema
         if not paths:
-            return self.spark.createDataFrame([], table.read_schema)
-        reader = self.spark.read.schema(table.read_schema)
-        return reader.option("basePath", f"{self.root}/{name}").parquet(*paths).select(
-            *table.columns
-        )
+            return self.spark.createDataFrame([], schema)
+        reader = self.spark.read.schema(schema)
+        return reader.option("basePath", f"{self.root}/{name}").parquet(*paths).select(*schema.names)
 
     def batch(self, name: str, batch_id: int) -> DataFrame:
         """What one batch added, published or not."""
@@ -137,11 +161,13 @@ class Warehouse:
     def bytes(self, name: str, including: int | None = None) -> int:
         return files.total_bytes(self.spark, self.paths(name, including))
 
-    def append(self, name: str, df: DataFrame, batch_id: int) -> None:
-        """Write rows into a batch; columns are matched by name and cast.
+    def append(self, name: str, df: DataFrame, batch_id: int, last_id: int | None = None) -> int:
+        """Write rows into a batch and return their number; columns are matched by
+        name and cast.
 
         A null in a required column or a row that breaks a check ends the write
-        with an error, in the same pass.
+        with an error, in the same pass. ``last_id`` is the last id of the table's
+        sequence that the rows take up.
         """
         table = TABLES[name]
         values = {f.name: F.col(f.name).cast(f.dataType) for f in table.schema}
@@ -155,7 +181,13 @@ class Warehouse:
             values[first] = F.when(
                 F.coalesce(F.expr(condition), F.lit(True)), values[first]
             ).otherwise(error.cast(table.schema[first].dataType))
-        df = df.select(*[v.alias(c) for c, v in values.items()])
+        if table.by_load:
+            values["load_id"] = F.col("load_id") if "load_id" in df.columns else F.lit(None).cast("bigint")
+        counted = Observation()
+        df = df.select(*[v.alias(c) for c, v in values.items()]).observe(
+            counted, F.count(F.lit(1)).alias("rows")
+        )
+        start = _now()
         writer = df.write
         if table.partition_by:
             # REBALANCE keeps each partition's rows together but splits the big ones
@@ -163,14 +195,35 @@ class Warehouse:
                 *table.partition_by
             )
         writer.mode("append").parquet(f"{self.root}/{name}/batch={batch_id}")
+        rows = counted.get["rows"]
+        self._written.setdefault(batch_id, []).append(
+            {"kind": "table", "batch_id": batch_id, "table_name": name, "no_rows": rows,
+             "last_id": last_id, "ingest_start_ts": start, "ingest_end_ts": _now()}
+        )
+        return rows
 
     def count(self, name: str) -> int:
         return self.table(name).count()
 
     def max_id(self, name: str, column: str | None = None, including: int | None = None) -> int:
-        """Largest id so far, 0 for an empty table."""
+        """Largest id given out so far, 0 for none; deleted rows keep theirs.
+
+        It is read from the log. Only a table whose batches do not tell it, as
+        written without ``last_id``, is scanned for it.
+        """
+        if self._last_ids is None:
+            told = self.events().filter("kind = 'table' AND last_id IS NOT NULL")
+            marks = told.groupBy("table_name").agg(F.max("last_id").alias("last_id")).collect()
+            self._last_ids = {m.table_name: m.last_id for m in marks}  # a row for each table
+        open_ids = [
+            e["last_id"] for e in self.written(including) if e["table_name"] == name and e["last_id"]
+        ] if including is not None else []
+        if name in self._last_ids or open_ids:
+            return max([self._last_ids.get(name, 0), *open_ids])
+        paths = self.paths(name, including)
         key = column or TABLES[name].primary
-        return self.table(name, including).agg(F.coalesce(F.max(key), F.lit(0))).first()[0]
+        rows = self.read_files(name, paths)
+        return rows.agg(F.coalesce(F.max(key), F.lit(0))).first()[0] if paths else 0
 
     # -- ledger --------------------------------------------------------------
 
