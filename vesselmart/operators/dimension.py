@@ -156,14 +156,17 @@ def load_texts(
 def attach_surrogate(
     wh: Warehouse, batch_id: int | None, batch: DataFrame, dim: Dimension, role: Names, *,
     row_id: str, counted: DataFrame | None = None, how: str = "left",
+    members: tuple[DataFrame, int] | None = None,
 ) -> DataFrame:
     """Add the dimension's surrogate to the batch, under the role's name for it.
 
-    ``counted`` holds the same keys and tells which are hot.
+    ``counted`` holds the same keys and tells which are hot. ``members`` are the
+    dimension's rows and its bytes on disk, if they are at hand.
     """
     names = dim.names(role)
+    rows, size = members or (wh.table(dim.table, batch_id), wh.bytes(dim.table, batch_id))
     return lookup(
-        batch, wh.table(dim.table, batch_id), {names[k]: k for k in dim.keys}, dim.surrogate,
-        role.get(dim.surrogate, dim.surrogate), dim_bytes=wh.bytes(dim.table, batch_id),
+        batch, rows, {names[k]: k for k in dim.keys}, dim.surrogate,
+        role.get(dim.surrogate, dim.surrogate), dim_bytes=size,
         row_id=row_id, counted=counted, how=how,
     )

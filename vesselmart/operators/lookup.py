@@ -67,8 +67,9 @@ def lookup(
     small = dim.select(*[F.col(c).alias(k) for k, c in renamed.items()], F.col(value).alias("__value"))
     pairs = list(zip(keys, renamed))
     if fits_broadcast(spark, dim_bytes):
-        found = df.join(F.broadcast(small), null_safe(df, small, pairs), how)
-        return found.withColumn(out, F.col("__value")).drop(*renamed, "__value")
+        small = small.withColumnRenamed("__value", out)
+        df = df.drop(out)
+        return df.join(F.broadcast(small), null_safe(df, small, pairs), how).drop(*renamed)
 
     hot = hot_keys(df if counted is None else counted, list(keys)).select(
         *[F.col(a).alias(f"__hot_{k}") for a, k in pairs]

@@ -7,7 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from typing import TYPE_CHECKING
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
@@ -66,9 +66,9 @@ def first_wins(
     text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])
     load = [FIRST_LOAD] if FIRST_LOAD in columns else []
     turn = F.struct(*load, F.md5(text).alias("digest"), *[c for c in columns if c not in load])
-    left = _written(unclaimed(rows.distinct().withColumn("__turn", turn), existing))
+    left, count = _written(unclaimed(rows.distinct().withColumn("__turn", turn), existing))
     taken: list[DataFrame] = []
-    while not left.isEmpty():
+    while count:
         # a row that is first under each of its keys meets no earlier rival
         ranked = left
         sure = F.lit(True)
@@ -80,18 +80,20 @@ def first_wins(
             ranked = ranked.join(best, same, "left")
             first = F.coalesce(F.col(f"__best{n}") == F.col("__turn"), F.lit(True))
             sure = sure & first
-        winners = _written(ranked.filter(sure).select(*columns, "__turn"))
+        judged, _ = _written(ranked.select(*columns, "__turn", sure.alias("__sure")))
+        winners = judged.filter("__sure").drop("__sure")
         taken.append(winners.select(*columns))
-        rest = left.join(winners.select("__turn"), "__turn", "left_anti")
-        left = _written(unclaimed(rest, winners))
+        left, count = _written(unclaimed(judged.filter("NOT __sure").drop("__sure"), winners))
     return reduce(DataFrame.unionAll, taken) if taken else left.select(*columns)
 
 
-def _written(df: DataFrame) -> DataFrame:
-    """The same rows from a table in the shared folder, so that no lineage builds up."""
+def _written(df: DataFrame) -> tuple[DataFrame, int]:
+    """The same rows from a table in the shared folder, so that no lineage builds up,
+    and their number, as counted by the write."""
     path = scratch_dir(df.sparkSession, "rivals")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    counted = Observation()
+    df.observe(counted, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), counted.get["rows"]
 
 
 def _with_load(rows: DataFrame) -> DataFrame:
@@ -130,13 +132,15 @@ def merge_surrogate(wh: Warehouse, batch_id: int, rows: DataFrame, dim: Dimensio
         fresh = fresh.join(
             first_load, null_safe(fresh, first_load, pairs) & (F.col(FIRST_LOAD) == F.col("__least"))
         ).select(*dim.keys, *dim.attributes, FIRST_LOAD)
+    # written before they are sorted, which reads its input twice
+    fresh, count = _written(fresh)
+    if not count:
+        return
     order = row_order([*dim.keys, *dim.attributes])
     first = wh.max_id(dim.table, including=batch_id) + 1
     numbered = number_rows(
         fresh, scratch_dir(wh.spark, dim.table), dim.surrogate, first, order, table.max_id
     )
-    if not numbered.count:
-        return
     if dim.attributes:
         clash = numbered.rows.groupBy(*dim.keys).count().filter("count > 1").first()
         if clash:
@@ -163,7 +167,9 @@ def merge_texts(wh: Warehouse, batch_id: int, offered: DataFrame, dims: Sequence
         known = F.broadcast(known)
     rows = offered.select("dimension", "value").distinct()
     pairs = [("dimension", "__dimension"), ("value", "__value")]
-    fresh = rows.join(known, null_safe(rows, known, pairs), "left_anti")
+    fresh, count = _written(rows.join(known, null_safe(rows, known, pairs), "left_anti"))
+    if not count:
+        return
     first = {d.table: wh.max_id(d.table, including=batch_id) + 1 for d in dims}
     numbered, counts = number_groups(
         fresh, scratch_dir(wh.spark, "texts"), "dimension", row_order(["value"]), "id", first
@@ -179,9 +185,8 @@ def merge_texts(wh: Warehouse, batch_id: int, offered: DataFrame, dims: Sequence
         )
 
     grown = [d for d in dims if counts.get(d.table)]
-    if grown:
-        with ThreadPoolExecutor(len(grown)) as pool:
-            list(pool.map(write, grown))
+    with ThreadPoolExecutor(len(grown)) as pool:
+        list(pool.map(write, grown))
 
 
 def insert_surrogate(

@@ -128,26 +128,38 @@ def _dimension_loads(wh: Warehouse, batch_id: int, batch: DataFrame) -> list[Cal
     ]
 
 
+Members = dict[str, tuple[DataFrame, int]]
+
+
+def open_members(wh: Warehouse, batch_id: int) -> Members:
+    """Rows and bytes of every dimension that is looked up, opened once for all facts."""
+    tables = [dim.table for dim, _ in ROLES if dim.surrogate]
+    return {t: (wh.table(t, batch_id), wh.bytes(t, batch_id)) for t in tables}
+
+
 def attach_all(
-    wh: Warehouse, batch_id: int, rows: DataFrame, row_id: str
+    wh: Warehouse, batch_id: int, rows: DataFrame, row_id: str, members: Members | None = None
 ) -> DataFrame:
     """All surrogates; hot keys are told from the rows as they come in."""
     counted = rows
+    members = members or open_members(wh, batch_id)
     for dim, roles in ROLES:
         if dim.surrogate:
             for role in roles:
                 rows = attach_surrogate(
-                    wh, batch_id, rows, dim, role, row_id=row_id, counted=counted
+                    wh, batch_id, rows, dim, role, row_id=row_id, counted=counted,
+                    members=members[dim.table],
                 )
     return rows
 
 
 def load_fact(
-    wh: Warehouse, batch_id: int, rows: DataFrame, fact: ObjectFact, first: int, count: int
+    wh: Warehouse, batch_id: int, rows: DataFrame, fact: ObjectFact, first: int, count: int,
+    members: Members | None = None,
 ) -> None:
     """Look-ups and the fact itself for ``count`` rows that are numbered from ``first`` on."""
     # geometry is in its own table by now and is not carried through the joins
-    facts = project_fact(attach_all(wh, batch_id, rows, fact.key), fact)
+    facts = project_fact(attach_all(wh, batch_id, rows, fact.key, members), fact)
     written = wh.append(fact.table, facts, batch_id, first + count - 1 if count else None)
     if written != count:
         raise LoadError(f"{fact.table}: {count} rows came in, {written} were written")
@@ -185,8 +197,9 @@ def load_batch(
         _side_by_side(
             [*(partial(geometry, f) for f in facts), *_dimension_loads(wh, scope.batch_id, staged)]
         )
+        members = open_members(wh, scope.batch_id)
         _side_by_side(
-            partial(load_fact, wh, scope.batch_id, rows, fact, first, count)
+            partial(load_fact, wh, scope.batch_id, rows, fact, first, count, members)
             for fact in facts for rows, first, count in [numbered[fact.table]]
         )
     if before_publish:

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .store import Warehouse
@@ -91,45 +92,33 @@ class LoadScope:
         """The end of ingest; rows per second follow from the counts when the scope closes."""
         self._ingest[1] = _now()
 
-    def _counts(self) -> DataFrame:
-        """Rows each load wrote, zeros included."""
-        loads = self.load_map().select("load_id")
-        written = None
-        for dst in sorted({dst for _, dst in self.pairs}):
-            part = self.wh.batch(dst, self.batch_id).groupBy("load_id").count()
-            written = part if written is None else written.unionAll(part)
-        return loads.join(written, "load_id", "left").select(
-            "load_id", F.coalesce("count", F.lit(0)).cast("bigint").alias("no_rows")
-        )
+    def _counts(self) -> dict[int, int]:
+        """Rows of the loads that wrote any: one entry a load, as the scope has itself."""
+        parts = [
+            self.wh.batch(dst, self.batch_id).select("load_id") for dst in sorted({dst for _, dst in self.pairs})
+        ]
+        written = reduce(DataFrame.unionAll, parts).groupBy("load_id").count()
+        return {r["load_id"]: r["count"] for r in written.collect()}
 
     def __exit__(self, kind, error, trace) -> None:
         if error is None:
-            self.wh.log_frame(self._closing_entries())
+            self.wh.log(self._closing_entries())
         else:
             self.wh.log(
                 [{"kind": "failure", "load_id": n, "end_ts": _now(), "no_rows": 0, "failed": True}
                  for n in self.load_ids.values()]
             )
 
-    def _closing_entries(self) -> DataFrame:
+    def _closing_entries(self) -> list[dict]:
         """What makes the batch visible, and each load's outcome."""
         start, stop = self._ingest
         seconds = (stop - start).total_seconds() if start and stop else None
-
-        def stamp(value: dt.datetime | None) -> Column:
-            return F.lit(value).cast("timestamp_ntz")
-
-        loads = self._counts().select(
-            F.lit("success").alias("kind"), "load_id", "no_rows", F.lit(False).alias("failed"),
-            stamp(_now()).alias("end_ts"), stamp(start).alias("ingest_start_ts"),
-            stamp(stop).alias("ingest_end_ts"),
-            F.try_divide(F.col("no_rows").cast("double"), F.lit(seconds)).alias("ingest_per_sec"),
-        )
-        entries = [{"kind": "publish", "batch_id": self.batch_id}, *self.wh.written(self.batch_id)]
-        names = ("kind", "batch_id", "table_name", "no_rows", "last_id", "ingest_start_ts", "ingest_end_ts")
-        publish = self.wh.spark.createDataFrame(
-            [tuple(e.get(n) for n in names) for e in entries],
-            "kind string, batch_id bigint, table_name string, no_rows bigint, last_id bigint, "
-            "ingest_start_ts timestamp_ntz, ingest_end_ts timestamp_ntz",
-        )
-        return loads.unionByName(publish, allowMissingColumns=True)
+        counts, end = self._counts(), _now()
+        loads = [
+            {"kind": "success", "load_id": n, "no_rows": counts.get(n, 0), "failed": False, "end_ts": end,
+             "ingest_start_ts": start, "ingest_end_ts": stop,
+             "ingest_per_sec": counts.get(n, 0) / seconds if seconds else None}
+            for n in self.load_ids.values()
+        ]
+        publish = {"kind": "publish", "batch_id": self.batch_id}
+        return [*loads, publish, *self.wh.written(self.batch_id)]
