@@ -6,7 +6,7 @@ hold impacts: ``(10**9 * tf) // (1000 * tf + 12 * m)`` with ``m = 75 + 25 * n *
 L``, a document's gain from a term before the term's weight. The grid is a
 quadtree in level order: four bits a node tell which quadrants are not empty, and
 each node has the greatest impact below it, kept as the drop from its parent in
-as few bytes as the level needs. The number of bits set before a quadrant's is
+as few bytes as the level needs; an only child has its parent's. The number of bits set before a quadrant's is
 the number of its node, so that there are no pointers.
 
 Search. An item's terms are rows, and its rows are followed together: a state is
@@ -172,7 +172,8 @@ def build_treap(row: np.ndarray, column: np.ndarray, impact: np.ndarray) -> tupl
         present[4 * parent + (codes & np.uint64(3)).astype(np.int64)] = 1
         greatest = np.maximum.reduceat(most, first)
         bits.append(np.packbits(present).tobytes())
-        drops.append(_packed(greatest[parent] - most))
+        several = (size > 1)[parent]
+        drops.append(_packed((greatest[parent] - most)[several]))
         codes, most = above[first], greatest
     return levels, int(most[0]), bits[::-1], drops[::-1]
 
@@ -186,10 +187,11 @@ class Treap:
         for packed, drop in zip(bits, drops):
             here = np.unpackbits(np.frombuffer(packed, np.uint8), count=4 * nodes)
             present.append(here)
-            parent = np.repeat(most[-1], here.reshape(-1, 4).sum(axis=1, dtype=np.int64))
-            nodes = len(parent)
-            parent -= _unpacked(drop, nodes).astype(np.int32)
-            most.append(parent)
+            size = here.reshape(-1, 4).sum(axis=1, dtype=np.int64)
+            own, several = np.repeat(most[-1], size), np.repeat(size > 1, size)
+            nodes = len(own)
+            own[several] -= _unpacked(drop, int(several.sum())).astype(np.int32)
+            most.append(own)
         self.present = np.concatenate(present).view(bool)
         #: bits set up to and with a quadrant's: the number of its node
         self.node = np.cumsum(self.present, dtype=np.int32)
