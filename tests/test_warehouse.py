@@ -1,5 +1,6 @@
 """Loads end to end: files, ledger, failures, upkeep, arrivals."""
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,6 +12,7 @@ from vesselmart.plans.reports import batch_report, ingest_rate
 from vesselmart.plans.views import register_views, vessel_activity
 from vesselmart.samples import objects, write_object_files
 from vesselmart.session import scratch_dir
+from vesselmart.sources import trajectories
 from vesselmart.sources.tables import ingest, read_quadkey, to_tmp_table
 from vesselmart.sources.trajectories import conformance, is_traj_file, list_files
 from vesselmart.sources.wkb import line_to_wkb, point_to_wkb
@@ -191,3 +193,66 @@ def test_ingest_modes(spark):
     ingest(df, path, "replace")
     to_tmp_table(spark.read.parquet(path), "t_ingested")
     assert spark.table("t_ingested").count() == 100
+
+
+def test_geometry_goes_with_its_load_and_ids_are_not_given_twice(spark, wh, files):
+    geometries, last = wh.count("stop_geom_dim"), wh.max_id("stop_geom_dim")
+    name = files[0].rsplit("/", 1)[1]
+    row = wh.loads().filter(
+        (F.col("src_id") == name) & (F.col("dst_tbl") == "ais_stop_fact") & ~F.col("failed") & ~F.col("deleted")
+    ).first()
+    mark_deleted(wh, [row.load_id])
+    assert wh.count("stop_geom_dim") == geometries - row.no_rows
+    assert wh.max_id("stop_geom_dim") == last and wh.max_id("ais_stop_fact", "ais_stop_id") >= last
+    assert loaders.load(wh, files) == [name]
+    assert wh.count("stop_geom_dim") == geometries == wh.count("ais_stop_fact")
+    assert wh.max_id("stop_geom_dim") == last + row.no_rows
+    assert "load_id" not in wh.table("stop_geom_dim").columns
+    # the log tells as much as the tables would
+    fresh = Warehouse(spark, wh.root)
+    for table in ("vessel_dim", "call_sign_dim", "traj_geom_dim"):
+        top = fresh.read_files(table, fresh.paths(table)).agg(F.max(TABLES[table].primary)).first()[0]
+        assert fresh.max_id(table) == top
+
+
+def test_a_table_whose_batches_do_not_tell_ids_is_scanned(spark):
+    wh = Warehouse.create(spark, scratch_dir(spark, "wh"))
+    batch = wh.next_batch()
+    wh.append("half_degree_grid_dim", spark.createDataFrame([(41, "a")], "half_degree_cell_id bigint, gst_cell_id string"), batch)
+    assert wh.max_id("half_degree_grid_dim") == 0
+    wh.publish(batch)
+    assert wh.max_id("half_degree_grid_dim") == 41
+
+
+def test_a_load_that_repeats_a_key_stays_unpublished(spark, files, monkeypatch):
+    wh = Warehouse.create(spark, scratch_dir(spark, "wh"))
+
+    def careless(wh, batch_id, rows, dim):
+        """A strategy of one's own that does not look at what is there."""
+        again = rows.limit(1).unionAll(rows.limit(1))
+        wh.append(dim.table, again.withColumn(dim.surrogate, F.lit(1)), batch_id)
+
+    dims = loaders.dims
+    own = dims.Dimension("vessel_config_dim", dims.VESSEL_CONFIG.keys, [], "vessel_config_id", (), careless)
+    roles = tuple((own if d is dims.VESSEL_CONFIG else d, r) for d, r in loaders.ROLES)
+    monkeypatch.setattr(loaders, "ROLES", roles)
+    with pytest.raises(Exception, match="not unique|must not be null"):
+        loaders.load(wh, [files[0]])
+    assert wh.count("ais_traj_fact") == 0 and wh.count("vessel_config_dim") == 0
+
+
+def test_skipped_files_are_told(spark, files, sf_dir):
+    wh = Warehouse.create(spark, scratch_dir(spark, "wh"))
+    other = f"{sf_dir}/events.parquet"
+    done = loaders.load(wh, [files[0], other, f"{sf_dir}/none.txt"])
+    reasons = dict(done.skipped)
+    assert set(reasons) == {other, f"{sf_dir}/none.txt"} and reasons[other].startswith("lacks")
+    assert dict(loaders.load(wh, files).skipped) == {files[0]: "is loaded already"}
+
+
+def test_a_store_that_tasks_cannot_open_is_asked_through_spark(spark, files):
+    odd = files[0].replace("file:", "viewfs:", 1)
+    (batch,) = list(trajectories._footers([pa.RecordBatch.from_arrays([pa.array([files[0], odd])], ["path"])]))
+    assert batch.column(3).to_pylist() == [False, True]
+    asked = trajectories._asked(spark, [files[0]]).first()
+    assert set(asked.names) == set(batch.column(1).to_pylist()[0])

@@ -16,7 +16,7 @@ from ..warehouse.schema import CONFIG_COLUMNS, GEOM_COLUMNS, STOP_EXTRA, TABLES,
 from ..warehouse.store import Warehouse
 from . import expanders
 from .lookup import lookup
-from .merge import FIRST_LOAD, merge_smart, merge_surrogate, merge_texts
+from .merge import FIRST_LOAD, merge_keys, merge_smart, merge_surrogate
 
 logger = logging.getLogger(__name__)
 
@@ -51,6 +51,11 @@ class Dimension:
             and not self.processors and TABLES[self.table].schema[self.keys[0]].dataType == StringType()
         )
 
+    @property
+    def is_derived(self) -> bool:
+        """A single smart key from which processors make everything else."""
+        return self.strategy is merge_smart and len(self.keys) == 1 and bool(self.processors)
+
     def names(self, overrides: Names) -> Names:
         """Dimension column -> batch column; what is not overridden keeps its name."""
         return {**{c: c for c in self.columns}, **overrides}
@@ -139,18 +144,21 @@ def load_dimension(
     logger.info("%s took in new members in %.2fs", dim.table, time.perf_counter() - start)
 
 
-def load_texts(
+def load_keys(
     wh: Warehouse, batch_id: int, batch: DataFrame, roles: Sequence[tuple[Dimension, Sequence[Names]]]
 ) -> None:
-    """Take the batch's new texts into all the given text dimensions in one pass."""
+    """Take the batch's new members into dimensions of a single key, in one pass.
+
+    The dimensions are texts behind a sequence, or derived from their key.
+    """
     start = time.perf_counter()
     values = [
         F.struct(F.lit(d.table).alias("dimension"), F.col(d.names(names)[d.keys[0]]).cast("string").alias("value"))
         for d, some in roles for names in some
     ]
     offered = batch.select(F.explode(F.array(*values)).alias("v")).select("v.*")
-    merge_texts(wh, batch_id, offered, [d for d, _ in roles])
-    logger.info("%d text dimensions took in new members in %.2fs", len(roles), time.perf_counter() - start)
+    merge_keys(wh, batch_id, offered, [d for d, _ in roles])
+    logger.info("%d dimensions took in new members in %.2fs", len(roles), time.perf_counter() - start)
 
 
 def attach_surrogate(

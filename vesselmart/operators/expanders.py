@@ -46,7 +46,7 @@ def expand_time_ids(batch: DataFrame, names: dict[str, str]) -> DataFrame:
 
 def expand_stop_geometry(batch: DataFrame, names: dict[str, str]) -> DataFrame:
     """Adds centroid, convex hull and a simplification that keeps the line's topology."""
-    kept = [c for c in ("geom_id", "ais_stop_id") if c in batch.columns]
+    kept = [c for c in ("geom_id", "ais_stop_id", "load_id") if c in batch.columns]
     center, hull, simplified = STOP_EXTRA
     shaped = with_stop_shapes(
         batch.select(*kept, *[F.col(names[c]).alias(c) for c in GEOM_COLUMNS]),
@@ -57,7 +57,7 @@ def expand_stop_geometry(batch: DataFrame, names: dict[str, str]) -> DataFrame:
 
 def expand_traj_geometry(batch: DataFrame, names: dict[str, str]) -> DataFrame:
     """Adds the empty places for later simplifications."""
-    kept = [c for c in ("geom_id", "ais_traj_id") if c in batch.columns]
+    kept = [c for c in ("geom_id", "ais_traj_id", "load_id") if c in batch.columns]
     return batch.select(
         *kept, *[F.col(names[c]).alias(c) for c in GEOM_COLUMNS],
         *[F.lit(None).cast(LINE).alias(c) for c in TRAJ_EXTRA],

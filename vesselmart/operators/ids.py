@@ -73,13 +73,12 @@ def number_files(
 
 def number_groups(
     df: DataFrame, path: str, group: str, order_by: list[Column], id_column: str, first_ids: dict[str, int]
-) -> tuple[DataFrame, dict[str, int]]:
+) -> DataFrame:
     """Write ``df`` to ``path``, and number the rows of each group in order.
 
     All groups go through one range-partitioned write and one count. A file holds
     a group's rows side by side, so that each of its groups has one offset: what
-    the driver gets is a row for each file and group. Returns the rows with their
-    ids and the number of rows by group.
+    the driver gets is a row for each file and group.
     """
     spark = df.sparkSession
     order = [F.col(group), *order_by]
@@ -100,10 +99,9 @@ def number_groups(
         starts = F.broadcast(starts)
     rows = written.select("*", F.col("_metadata.file_name").alias("__name"), row.alias("__row"))
     same = (rows[group] == F.col("__group")) & (F.col("__name") == F.col("__file"))
-    numbered = rows.join(starts, same).select(
+    return rows.join(starts, same).select(
         (F.col("__start") + F.col("__row")).alias(id_column), *df.columns
     )
-    return numbered, counts
 
 
 def number_rows(

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
+from functools import partial, reduce
 from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -20,6 +20,7 @@ if TYPE_CHECKING:
     from .dimension import Dimension
 
 
+PARALLEL_ACTIONS = 10  # jobs the driver keeps in flight
 #: Column that tells the first load of a batch that brings a candidate row.
 FIRST_LOAD = "__first_load"
 
@@ -66,9 +67,9 @@ def first_wins(
     text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])
     load = [FIRST_LOAD] if FIRST_LOAD in columns else []
     turn = F.struct(*load, F.md5(text).alias("digest"), *[c for c in columns if c not in load])
-    left, count = _written(unclaimed(rows.distinct().withColumn("__turn", turn), existing))
+    left, counts = _written(unclaimed(rows.distinct().withColumn("__turn", turn), existing))
     taken: list[DataFrame] = []
-    while count:
+    while counts["rows"]:
         # a row that is first under each of its keys meets no earlier rival
         ranked = left
         sure = F.lit(True)
@@ -80,20 +81,31 @@ def first_wins(
             ranked = ranked.join(best, same, "left")
             first = F.coalesce(F.col(f"__best{n}") == F.col("__turn"), F.lit(True))
             sure = sure & first
-        judged, _ = _written(ranked.select(*columns, "__turn", sure.alias("__sure")))
+        judged, counts = _written(
+            ranked.select(*columns, "__turn", sure.alias("__sure")), rows=F.count_if(~F.col("__sure"))
+        )
         winners = judged.filter("__sure").drop("__sure")
         taken.append(winners.select(*columns))
-        left, count = _written(unclaimed(judged.filter("NOT __sure").drop("__sure"), winners))
+        if counts["rows"]:
+            left, counts = _written(unclaimed(judged.filter("NOT __sure").drop("__sure"), winners))
     return reduce(DataFrame.unionAll, taken) if taken else left.select(*columns)
 
 
-def _written(df: DataFrame) -> tuple[DataFrame, int]:
+def _written(df: DataFrame, **counts: Column) -> tuple[DataFrame, dict[str, int]]:
     """The same rows from a table in the shared folder, so that no lineage builds up,
-    and their number, as counted by the write."""
+    and the given counts (default: ``rows``), as observed by the write."""
     path = scratch_dir(df.sparkSession, "rivals")
     counted = Observation()
-    df.observe(counted, F.count(F.lit(1)).alias("rows")).write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path), counted.get["rows"]
+    wanted = counts or {"rows": F.count(F.lit(1))}
+    df.observe(counted, *[c.alias(n) for n, c in wanted.items()]).write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), counted.get
+
+
+def side_by_side(calls: Iterable[Callable[[], None]]) -> None:
+    """Jobs the driver keeps in flight together."""
+    with ThreadPoolExecutor(PARALLEL_ACTIONS) as pool:
+        for job in [pool.submit(call) for call in calls]:
+            job.result()
 
 
 def _with_load(rows: DataFrame) -> DataFrame:
@@ -133,8 +145,8 @@ def merge_surrogate(wh: Warehouse, batch_id: int, rows: DataFrame, dim: Dimensio
             first_load, null_safe(fresh, first_load, pairs) & (F.col(FIRST_LOAD) == F.col("__least"))
         ).select(*dim.keys, *dim.attributes, FIRST_LOAD)
     # written before they are sorted, which reads its input twice
-    fresh, count = _written(fresh)
-    if not count:
+    fresh, counts = _written(fresh)
+    if not counts["rows"]:
         return
     order = row_order([*dim.keys, *dim.attributes])
     first = wh.max_id(dim.table, including=batch_id) + 1
@@ -149,17 +161,19 @@ def merge_surrogate(wh: Warehouse, batch_id: int, rows: DataFrame, dim: Dimensio
     wh.append(dim.table, numbered.rows.drop(FIRST_LOAD), batch_id, first + numbered.count - 1)
 
 
-def merge_texts(wh: Warehouse, batch_id: int, offered: DataFrame, dims: Sequence[Dimension]) -> None:
-    """Take new texts into several dimensions in one pass.
+def merge_keys(wh: Warehouse, batch_id: int, offered: DataFrame, dims: Sequence[Dimension]) -> None:
+    """Take new members into several dimensions of one key each, in one pass.
 
-    ``offered`` has rows (dimension, value), and each dimension is one text behind
-    a sequence. The outcome is that of :func:`merge_surrogate` on each, but texts of
-    all dimensions are matched, sorted and numbered together.
+    ``offered`` has rows (dimension, value), the key as text. The outcome is that of
+    :func:`merge_surrogate` or :func:`merge_smart` on each, but keys of all
+    dimensions are matched, and those that get numbers sorted, together.
     """
     known = reduce(
         DataFrame.unionAll,
         (
-            wh.table(d.table, batch_id).select(F.lit(d.table).alias("__dimension"), F.col(d.keys[0]).alias("__value"))
+            wh.table(d.table, batch_id).select(
+                F.lit(d.table).alias("__dimension"), F.col(d.keys[0]).cast("string").alias("__value")
+            )
             for d in dims
         ),
     )
@@ -167,26 +181,35 @@ def merge_texts(wh: Warehouse, batch_id: int, offered: DataFrame, dims: Sequence
         known = F.broadcast(known)
     rows = offered.select("dimension", "value").distinct()
     pairs = [("dimension", "__dimension"), ("value", "__value")]
-    fresh, count = _written(rows.join(known, null_safe(rows, known, pairs), "left_anti"))
-    if not count:
-        return
-    first = {d.table: wh.max_id(d.table, including=batch_id) + 1 for d in dims}
-    numbered, counts = number_groups(
-        fresh, scratch_dir(wh.spark, "texts"), "dimension", row_order(["value"]), "id", first
+    fresh, counts = _written(
+        rows.join(known, null_safe(rows, known, pairs), "left_anti"),
+        **{d.table: F.count_if(F.col("dimension") == d.table) for d in dims},
     )
-    for dim in dims:
-        check_sequence(first[dim.table], counts.get(dim.table, 0), TABLES[dim.table].max_id)
-
-    def write(dim: Dimension) -> None:
-        mine = numbered.filter(F.col("dimension") == dim.table)
-        wh.append(
-            dim.table, mine.select(F.col("id").alias(dim.surrogate), F.col("value").alias(dim.keys[0])),
-            batch_id, first[dim.table] + counts[dim.table] - 1,
+    grown = [d for d in dims if counts[d.table]]
+    first = {d.table: wh.max_id(d.table, including=batch_id) + 1 for d in grown if d.surrogate}
+    for name, start in first.items():
+        check_sequence(start, counts[name], TABLES[name].max_id)
+
+    def derived(dim: Dimension) -> None:
+        kind = TABLES[dim.table].schema[dim.keys[0]].dataType
+        keys = fresh.filter(F.col("dimension") == dim.table).select(F.col("value").cast(kind).alias(dim.keys[0]))
+        wh.append(dim.table, dim.process(keys, dim.names({})).select(*dim.columns), batch_id)
+
+    def texts() -> None:
+        numbered = number_groups(
+            fresh.filter(F.col("dimension").isin(*first)), scratch_dir(wh.spark, "keys"), "dimension",
+            row_order(["value"]), "id", first,
         )
 
-    grown = [d for d in dims if counts.get(d.table)]
-    with ThreadPoolExecutor(len(grown)) as pool:
-        list(pool.map(write, grown))
+        def write(dim: Dimension) -> None:
+            mine = numbered.filter(F.col("dimension") == dim.table).select(
+                F.col("id").alias(dim.surrogate), F.col("value").alias(dim.keys[0])
+            )
+            wh.append(dim.table, mine, batch_id, first[dim.table] + counts[dim.table] - 1)
+
+        side_by_side(partial(write, d) for d in grown if d.surrogate)
+
+    side_by_side([*([texts] if first else []), *(partial(derived, d) for d in grown if not d.surrogate)])
 
 
 def insert_surrogate(

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Iterable, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import partial
 
@@ -17,9 +16,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import dimension as dims
-from ..operators.dimension import Dimension, Names, attach_surrogate, load_dimension, load_texts
+from ..operators.audit import repeated_keys
+from ..operators.dimension import Dimension, Names, attach_surrogate, load_dimension, load_keys
 from ..operators.ids import number_files
-from ..operators.merge import insert_surrogate
+from ..operators.merge import insert_surrogate, side_by_side
 from ..session import scratch_dir
 from ..sources.trajectories import conformance, file_name, list_files, read_trajectories
 from ..warehouse import files
@@ -29,7 +29,6 @@ from ..warehouse.store import Warehouse
 
 logger = logging.getLogger(__name__)
 
-PARALLEL_ACTIONS = 8  # dimension loads the driver keeps in flight
 MAX_FILES = 20_000  # files per batch; a call with more goes through in several batches
 
 
@@ -112,19 +111,17 @@ def project_fact(rows: DataFrame, fact: ObjectFact) -> DataFrame:
 def load_dimensions(wh: Warehouse, batch_id: int, batch: DataFrame) -> None:
     """Take new members into every dimension; independent ones run side by side.
 
-    The text dimensions go through together.
+    Those of a single key go through together.
     """
-    _side_by_side(_dimension_loads(wh, batch_id, batch))
+    side_by_side(_dimension_loads(wh, batch_id, batch))
 
 
 def _dimension_loads(wh: Warehouse, batch_id: int, batch: DataFrame) -> list[Callable[[], None]]:
-    texts = [(dim, roles) for dim, roles in ROLES if dim.is_text]
+    single = [(dim, roles) for dim, roles in ROLES if dim.is_text or dim.is_derived]
+    rest = [(dim, roles) for dim, roles in ROLES if not (dim.is_text or dim.is_derived)]
     return [
-        partial(load_texts, wh, batch_id, batch, texts),
-        *(
-            partial(load_dimension, wh, batch_id, batch, dim, roles)
-            for dim, roles in ROLES if not dim.is_text
-        ),
+        partial(load_keys, wh, batch_id, batch, single),
+        *(partial(load_dimension, wh, batch_id, batch, dim, roles) for dim, roles in rest),
     ]
 
 
@@ -165,12 +162,6 @@ def load_fact(
         raise LoadError(f"{fact.table}: {count} rows came in, {written} were written")
 
 
-def _side_by_side(calls: Iterable[Callable[[], None]]) -> None:
-    with ThreadPoolExecutor(PARALLEL_ACTIONS) as pool:
-        for job in [pool.submit(call) for call in calls]:
-            job.result()
-
-
 def load_batch(
     wh: Warehouse, scope: LoadScope, batch: DataFrame, facts: Sequence[ObjectFact] = FACTS,
     before_publish: Callable[[], None] | None = None,
@@ -194,31 +185,50 @@ def load_batch(
             numbered[fact.table] = rows, first, found.count
 
         # geometry needs no dimension, and facts need all of both
-        _side_by_side(
+        side_by_side(
             [*(partial(geometry, f) for f in facts), *_dimension_loads(wh, scope.batch_id, staged)]
         )
         members = open_members(wh, scope.batch_id)
-        _side_by_side(
+        side_by_side(
             partial(load_fact, wh, scope.batch_id, rows, fact, first, count, members)
             for fact in facts for rows, first, count in [numbered[fact.table]]
         )
+    broken = repeated_keys(wh, scope.batch_id)
+    if broken:
+        raise LoadError("; ".join(f"{t}: {n} keys are not unique: {rule}" for t, rule, n in broken))
     if before_publish:
         before_publish()
     scope.ingest_stopped()
 
 
+class Loaded(list):
+    """Names of the files loaded; ``skipped`` has (path, reason) of the others."""
+
+    def __init__(self, names: Iterable[str], skipped: Iterable[tuple[str, str]]):
+        super().__init__(names)
+        self.skipped = list(skipped)
+
+
 def load(
     wh: Warehouse, paths: Iterable[str], facts: Sequence[ObjectFact] = FACTS,
     before_publish: Callable[[], None] | None = None,
-) -> list[str]:
+) -> Loaded:
     """Load the files that qualify and are not yet loaded; returns their names.
 
-    A file counts by its name: of several with one name only the first is loaded. Per fact, a file is skipped if the ledger has a
-    good load of it.
+    A file counts by its name: of several with one name only the first is loaded.
+    Per fact, a file is skipped if the ledger has a good load of it. Files that
+    are left out altogether are told with the reason. A call is one batch, but for
+    one of more than ``MAX_FILES`` files, whose batches are published one by one.
     """
     paths = list(paths)
+    judged = conformance(wh.spark, paths)
+    reason = F.when(~F.col("compatible"), F.concat(F.lit("lacks "), F.array_join("missing", ", "))).when(
+        F.col("hidden"), F.lit("has a name that is passed over when reading")
+    )
+    unfit = judged.withColumn("reason", reason).filter("reason IS NOT NULL").select("path", "reason")
+    skipped = {r.path: r.reason for r in unfit.collect()}  # a row a file at most
     named = (
-        conformance(wh.spark, paths).filter("compatible")
+        judged.filter("compatible AND NOT hidden")
         .withColumn("src_id", file_name(F.col("path")))
         .withColumn("dst_tbl", F.explode(F.array(*[F.lit(f.table) for f in facts])))
     )
@@ -230,8 +240,14 @@ def load(
         by_name[row.src_id] = min(by_name.get(row.src_id, row.path), row.path, key=order.get)
     for row in todo:
         if row.path != by_name[row.src_id]:
-            logger.warning("%s skipped: %s has the same name", row.path, by_name[row.src_id])
+            skipped[row.path] = f"has the name of {by_name[row.src_id]}"
     todo = [r for r in todo if r.path == by_name[r.src_id]]
+    taken = set(by_name.values())
+    for path in paths:
+        if path not in skipped and path not in taken:
+            skipped[path] = "is loaded already"
+    for path, why in skipped.items():
+        logger.warning("%s skipped: it %s", path, why)
     names = sorted(by_name, key=lambda n: order[by_name[n]])
     turn = {f.table: n for n, f in enumerate(facts)}
     todo.sort(key=lambda r: (order[r.path], turn[r.dst_tbl]))
@@ -245,9 +261,9 @@ def load(
         batch = read_trajectories(wh.spark, [sorted(g) for _, g in sorted(groups.items())])
         with LoadScope(wh, [(r.src_id, r.dst_tbl) for r in rows]) as scope:
             load_batch(wh, scope, batch, facts, before_publish)
-    return sorted(names)
+    return Loaded(sorted(names), skipped.items())
 
 
-def load_dir(wh: Warehouse, folder: str, facts: Sequence[ObjectFact] = FACTS) -> list[str]:
+def load_dir(wh: Warehouse, folder: str, facts: Sequence[ObjectFact] = FACTS) -> Loaded:
     """Load every qualifying file of a folder."""
     return load(wh, list_files(wh.spark, folder), facts)

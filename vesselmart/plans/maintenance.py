@@ -35,6 +35,7 @@ def compact(wh: Warehouse, name: str, file_bytes: int = FILE_BYTES) -> int:
     batch = wh.next_batch()
     wh.append(name, rows, batch)
     old = [int(p.rsplit("batch=", 1)[1]) for p in small]
+    # what was moved is not counted as loaded again
     wh.log([{"kind": "compact", "batch_id": batch, "table_name": name, "replaces": old}])
     return batch
 

@@ -7,7 +7,6 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..warehouse.schema import TABLES
 from ..warehouse.store import Warehouse
 
 
@@ -36,12 +35,23 @@ def ingest_rate(wh: Warehouse) -> DataFrame:
     )
 
 
+def load_report(wh: Warehouse) -> DataFrame:
+    """(batch_id, table_name, inserted, seconds, rows_per_sec) of every table that a
+    published batch grew, as counted and timed by the writes."""
+    events = wh.events()
+    published = events.filter("kind IN ('publish', 'compact')").select("batch_id")
+    seconds = (
+        F.unix_micros(F.col("ingest_end_ts").cast("timestamp"))
+        - F.unix_micros(F.col("ingest_start_ts").cast("timestamp"))
+    ) / 1e6
+    return (
+        events.filter("kind = 'table' AND no_rows > 0").join(published, "batch_id", "left_semi")
+        .groupBy("batch_id", "table_name")
+        .agg(F.sum("no_rows").alias("inserted"), F.sum(seconds).alias("seconds"))
+        .withColumn("rows_per_sec", F.try_divide("inserted", "seconds"))
+    )
+
+
 def batch_report(wh: Warehouse, batch_id: int) -> DataFrame:
-    """(table_name, inserted) for everything one batch added."""
-    parts = [
-        wh.batch(n, batch_id).agg(F.count(F.lit(1)).alias("inserted")).select(
-            F.lit(n).alias("table_name"), "inserted"
-        )
-        for n in TABLES
-    ]
-    return reduce(DataFrame.unionAll, parts).filter("inserted > 0")
+    """(table_name, inserted, seconds, rows_per_sec) for everything one batch added."""
+    return load_report(wh).filter(F.col("batch_id") == batch_id).drop("batch_id")

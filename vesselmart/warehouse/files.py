@@ -31,3 +31,9 @@ def total_bytes(spark: SparkSession, paths: list[str]) -> int:
         fs, handle = _open(spark, path)
         total += fs.getContentSummary(handle).getLength()
     return total
+
+
+def rename(spark: SparkSession, path: str, new: str) -> None:
+    fs, handle = _open(spark, path)
+    if not fs.rename(handle, spark._jvm.org.apache.hadoop.fs.Path(new)):
+        raise OSError(f"could not rename {path}")
