@@ -47,4 +47,4 @@ def test_empty_table(spark, sf_dir):
 
 
 def test_one_query_an_operator():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
