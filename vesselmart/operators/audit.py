@@ -58,27 +58,30 @@ def repeated_keys(wh: Warehouse, batch_id: int) -> list[tuple[str, str, int]]:
     """(table, key, number) of unique keys that a batch breaks, within itself or with
     what is visible.
 
-    Only tables the batch grew are looked at, and of them 128 bits a key, all in
-    one aggregation. Ids of a sequence go on from the log and need no look.
+    Only tables the batch grew are looked at, in one scan each, and of them 128 bits
+    a key, all in one aggregation. Ids of a sequence go on from the log and need no
+    look.
     """
     grown = {e["table_name"] for e in wh.written(batch_id) if e["no_rows"]}
     parts = []
     for name in sorted(grown):
         table = TABLES[name]
         own = [(table.primary,)] if table.primary and not table.max_id else []
-        for key in [*own, *table.unique]:
-            whole = reduce(lambda a, b: a & b, (F.col(c).isNotNull() for c in key))
-            for rows, new in ((wh.batch(name, batch_id), 1), (wh.table(name), 0)):
-                parts.append(
-                    rows.filter(whole).select(
-                        F.lit(name).alias("table_name"), F.lit(", ".join(key)).alias("key"),
-                        F.xxhash64(*key).alias("a"), F.xxhash64(F.lit(1), *key).alias("b"), F.lit(new).alias("new"),
-                    )
-                )
+        keys = [
+            F.when(
+                reduce(lambda a, b: a & b, (F.col(c).isNotNull() for c in key)),
+                F.struct(
+                    F.lit(name).alias("table_name"), F.lit(", ".join(key)).alias("key"),
+                    F.xxhash64(*key).alias("a"), F.xxhash64(F.lit(1), *key).alias("b"),
+                ),
+            )
+            for key in [*own, *table.unique]
+        ]
+        if keys:
+            rows = wh.table(name, batch_id).select(F.explode(F.array_compact(F.array(*keys))).alias("k"))
+            parts.append(rows.select("k.*"))
     if not parts:
         return []
-    counted = reduce(DataFrame.unionAll, parts).groupBy("table_name", "key", "a", "b").agg(
-        F.sum("new").alias("new"), F.count(F.lit(1)).alias("n")
-    )
-    broken = counted.filter("new > 0 AND n > 1").groupBy("table_name", "key").count()
-    return [(r["table_name"], r["key"], r["count"]) for r in broken.collect()]  # a row a rule
+    counted = reduce(DataFrame.unionAll, parts).groupBy("table_name", "key", "a", "b").count()
+    broken = counted.filter("count > 1").groupBy("table_name", "key").agg(F.count(F.lit(1)).alias("n"))
+    return [(r["table_name"], r["key"], r["n"]) for r in broken.collect()]  # a row a rule
