@@ -1,8 +1,11 @@
 """URL language ratio and chat windows."""
 
 import hashlib
+import math
+import random
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from vesselmart.llm import chatwindows, urlratio
@@ -65,19 +68,95 @@ def test_nothing_to_learn_from(spark):
     assert urlratio.judge(one.limit(0), RULES).count() == 0
 
 
-def test_smoothing_is_a_distribution():
-    import numpy as np
-
-    counts = np.zeros((2, urlratio.ORDER + 1, urlratio.SLOTS, urlratio.CLASSES), np.int64)
-    for text in (b"abcabc", b"abd"):
-        for order, cell in enumerate(urlratio._cells(urlratio._symbols(text))):
-            np.add.at(counts[0, order].ravel(), cell, 1)
-    model = urlratio.Ratio(counts)
-    context = model.counts[0, 1][urlratio._symbols(b"a")[urlratio.ORDER]]
-    kinds, total = (context > 0).sum(), context.sum()
-    zero = model.counts[0, 0][0]
-    base = (zero + (zero > 0).sum() / urlratio.CLASSES) / (zero.sum() + (zero > 0).sum())
-    assert np.isclose(((context + kinds * base) / (total + kinds)).sum(), 1)
+def _string(host, path):
+    """Without the top label, a label "example" before it and one leading directory."""
+    labels = host.split(".")[:-1]
+    if labels and labels[-1] == "example":
+        labels.pop()
+    first, slash, rest = path[1:].partition("/")
+    return ".".join(labels) + (slash + rest if slash else path)
+
+
+def _held(string):
+    number = xxhash.xxh64_intdigest(string.encode(), seed=42)
+    return (number - (number >> 63 << 64)) % urlratio.HELD == 0
+
+
+class _Model:
+    """Counts of every context in a dictionary."""
+
+    def __init__(self, strings):
+        self.counts = {}
+        for string in strings:
+            symbols = self.symbols(string)
+            for k in range(4, len(symbols)):
+                for order in range(5):
+                    followers = self.counts.setdefault(symbols[k - order:k], {})
+                    followers[symbols[k]] = followers.get(symbols[k], 0) + 1
+
+    @staticmethod
+    def symbols(string):
+        return ("start",) * 4 + tuple(string.encode()) + ("end",)
+
+    def chance(self, context, symbol):
+        out = 1 / 257
+        for order in range(5):
+            followers = self.counts.get(context[4 - order:], {})
+            if followers:
+                total = sum(followers.values())
+                out = (followers.get(symbol, 0) + len(followers) * out) / (total + len(followers))
+        return out
+
+    def log(self, string):
+        symbols = self.symbols(string)
+        return sum(math.log(self.chance(symbols[k - 4:k], symbols[k])) for k in range(4, len(symbols)))
+
+
+def _many_urls():
+    draw = random.Random(11)
+    made = []
+    for _ in range(1200):
+        host = draw.choice(["", "www.", "m.", "B\u00e9."]) + "".join(draw.choices("thenoru", k=draw.randint(0, 9)))
+        domain = draw.choice(["example.net", "example.com", "example.org", "net", "org", "x.example.test", "EXAMPLE.NET"])
+        path = draw.choice(["/en/", "/de/", "/fr/", "/es/", "/", "//", ""]) + str(draw.randrange(10 ** draw.randint(1, 6)))
+        made.append(f"https://{host}.{domain}{path}{draw.choice(['', '/', '.html', '?q=1', '#top'])}")
+    return made + made[:60] + [made[0]] * 90
+
+
+def test_ratio_is_that_of_a_dictionary_model(spark):
+    urls = URLS + _many_urls()
+    rows = [(k // 2, u, None) for k, u in enumerate(urls)]  # ids repeat
+    got = urlratio.judge(spark.createDataFrame(rows, PAGE), RULES).collect()
+    parts = [_parts(u) for u in urls]
+    kinds = {"allow": [], "block": []}
+    for host, path in parts:
+        rule, string = _rule(host, path), _string(host, path)
+        if rule and string and not _held(string):
+            kinds[RULES[rule]].append(string)
+    accepted, rejected = _Model(kinds["allow"]), _Model(kinds["block"])
+    want = {}
+    for host, path in parts:
+        string = _string(host, path)
+        length = len(string.encode()) + 1
+        want[host, path] = (accepted.log(string) - rejected.log(string)) / length if string else 0.0
+    assert len(got) == len(urls) and len(kinds["allow"]) > 50 < len(kinds["block"])
+    for r in got:
+        assert abs(r["ratio"] - want[r["host"], r["path"]]) < 1e-9
+    # every context is a distribution over the bytes and the end
+    for context in [("start",) * 4, tuple(b"then"), tuple(b"zzzz")]:
+        assert math.isclose(sum(accepted.chance(context, s) for s in [*range(256), "end"]), 1)
+    # one threshold divides what no rule decides
+    free = [(r["ratio"], r["verdict"]) for r in got if not r["rule"] and _string(r["host"], r["path"])]
+    blocked = [x for x, v in free if v == "block"]
+    assert blocked and max(blocked) < min(x for x, v in free if v == "allow")
+
+
+def test_what_rules_look_at_is_not_compared(spark):
+    rows = [(k, f"https://www.some.{d}/{lang}/77", None) for k, (d, lang) in enumerate(
+        (d, lang) for d in ("example.net", "example.com", "org", "example.test") for lang in ("en", "de", "fr", "es")
+    )]
+    found = {r["ratio"] for r in urlratio.judge(spark.createDataFrame(rows, PAGE), RULES).collect()}
+    assert len(found) == 1
 
 
 CONVERSATION = "conv_id long, turn long, role string, text string"

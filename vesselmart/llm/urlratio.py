@@ -2,26 +2,42 @@
 
 Explicit rules (host and path prefix, allow or block) decide first. URLs that a
 rule decides are also the training material: one variable-order Markov model
-for accepted URLs, one for rejected ones, over the characters of host and path
-with the rule's own host removed (it would give the answer away). For every
-other URL the two log-likelihoods are compared,
+for accepted URLs, one for rejected ones. For every other URL the two
+log-likelihoods are compared,
 
-    ratio = (log P(url | accepted) - log P(url | rejected)) / length,
+    ratio = (log P(url | accepted) - log P(url | rejected)) / (length + 1),
 
 and the URL is blocked when the ratio is below a threshold calibrated on a fifth
 of the ruled URLs that the models have not seen.
 
+What rules look at would give the answer away, so it is taken off every URL
+alike, in training, calibration and judging (``compared``): the top label of the
+host, the labels before it where a rule names them at that place, and as many
+leading directories of the path as the deepest rule names.
+
 Smoothing is interpolation by the number of different followers of a context
-(Witten-Bell), from order ``ORDER`` down to single characters and then to equal
-chances. Characters fall into 64 classes and contexts into 4096 slots an order
-(exact up to two characters, hashed beyond), so the model has at most
-2 * (ORDER + 1) * 4096 * 64 counts however large the corpus; counting itself
-runs over all ruled URLs as one aggregation.
-
-Defined results: null URLs and URLs without ``://`` have empty host and path;
-an empty string has ratio 0. Without both accepted and rejected training URLs
-nothing is blocked by ratio. Of rules of one length the first in text order
-wins. Repeated URLs count as often as they occur.
+(Witten-Bell), from order ``ORDER`` down to single bytes and then to equal
+chances of 256 bytes and the end. Contexts are exact: a context and the byte
+after it are packed into one whole number, and the counts are tables of Spark
+that grow with the URLs.
+
+1. Strings are made distinct; each gives its different grams (a byte and the
+   four before it) with how often they occur.
+2. Grams are counted over all strings; every shorter context gets its counts
+   from them. A context holds 257 followers at most.
+3. Each different gram looks up its five contexts once and folds them into the
+   difference of the two logarithms. Contexts of order 0 and 1 (259 rows at
+   most) are broadcast; a longer one is asked for by different grams only.
+4. Strings add up the differences of their grams, as whole multiples of
+   1 / ``SCALE``, so that the sum does not depend on its order. The ``HOT`` most
+   frequent grams are answered from a broadcast, so that no key of the join has
+   more than one in ``HOT`` of all rows. Pages look up their string likewise.
+
+Defined results: null URLs and URLs without ``://`` have empty host and path; an
+empty string has ratio 0 and is allowed. Without both accepted and rejected
+training URLs nothing is blocked by ratio. Of rules of one length the first in
+text order wins. Repeated URLs count as often as they occur, repeated page ids
+are rows of their own.
 """
 
 from __future__ import annotations
@@ -33,20 +49,22 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import by_bytes, materialised
+
 ORDER = 4
-SLOTS = 1 << 12
-CLASSES = 64
-#: One ruled URL in so many calibrates the threshold instead of being counted.
+#: Bits of a symbol: 0 marks the start, 1 to 256 are bytes, END the end.
+BITS, END = 9, 257
+#: Bytes of strings whose grams a task makes at a time.
+SLICE = 1 << 18
+#: Grams, and strings, that are answered from a broadcast.
+HOT, HOT_STRINGS = 4096, 256
+#: Whole numbers in one unit of a logarithm.
+SCALE = 1 << 32
+#: One ruled string in so many calibrates the threshold instead of being counted.
 HELD = 5
 #: Calibration bins per nat, and the largest ratio told apart.
 FINE, LARGEST = 256, 8
 
-#: Classes 1 to 45 are these characters, the rest share the others.
-_SINGLE = "abcdefghijklmnopqrstuvwxyz0123456789.-_/%~+=&"
-_CLASS = np.array(
-    [_SINGLE.find(chr(b).lower()) + 1 or 46 + b % 18 for b in range(256)], np.int64
-)
-
 
 def host(url: Column) -> Column:
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -68,131 +86,152 @@ def rule_of(host_: Column, path_: Column, rules: dict[str, str]) -> Column:
     return out
 
 
-def _symbols(text: bytes) -> np.ndarray:
-    """Character classes of a string, with start marks before and an end mark."""
-    body = _CLASS[np.frombuffer(text, np.uint8)]
-    return np.concatenate([np.zeros(ORDER, np.int64), body, np.zeros(1, np.int64)])
+def compared(host_: Column, path_: Column, rules: dict[str, str]) -> Column:
+    """What is left of a URL without the parts that rules look at."""
+    hosts = [rule.split("/", 1)[0].split(".")[::-1] for rule in rules]
+    named = ""
+    for place in range(max(map(len, hosts), default=1) - 1, 0, -1):
+        labels = "|".join(rf"\Q{h}\E" for h in sorted({h[place] for h in hosts if len(h) > place}))
+        named = rf"(?:{named}(?:{labels})\.)?"
+    deepest = max((len([d for d in rule.split("/")[1:] if d]) for rule in rules), default=0)
+    return F.concat(
+        F.regexp_replace(host_, rf"(?:^|\.){named}[^.]*\z", ""),
+        F.regexp_replace(path_, rf"\A(?:/[^/]*+(?=/)){{0,{deepest}}}", ""),
+    )
 
 
-def _cells(symbols: np.ndarray) -> list[np.ndarray]:
-    """For each order, the cell (context slot * CLASSES + class) of each character."""
+def _grams(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The different grams of a string and how often each occurs."""
+    body = np.frombuffer(text, np.uint8).astype(np.int64) + 1
+    symbols = np.concatenate([np.zeros(ORDER, np.int64), body, np.full(1, END)])
     n = len(symbols) - ORDER
-    context = np.zeros(n, np.int64)
-    cells = []
-    for order in range(ORDER + 1):
-        if order:
-            # fold in the character ``order`` places back
-            context = context * CLASSES + symbols[ORDER - order:ORDER - order + n]
-        if order > 2:
-            mixed = context.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-            slot = (mixed >> np.uint64(52)).astype(np.int64)
-        else:
-            slot = context
-        cells.append(slot * CLASSES + symbols[ORDER:])
-    return cells
-
-
-class Ratio:
-    """The two models and the threshold."""
-
-    def __init__(self, counts: np.ndarray, threshold: float | None = None):
-        self.counts = counts.astype(np.float32)  # class of URL, order, slot, character class
-        self.total = self.counts.sum(axis=3)
-        self.kinds = (self.counts > 0).sum(axis=3).astype(np.float32)
-        self.threshold = threshold
-
-    def ratio(self, text: bytes) -> float:
-        cells = _cells(_symbols(text))
-        n = len(cells[0])
-        logs = []
-        for side in (0, 1):
-            chance = np.full(n, 1.0 / CLASSES)
-            for order, cell in enumerate(cells):
-                slot = cell // CLASSES
-                kinds, total = self.kinds[side, order][slot], self.total[side, order][slot]
-                seen = self.counts[side, order].ravel()[cell]
-                weight = total + kinds
-                mixed = (seen + kinds * chance) / np.maximum(weight, 1)
-                chance = np.where(weight > 0, mixed, chance)
-            logs.append(np.log(chance).sum())
-        return float(logs[1] - logs[0]) / n if text else 0.0
-
-
-def _stripped(df: DataFrame) -> Column:
-    """Host and path; of a ruled URL without the rule's host."""
-    ruled = F.substring_index("rule", "/", 1)
-    short = F.expr("substring(host, 1, length(host) - length(substring_index(rule, '/', 1)))")
-    return F.concat(F.when(ruled.isNull(), F.col("host")).otherwise(short), F.col("path"))
-
-
-def fit(ruled: DataFrame) -> Ratio:
-    """Models of (string, accepted) rows; every fifth by hash calibrates.
-
-    What reaches the driver is at most one number a cell of the model and one a
-    bin of the calibration.
-    """
-    held = F.pmod(F.xxhash64("string"), F.lit(HELD)) == 0
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size = (ORDER + 1) * SLOTS * CLASSES
+    gram = np.zeros(n, np.int64)
+    for k in range(ORDER + 1):
+        gram = gram << BITS | symbols[k:k + n]
+    return np.unique(gram, return_counts=True)
+
+
+def occurrences(strings: DataFrame) -> DataFrame:
+    """(sid, gram, n, up, down) of every string and gram; up and down are how often
+    accepted and rejected URLs of training hold it."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sides = batch.column("accepted").to_numpy(zero_copy_only=False).astype(np.int64)
-            found = []
-            for text, side in zip(batch.column("string").to_pylist(), sides.tolist()):
-                for order, cell in enumerate(_cells(_symbols(text.encode()))):
-                    found.append(cell + (order * SLOTS * CLASSES + side * size))
-            cells, times = np.unique(np.concatenate(found or [np.zeros(0, np.int64)]), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(times)], ["cell", "n"])
-
-    counted = (
-        ruled.filter(~held).select("string", "accepted").mapInArrow(count, "cell long, n long")
-        .groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+            for part in by_bytes(batch, "string", SLICE):
+                found = [_grams(t.encode()) for t in part.column("string").to_pylist()]
+                sizes = [len(g) for g, _ in found]
+                n = np.concatenate([c for _, c in found])
+                per_row = [part.column(c).to_numpy(zero_copy_only=False) for c in ("sid", "accepted", "rejected")]
+                sid, up, down = (np.repeat(c, sizes) for c in per_row)
+                grams = np.concatenate([g for g, _ in found])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, pa.int64()) for c in (sid, grams, n, n * up, n * down)],
+                    ["sid", "gram", "n", "up", "down"],
+                )
+
+    seen = [F.when(F.col("held"), F.lit(0)).otherwise(F.col(c)).cast("long").alias(c) for c in ("accepted", "rejected")]
+    return strings.select("sid", "string", *seen).mapInArrow(work, "sid long, gram long, n long, up long, down long")
+
+
+def _by_order(grams: DataFrame, *kept: str) -> DataFrame:
+    """Each gram once an order, with its context of that order and its last symbol."""
+    orders = F.explode(F.array(*[F.lit(k) for k in range(ORDER + 1)])).alias("ord")
+    context = F.expr(
+        f"shiftright(gram & (shiftleft(1L, {BITS} * (ord + 1)) - 1), {BITS}) | shiftleft(CAST(ord AS BIGINT), 40)"
+    )
+    symbol = F.col("gram").bitwiseAND(F.lit((1 << BITS) - 1)).cast("int")
+    return grams.select("gram", *kept, orders).select(
+        "gram", *kept, "ord", context.alias("context"), symbol.alias("symbol")
+    )
+
+
+def contexts(grams: DataFrame) -> DataFrame:
+    """Every context of training: per model the occurrences and the number of
+    different followers, and the counts of each follower."""
+    cells = _by_order(grams.filter("up + down > 0"), "up", "down").groupBy("ord", "context", "symbol").agg(
+        F.sum("up").alias("up"), F.sum("down").alias("down")
+    )
+    return cells.groupBy("ord", "context").agg(
+        *[F.sum(c).alias(f"{c}_total") for c in ("up", "down")],
+        *[F.count_if(F.col(c) > 0).alias(f"{c}_kinds") for c in ("up", "down")],
+        F.map_from_entries(F.collect_list(F.struct("symbol", F.struct("up", "down")))).alias("seen"),
+    )
+
+
+def _chance(levels: Column, side: str) -> Column:
+    """Interpolated chance, from the shortest context to the longest."""
+
+    def mixed(chance: Column, level: Column) -> Column:
+        total, kinds = level[f"{side}_total"], level[f"{side}_kinds"]
+        return F.when(total > 0, (level[side] + kinds * chance) / (total + kinds)).otherwise(chance)
+
+    return F.aggregate(levels, F.lit(1.0 / END), mixed)
+
+
+def fit(found: DataFrame) -> DataFrame:
+    """(gram, uses, delta) of every gram of ``occurrences``: the difference of its
+    logarithms under the two models, as a whole multiple of 1 / ``SCALE``."""
+    grams = found.groupBy("gram").agg(
+        F.count(F.lit(1)).alias("uses"), F.sum("up").alias("up"), F.sum("down").alias("down")
     )
-    counts = np.zeros(2 * (ORDER + 1) * SLOTS * CLASSES, np.int64)
-    counts[counted["cell"].to_numpy(np.int64)] = counted["n"].to_numpy(np.int64)
-    model = Ratio(counts.reshape(2, ORDER + 1, SLOTS, CLASSES))
-    if not (model.total[:, 0].sum(axis=1) > 0).all():
-        return model
-    scored = score(ruled.filter(held), model, "string", "ratio")
-    bin_ = F.least(F.greatest(F.floor(F.col("ratio") * FINE), F.lit(-LARGEST * FINE)), F.lit(LARGEST * FINE))
-    bins = scored.groupBy(bin_.alias("bin"), "accepted").count().toPandas()
-    model.threshold = calibrated(bins)
-    return model
+    grams = materialised(grams, "grams")
+    known = materialised(contexts(grams), "contexts")
+    asked = _by_order(grams, "uses")
+    low = asked.filter("ord <= 1").join(F.broadcast(known.filter("ord <= 1").drop("ord")), "context", "left")
+    high = asked.filter("ord > 1").join(known.filter("ord > 1").drop("ord"), "context", "left")
+    numbers = [f"{side}_{kind}" for side in ("up", "down") for kind in ("total", "kinds")]
+    cell = F.try_element_at("seen", "symbol")
+    level = F.struct(
+        "ord", *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in numbers],
+        *[F.coalesce(cell[c], F.lit(0)).alias(c) for c in ("up", "down")],
+    )
+    folded = low.unionByName(high).select("gram", "uses", level.alias("level")).groupBy("gram", "uses").agg(
+        F.sort_array(F.collect_list("level")).alias("levels")
+    )
+    difference = F.ln(_chance(F.col("levels"), "up")) - F.ln(_chance(F.col("levels"), "down"))
+    return folded.select("gram", "uses", F.round(difference * SCALE).cast("long").alias("delta"))
+
+
+def score(strings: DataFrame) -> DataFrame:
+    """``strings(sid, string, accepted, rejected, held)`` with the length-normalised
+    log-likelihood difference ``ratio``."""
+    found = materialised(occurrences(strings), "occurrences")
+    model = materialised(fit(found), "model")
+    hot = F.broadcast(model.orderBy(F.desc("uses"), "gram").limit(HOT).select("gram", "delta"))
+    near = found.join(hot, "gram")
+    far = found.join(hot, "gram", "left_anti").join(model, "gram")
+    each = [d.select("sid", (F.col("n") * F.col("delta")).alias("part")) for d in (near, far)]
+    sums = each[0].unionByName(each[1]).groupBy("sid").agg(F.sum("part").alias("sum"))
+    length = F.octet_length("string") + 1
+    return strings.join(sums, "sid").withColumn("ratio", F.col("sum") / SCALE / length).drop("sum")
 
 
 def calibrated(bins) -> float:
     """Threshold with the largest sum of kept accepted and blocked rejected shares;
     0 without both kinds. Of equal ones the one nearest to 0."""
-    sides = [bins[bins["accepted"] == s] for s in (False, True)]
-    totals = [int(s["count"].sum()) for s in sides]
-    if not all(totals):
+    up, down = int(bins["up"].sum()), int(bins["down"].sum())
+    if not up or not down:
         return 0.0
     best = (-1.0, 0.0, 0.0)
     for edge in sorted({0, *bins["bin"].tolist()}):
-        kept = sides[1][sides[1]["bin"] >= edge]["count"].sum() / totals[1]
-        blocked = sides[0][sides[0]["bin"] < edge]["count"].sum() / totals[0]
+        kept = bins["up"][bins["bin"] >= edge].sum() / up
+        blocked = bins["down"][bins["bin"] < edge].sum() / down
         best = max(best, (round(float(kept + blocked), 12), -abs(edge) / FINE, edge / FINE))
     return best[2]
 
 
-def score(df: DataFrame, model: Ratio, text: str, out: str) -> DataFrame:
-    """``df`` with the length-normalised log-likelihood difference of ``text``."""
-    shared = df.sparkSession.sparkContext.broadcast(model)
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            # many pages share a host and path; each string is scored once a batch
-            memory: dict[str, float] = {}
-            for t in batch.column(text).to_pylist():
-                if t not in memory:
-                    memory[t] = shared.value.ratio((t or "").encode())
-            ratios = [memory[t] for t in batch.column(text).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(ratios, pa.float64())], [*batch.schema.names, out]
-            )
-
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    return df.mapInArrow(work, f"{fields}, `{out}` double")
+def threshold(scored: DataFrame) -> float | None:
+    """From the held strings of ``score``; null without both kinds in training. What
+    reaches the driver is one row a bin."""
+    seen = scored.filter("NOT held").agg(F.sum("accepted").alias("up"), F.sum("rejected").alias("down")).first()
+    if not seen["up"] or not seen["down"]:
+        return None
+    edge = F.lit(LARGEST * FINE)
+    bin_ = F.least(F.greatest(F.floor(F.col("ratio") * FINE), -edge), edge)
+    return calibrated(
+        scored.filter("held AND accepted + rejected > 0").groupBy(bin_.alias("bin"))
+        .agg(F.sum("accepted").alias("up"), F.sum("rejected").alias("down")).toPandas()
+    )
 
 
 def judge(pages: DataFrame, rules: dict[str, str], url: str = "url", key: str = "page_id") -> DataFrame:
@@ -200,17 +239,32 @@ def judge(pages: DataFrame, rules: dict[str, str], url: str = "url", key: str =
     "host/path-prefix" to "allow" or "block"."""
     parts = pages.select(F.col(key).alias("page_key"), host(F.col(url)).alias("host"), path(F.col(url)).alias("path"))
     parts = parts.withColumn("rule", rule_of(F.col("host"), F.col("path"), rules))
-    parts = parts.withColumn("string", _stripped(parts))
-    allowed = [r for r, v in rules.items() if v == "allow"]
-    by_rule = F.when(F.col("rule").isin(allowed), F.lit("allow")).otherwise(F.lit("block"))
-    ruled = parts.filter(F.col("rule").isNotNull())
-    model = fit(ruled.select("string", F.col("rule").isin(allowed).alias("accepted")))
-    scored = score(parts, model, "string", "ratio")
-    limit = model.threshold
-    good = F.lit(True) if limit is None else (F.col("string") == "") | (F.col("ratio") >= F.lit(limit))
-    verdict = F.when(F.col("rule").isNotNull(), by_rule).otherwise(
-        F.when(good, F.lit("allow")).otherwise(F.lit("block"))
+    parts = parts.withColumn("string", compared(F.col("host"), F.col("path"), rules))
+    allowed = F.col("rule").isin([r for r, v in rules.items() if v == "allow"])
+    strings = parts.filter("string <> ''").groupBy("string").agg(
+        F.count(F.lit(1)).alias("pages"), F.count_if(allowed).alias("accepted"),
+        F.count_if(F.col("rule").isNotNull() & ~allowed).alias("rejected"),
     )
-    return scored.select(
-        F.col("page_key").alias(key), "host", "path", "rule", verdict.alias("verdict"), "ratio"
+    strings = materialised(strings.select(
+        "*", F.monotonically_increasing_id().alias("sid"), F.sha2("string", 256).alias("digest"),
+        (F.pmod(F.xxhash64("string"), F.lit(HELD)) == 0).alias("held"),
+    ), "strings")
+    scored = materialised(score(strings).drop("string"), "scored")
+    limit = threshold(scored)
+
+    # a page finds its ratio by the digest of its string, that of a frequent one without a shuffle
+    ratios = scored.select("digest", "ratio")
+    hot = scored.orderBy(F.desc("pages"), "digest").limit(HOT_STRINGS).select("digest", F.col("ratio").alias("near"))
+    asked = parts.withColumn("digest", F.sha2("string", 256)).join(F.broadcast(hot), "digest", "left")
+    asked = asked.withColumn("near", F.when(F.col("string") == "", F.lit(0.0)).otherwise(F.col("near")))
+    done = asked.filter(F.col("near").isNotNull()).withColumn("ratio", F.col("near"))
+    rest = asked.filter(F.col("near").isNull()).join(ratios, "digest")
+    every = done.unionByName(rest)
+
+    good = F.lit(True) if limit is None else (F.col("string") == "") | (F.col("ratio") >= F.lit(limit))
+    by_method = F.when(good, F.lit("allow")).otherwise(F.lit("block"))
+    by_rule = F.when(allowed, F.lit("allow")).otherwise(F.lit("block"))
+    return every.select(
+        F.col("page_key").alias(key), "host", "path", "rule",
+        F.when(F.col("rule").isNotNull(), by_rule).otherwise(by_method).alias("verdict"), "ratio",
     )
