@@ -1,10 +1,12 @@
 """Word pieces, byte-level BPE and personal data."""
 
 import hashlib
+import itertools
 import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -168,6 +170,47 @@ def test_ordinary_texts_stay_alone(text):
     assert pii.find_all(text) == (pii.find_plain(text), pii.find_plain(text))
 
 
+AT, DOT = ["@", " at ", " AT ", "[at]", " (at) ", " {@} "], [".", " dot ", " Punkt ", "[dot]", " (.) ", " point "]
+
+
+def _added(text):
+    """Spans through the trigger, as over a table."""
+    (plain, every), = pii.find_each(pa.array([text]))
+    return {k: [text[a:b] for a, b in every[k] if (a, b) not in plain[k]] for k in pii.KINDS}, plain
+
+
+def test_every_mix_of_signs_is_found():
+    found = total = 0
+    for at, one, two in itertools.product(AT, DOT, DOT):
+        if (at, one, two) == ("@", ".", "."):
+            continue
+        for core in (f"john.d{at}mail{one}example{two}org", f"ann{at}example{two}com"):
+            if core == "ann@example.com":
+                continue
+            added, plain = _added(f"Please, {core}, thanks")
+            total += 1
+            if plain["email"]:  # "john.d@mail.example dot org" holds a plain address
+                assert plain["email"] and "@" in core and "." in core
+            else:
+                found += 1
+                assert added["email"] == [core] and not added["ip"]
+    assert found > 0.9 * total
+    for dots in itertools.product(DOT, repeat=3):
+        core = f"192{dots[0]}168{dots[1]}1{dots[2]}12"
+        added, plain = _added(f"host {core}, up")
+        assert plain["ip"] if set(dots) == {"."} else added["ip"] == [core]
+    assert not _added("300 dot 168 dot 1 dot 1")[0]["ip"]
+
+
+@pytest.mark.parametrize("text", [
+    "look at example.com", "Meet us at example.org now", "he works at Example.com", "we were at v2.0 then", "at example.com",
+    "a 3 point 5 rise", "on 1 dot 2 dot 3", "mail @host point taken", "see at a.b", "at noon. Then at nine.",
+    "scored 3 point 5 point 7 on it", " " * 20_000 + "at" + " " * 20_000, "9" * 20_000 + " dot 1 dot 1 dot 1",
+])
+def test_ordinary_dots_and_words_stay_alone(text):
+    assert not any(_added(text)[0].values())
+
+
 def test_detection_over_a_table(spark):
     texts = [None, "", "a@b.co 1.2.3.4", "a@b.co 1.2.3.4", "x " * 50_000 + "p at q dot org", "4111 1111 1111 1111 +1 (555) 123-4567"]
     df = documents(spark, texts, spans="clash", n_email="clash")

@@ -7,7 +7,11 @@ characters it stands for:
 1. characters: look-alike letters, digits and signs of other scripts become
    ASCII, invisible characters vanish;
 2. words: spelled digits within a run of digits become digits;
-3. signs: ``[at]``, ``(dot)``, `` dot `` and the like become ``@`` and ``.``.
+3. signs: ``[at]`` and ``(dot)`` become ``@`` and ``.``; so do the bare words, in
+   any mix with plain signs, ``dot`` between four numbers or in the host (and then
+   the name) of an address, ``at`` between a name and such a host. Where all dots
+   of the host are plain, the host must end in letters and the word before ``at``
+   must not be one of a short list ("look at example.com").
 
 The base rules run again over the rewritten text, and what they find is mapped
 back. Such a span is added if it covers a rewritten character and overlaps no
@@ -130,15 +134,29 @@ _SIGN = re.compile(
     r"[ ]*[\[({<][ ]*(?P<at>at|@)[ ]*[\])}>][ ]*|[ ]*[\[({<][ ]*(?:dot|punkt|point|punto|\.)[ ]*[\])}>][ ]*",
     re.IGNORECASE,
 )
-#: What follows the name in "name at host dot tld", both signs bare words.
-_BARE_HOST = re.compile(
-    rf"[ ]+at[ ]+(?=[A-Za-z0-9-])[A-Za-z0-9-]++(?:[ ]+{_DOT_WORD}[ ]+[A-Za-z0-9-]++)++", re.IGNORECASE
+#: What follows the name in an address, the sign or a dot of the host a word.
+_HOST = re.compile(
+    rf"(?:@|(?<! )[ ]++(?P<at>at)[ ]++)(?=[A-Za-z0-9-])"
+    rf"[A-Za-z0-9-]++(?:(?:[ ]++{_DOT_WORD}[ ]++|\.)(?P<last>[A-Za-z0-9-]++))++", re.IGNORECASE
 )
-_BARE_DOT = re.compile(rf"[ ]+{_DOT_WORD}[ ]+", re.IGNORECASE)
+_BARE_AT = re.compile(r"[ ]+at[ ]+", re.IGNORECASE)
+_BARE_DOT = re.compile(rf"(?<! )[ ]++{_DOT_WORD}[ ]+", re.IGNORECASE)
 _DOT_BEFORE = (" dot ", " punkt ", " point ", " punto ")
+#: Four numbers, dots as signs or words.
+_WORD_IP = re.compile(
+    rf"(?<![0-9])[0-9]{{1,3}}(?![0-9])(?:(?:[ ]++{_DOT_WORD}[ ]++|\.)[0-9]{{1,3}}(?![0-9])){{3}}", re.IGNORECASE
+)
+# Words before "at" that make it no sign where the host has plain dots only.
+_NO_NAME = frozenset(
+    "a about all am and are arrive arrived available be been buy call called check contact find found go have he "
+    "her here him hosted is it live look looked located me meet mirrored more not now often on online only open or "
+    "order out page published read register see seen she shop sign site sold start stay that the them there they "
+    "this those up us visit was we were work worked working works you".split()
+)
 #: Texts without any of these hold nothing disguised (for RE2, which is linear).
 TRIGGER = (
-    rf"(?i)[\[({{<] *(?:at|@|dot|punkt|point|punto|\.) *[\])}}>]| at +[a-z0-9-]+ +{_DOT_WORD} "
+    rf"(?i)[\[({{<] *(?:at|@|dot|punkt|point|punto|\.) *[\])}}>]| at +[a-z0-9-]+(?: +{_DOT_WORD} |\.[a-z0-9-])"
+    rf"|@[a-z0-9.-]+ +{_DOT_WORD} +[a-z0-9-]|[0-9] +{_DOT_WORD} +[0-9]"
     rf"|\b(?:{_WORD})(?:[ .,()-]{{1,3}}| +{_DOT_WORD} +)(?:{_WORD}|[0-9])"
     rf"|[0-9](?:[ .,()-]{{1,3}}| +{_DOT_WORD} +)(?:{_WORD})\b"
     r"|[\x{aa}\x{ad}\x{b2}\x{b3}\x{b7}\x{b9}\x{ba}]|[^\x{00}-\x{ff}]"
@@ -224,24 +242,36 @@ class Rewritten:
         self.replace(edits)
 
     def signs(self) -> None:
-        edits = [(*m.span(), "@" if m.group("at") else ".") for m in _SIGN.finditer(self.text)]
-        self.replace(edits)
+        self.replace([(*m.span(), "@" if m.group("at") else ".") for m in _SIGN.finditer(self.text)])
+        text = self.text
+        self.replace([
+            (*d.span(), ".") for m in _WORD_IP.finditer(text) for d in _BARE_DOT.finditer(text, *m.span())
+        ])
         edits, text = [], self.text
-        for m in _BARE_HOST.finditer(text):
-            here = []
+        for m in _HOST.finditer(text):
+            dots = [(*d.span(), ".") for d in _BARE_DOT.finditer(text, m.start() + 1, m.end())]
+            if not dots and not m.group("at"):
+                continue  # written plainly
+            here, floor = [], edits[-1][1] if edits else 0
             start = m.start()
             while True:  # names joined by dot words, from right to left
-                while start and text[start - 1] in _LOCAL:
+                while start > floor and text[start - 1] in _LOCAL:
                     start -= 1
                 dot = next((d for d in _DOT_BEFORE if text[max(0, start - len(d)):start].lower() == d), "")
-                if not dot or start - len(dot) <= (edits[-1][1] if edits else 0):
+                if not dot or start - len(dot) <= floor:
                     break
                 here.append((start - len(dot), start, "."))
                 start -= len(dot)
-            if start < m.start():
-                sign = re.compile("[ ]+at[ ]+", re.IGNORECASE).match(text, m.start()).span()
-                edits += here[::-1] + [(*sign, "@")]
-                edits += [(*d.span(), ".") for d in _BARE_DOT.finditer(text, sign[1], m.end())]
+            if start == m.start():
+                continue
+            if not dots and not here:
+                last = m.group("last")
+                if text[start:m.start()].lower() in _NO_NAME or not (last.isalpha() and len(last) > 1):
+                    continue
+            edits += here[::-1]
+            if m.group("at"):
+                edits.append((*_BARE_AT.match(text, m.start()).span(), "@"))
+            edits += dots
         self.replace(edits)
 
 
