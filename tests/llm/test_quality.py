@@ -201,3 +201,26 @@ def test_ranking_statistics_cover_all_rows(spark, monkeypatch):
     up, down = ([s for s, q in open_ if q == v] for v in (1, 0))
     balance = lambda t: np.mean([s >= t for s in up]) + np.mean([s < t for s in down])
     assert balance(pairrank.ACCEPT) >= max(balance(np.quantile([r["score"] for r in rows.values()], q)) for q in np.linspace(0.01, 0.99, 50)) - 0.02
+
+
+def test_sample_and_quartiles_of_the_ranking(spark, monkeypatch):
+    ids = spark.range(3000).withColumnRenamed("id", "doc_id")
+    monkeypatch.setattr(pairrank, "LABELLED", 100)
+    first = [r[0] for r in ids.orderBy(F.xxhash64("doc_id")).limit(100).collect()]
+    assert [r[0] for r in pairrank.first_labelled(ids).collect()] == first
+    one = spark.createDataFrame([(7,)] * 300, "doc_id long")
+    assert pairrank.first_labelled(one).count() == 100
+    assert pairrank.first_labelled(ids.limit(40)).count() == 40
+    monkeypatch.setattr(pairrank, "STRETCH", 64)
+    draw = np.random.default_rng(3)
+    values = np.stack([draw.integers(0, 10 ** (k % 6), 2000) for k in range(len(pairrank.RATES))], axis=1)
+    whole = spark.createDataFrame(values.tolist(), ", ".join(f"{r} long" for r in pairrank.RATES))
+    want = np.sort(values, axis=0)[[499, 999, 1499]].T
+    assert (pairrank.quartiles(whole, 2000) == want).all()
+
+
+def test_ranking_of_empty_tables(spark):
+    docs = documents(spark, [None, "some words here"])
+    labels = spark.createDataFrame([(0, 1)], "doc_id long, quality int")
+    assert pairrank.score(docs.limit(0), labels).count() == 0
+    assert [r["score"] for r in pairrank.score(docs, labels.limit(0)).collect()] == [0.5, 0.5]

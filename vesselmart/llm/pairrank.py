@@ -30,7 +30,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialised, word_array
-from .quality import _quantile_bins
 
 #: Most labelled documents the weights are fitted on.
 LABELLED = 20_000
@@ -39,6 +38,9 @@ PAIRS = 60_000
 ACCEPT = 0.7
 #: Rates are summed and counted as whole multiples of 1 / FINE, larger ones as LARGEST.
 FINE, LARGEST = 4096, 1 << 14
+#: Values counted together at first when quartiles are looked for.
+STRETCH = 1 << 13
+QUARTERS = (0.25, 0.5, 0.75)
 #: Bins of strengths in one unit; strengths beyond MOST either way count as that.
 BINS, MOST = 1024, 64
 RIDGE = 1e-2
@@ -121,9 +123,36 @@ def spread(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     # whole numbers up to the division, so that nothing cancels
     squares = [(n * int(sums[f"q_{r}"]) - int(sums[f"s_{r}"]) ** 2) / n**2 for r in RATES]
     scale = np.maximum(np.sqrt(squares) / FINE, 1e-6)
+    return scale, quartiles(whole, n) / FINE / scale[:, None]
+
+
+def quartiles(whole: DataFrame, n: int) -> np.ndarray:
+    """Per rate the lowest value at or below which each quarter of the ``n`` rows of
+    whole numbers lies.
+
+    Values are counted in stretches of ``STRETCH`` first, then one by one in the at
+    most three stretches a rate that hold its quartiles, so that no task and not
+    the driver gets more than ``LARGEST * FINE / STRETCH`` or ``STRETCH`` counts of each.
+    """
     long = whole.select(F.posexplode(F.array(*RATES)).alias("f", "bin"))
-    quartiles = {r["f"]: (r["q0"], r["q1"], r["q2"]) for r in _quantile_bins(long, ["f"], (0.25, 0.5, 0.75)).collect()}
-    return scale, np.array([quartiles[k] for k in range(len(RATES))]) / FINE / scale[:, None]
+    stretch = F.floor(F.col("bin") / STRETCH)
+    wide = long.groupBy("f", stretch.alias("bin")).count().toPandas().sort_values("bin")
+    found = {}
+    for f, some in wide.groupby("f"):
+        upto = some["count"].cumsum().to_numpy()
+        for k, share in enumerate(QUARTERS):
+            at = int(np.searchsorted(upto, n * share))
+            found[f, k] = (int(some["bin"].iloc[at]), int(upto[at] - some["count"].iloc[at]))
+    holds = F.lit(False)
+    for f, place in sorted({(f, place) for (f, _), (place, _) in found.items()}):
+        holds = holds | ((F.col("f") == f) & (stretch == place))
+    near = long.filter(holds).groupBy("f", "bin").count().toPandas().sort_values("bin")
+    out = np.zeros((len(RATES), len(QUARTERS)))
+    for (f, k), (place, below) in found.items():
+        some = near[(near["f"] == f) & (near["bin"] // STRETCH == place)]
+        upto = below + some["count"].cumsum().to_numpy()
+        out[f, k] = some["bin"].iloc[int(np.searchsorted(upto, n * QUARTERS[k]))]
+    return out
 
 
 def fit(x: np.ndarray, good: np.ndarray, scale: np.ndarray | None = None, knots: np.ndarray | None = None) -> Ranking:
@@ -132,7 +161,7 @@ def fit(x: np.ndarray, good: np.ndarray, scale: np.ndarray | None = None, knots:
         scale = np.maximum(x.std(axis=0), 1e-6) if len(x) else np.ones(len(RATES))
     z = x / scale
     if knots is None:
-        knots = np.quantile(z, (0.25, 0.5, 0.75), axis=0).T if len(x) else np.zeros((len(RATES), 3))
+        knots = np.quantile(z, QUARTERS, axis=0).T if len(x) else np.zeros((len(RATES), 3))
     flat = Ranking(scale, knots, np.zeros((len(RATES), 4)), 0.0, False)
     up, down = np.flatnonzero(good == 1), np.flatnonzero(good == 0)
     if not len(up) or not len(down):
@@ -171,6 +200,23 @@ def dividing(rows: DataFrame, known: DataFrame, model: Ranking) -> float:
     return float(bins["bin"].to_numpy()[at[best[len(best) // 2]]]) / BINS
 
 
+def first_labelled(labelled: DataFrame) -> DataFrame:
+    """The ``LABELLED`` rows whose id has the lowest hash.
+
+    Of more rows, those above a bound on the hash that leaves a quarter more than
+    asked for go first, so that tasks hand few more rows to the driver than it
+    keeps, however many partitions there are.
+    """
+    key = F.xxhash64("doc_id")
+    n = labelled.count()
+    if n > LABELLED:
+        bound = -(1 << 63) + ((1 << 64) * LABELLED * 5 // (4 * n))
+        few = labelled.filter(key <= F.lit(min(bound, (1 << 63) - 1)))
+        # repeated ids share a hash: where they leave too few, the bound goes
+        labelled = few if few.count() >= LABELLED else labelled
+    return labelled.orderBy(key, "doc_id").limit(LABELLED)
+
+
 def held_out(doc_id: Column) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4)) == 2
 
@@ -181,8 +227,7 @@ def score(documents: DataFrame, labels: DataFrame, label: str = "quality") -> Da
     known = labels.filter(F.col(label).isNotNull()).groupBy("doc_id").agg(F.min(label).alias("label"))
     known = known.filter(~held_out(F.col("doc_id")))
     scale, knots = spread(rows)
-    sample = rows.join(known, "doc_id")
-    sample = sample.orderBy(F.xxhash64("doc_id"), "doc_id").limit(LABELLED).toPandas()
+    sample = first_labelled(rows.join(known, "doc_id")).toPandas()
     model = fit(sample[list(RATES)].to_numpy(np.float64), sample["label"].to_numpy(), scale, knots)
     if model.fitted:
         model.threshold = dividing(rows, known, model)
