@@ -1,8 +1,10 @@
 """Ids, look-ups, merges and shapes on small fixtures, against brute force."""
 
 import random
+from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -318,6 +320,55 @@ def test_wkb_both_byte_orders(spark):
         bad.select(wkb.wkb_to_line("b")).collect()
 
 
+@pytest.mark.parametrize("scale", [1.0, 0.1, 1e-7, 1e-200])
+def test_hull_is_that_of_exact_numbers(scale):
+    draw = np.random.default_rng(5)
+    for n in (3, 8, 100, 700):
+        pts = draw.integers(-9, 9, (n, 2)) * scale
+        exact = {tuple(p): (Fraction(p[0]), Fraction(p[1])) for p in pts.tolist()}
+
+        def chain(order, exact=exact):
+            out = []
+            for p in order:
+                while len(out) > 1:
+                    (ax, ay), (bx, by), (px, py) = exact[out[-2]], exact[out[-1]], exact[p]
+                    if (bx - ax) * (py - ay) > (by - ay) * (px - ax):
+                        break
+                    out.pop()
+                out.append(p)
+            return out[:-1]
+
+        ring = chain(sorted(exact)) + chain(sorted(exact, reverse=True))
+        got = [tuple(p) for p in hull_ring(pts).tolist()]
+        assert got == (ring + ring[:1] if len(ring) > 2 else ring)
+    with pytest.raises(ValueError):
+        hull_ring(np.array([[0.0, 0.0], [1.0, np.nan], [2.0, 5.0]]))
+
+
+def test_wkb_buffers():
+    import struct
+
+    kind = pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())]))
+    lines = pa.array([[{"x": 1.0, "y": 2.0}, {"x": 3.0, "y": 4.0}], None, [], [{"x": -1.5, "y": 0.0}]], kind)
+    for part in (lines, lines.slice(1), lines.slice(2, 1), lines.slice(1, 1), lines.slice(4)):
+        made = wkb._encoder(wkb.WKB_LINE)(part)
+        want = [None if v is None else [(p["x"], p["y"]) for p in v] for v in part.to_pylist()]
+        assert made.to_pylist() == [
+            None if v is None else struct.pack("<BII", 1, 2, len(v)) + b"".join(struct.pack("<2d", *p) for p in v)
+            for v in want
+        ]
+        sizes, points, null = wkb._decoded(made)
+        assert sizes.tolist() == [len(v or ()) for v in want] and null.tolist() == [v is None for v in want]
+        assert [tuple(p) for p in points.tolist()] == [p for v in want for p in v or ()]
+    big = struct.pack(">BIII4d", 0, 2 | 0x20000000, 4326, 2, 1, 2, 3, 4)
+    behind = struct.pack("<BI2d", 1, 1, 5, 6) + b"more"
+    sizes, points, _ = wkb._decoded(pa.array([big, None, behind, big], pa.binary()))
+    assert sizes.tolist() == [2, 0, 1, 2] and points.ravel().tolist() == [1, 2, 3, 4, 5, 6, 1, 2, 3, 4]
+    for short in (b"", b"\x01\x02", struct.pack("<BI", 1, 2), big[:-1], struct.pack("<BII", 1, 2, 4_000_000_000)):
+        with pytest.raises(ValueError):
+            wkb._decoded(pa.array([big, short], pa.binary()))
+
+
 def test_first_load_of_a_key_counts(spark, wh):
     rows = [
         (501, None, 2, "ship", True, True, None, 9), (501, None, 1, "ship", True, True, None, 8),

@@ -42,19 +42,29 @@ g as (select a.traj_id, a.x as ax, a.y as ay, b.x as qx, b.y as qy,
         or (q.x - b.x) * (a.x - b.x) + (q.y - b.y) * (a.y - b.y) < 0) then 1 else 0 end) as beyond
   from u a join u b on a.traj_id = b.traj_id and (a.x, a.y) <> (b.x, b.y)
     join u q on q.traj_id = a.traj_id group by all)
-select traj_id, round(sum(ax * qy - qx * ay) / 2e8, 6) + 0.0e0 as area
-from g where side >= 0 and beyond = 0 group by 1""")
+select traj_id, ax as x, ay as y,
+  round(sum(ax * qy - qx * ay) over (partition by traj_id) / 2e8, 6) + 0.0e0 as area
+from g where side >= 0 and beyond = 0""")
 def convex_hull(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Area of each hull (a line that collapses to a segment has none)."""
-    hulls = objects(spark, sf_dir).select("traj_id", G.convex_hull("geom").alias("h"))
+    """Corners and area of each hull (a line that collapses to a segment has no area).
+
+    Points are taken in whole ten-thousandths, so that points on one line are so
+    in both engines.
+    """
+    whole = F.transform("geom", lambda p: F.struct(
+        F.round(p["x"] * 10000).alias("x"), F.round(p["y"] * 10000).alias("y")
+    ))
+    hulls = objects(spark, sf_dir).select("traj_id", whole.alias("geom"))
+    hulls = hulls.select("traj_id", G.convex_hull("geom").alias("h")).filter(F.size("h") > 1)
     head, tail = F.expr("slice(h, 1, size(h) - 1)"), F.expr("slice(h, 2, size(h) - 1)")
-    area = F.aggregate(
+    doubled = F.aggregate(
         F.zip_with(head, tail, lambda a, b: a["x"] * b["y"] - b["x"] * a["y"]), F.lit(0.0),
         lambda total, v: total + v,
     )
-    return hulls.filter(F.size("h") > 1).select(
-        "traj_id",
-        (F.when(F.size("h") == 2, 0.0).otherwise(F.round(area / 2, 6)) + 0.0).alias("area"),
+    corners = F.when(F.size("h") == 2, F.col("h")).otherwise(head)
+    area = F.when(F.size("h") == 2, 0.0).otherwise(F.round(doubled / 2e8, 6)) + 0.0
+    return hulls.select("traj_id", area.alias("area"), F.explode(corners).alias("p")).select(
+        "traj_id", F.col("p.x").cast("bigint").alias("x"), F.col("p.y").cast("bigint").alias("y"), "area"
     )
 
 

@@ -91,26 +91,54 @@ def line_wkt(line: Arg) -> Column:
 
 
 def hull_ring(pts: np.ndarray) -> np.ndarray:
-    """Convex hull: a closed ring, or the segment or point it collapses to."""
-    pts = np.unique(pts, axis=0)  # sorted by x, then y
-    if len(pts) < 3:
-        return pts
-
-    exact = _whole(pts.tolist())
+    """Convex hull: a closed ring, or the segment or point it collapses to.
 
-    def chain(order: range) -> list[int]:
-        out: list[int] = []
-        for n in order:
-            while len(out) > 1 and _turn(exact[out[-2]], exact[out[-1]], exact[n]) <= 0:
+    Turns are judged in floating point; only where rounding leaves the sign in
+    doubt are the three points compared as whole numbers.
+    """
+    if len(pts) > 64:
+        pts = _outer(pts)
+    corners = sorted(set(map(tuple, pts.tolist())))
+    if len(corners) < 3:
+        return np.array(corners, float).reshape(-1, 2)
+    if not np.isfinite(pts).all():
+        raise ValueError("a hull needs finite coordinates")
+
+    def chain(points: list) -> list:
+        out: list = []
+        for px, py in points:
+            while len(out) > 1:
+                (ax, ay), (bx, by) = out[-2], out[-1]
+                left, right = (bx - ax) * (py - ay), (by - ay) * (px - ax)
+                turn = left - right
+                if abs(turn) <= _ROUNDING * (abs(left) + abs(right)) + _TINY:
+                    turn = _turn(*_whole([out[-2], out[-1], (px, py)]))
+                if turn > 0:
+                    break
                 out.pop()
-            out.append(n)
+            out.append((px, py))
         return out
 
-    ring = chain(range(len(pts)))[:-1] + chain(range(len(pts) - 1, -1, -1))[:-1]
-    return pts[ring if len(ring) < 3 else [*ring, ring[0]]]
+    ring = chain(corners)[:-1] + chain(corners[::-1])[:-1]
+    return np.array(ring if len(ring) < 3 else [*ring, ring[0]])
+
+
+def _outer(pts: np.ndarray) -> np.ndarray:
+    """The points but for those clearly inside the octagon of the outermost ones."""
+    x, y = pts[:, 0], pts[:, 1]
+    at = [np.argmax(v) for v in (x, x + y, y, y - x, -x, -x - y, -y, x - y)]
+    inside = np.ones(len(pts), bool)
+    for a, b in zip(at, [*at[1:], at[0]]):
+        if (x[a], y[a]) == (x[b], y[b]):
+            continue
+        left, right = (x[b] - x[a]) * (y - y[a]), (y[b] - y[a]) * (x - x[a])
+        inside &= left - right > _ROUNDING * (np.abs(left) + np.abs(right)) + _TINY
+    # all in one place: nothing is clear
+    return pts[~inside] if len(set(at)) > 2 else pts
 
 
 _ROUNDING = 4e-16  # bound on the relative rounding error of an orientation sum
+_TINY = 1e-290  # below this, products may have lost digits whatever their size
 
 
 def _whole(points: list) -> list[tuple[int, int]]:
