@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vesselmart.operators import dimension as dims
+from vesselmart.operators import geometry
 from vesselmart.operators.geometry import centroid, hull_ring, simplify_line
 from vesselmart.operators.ids import SequenceOverflow, number_rows
 from vesselmart.operators.expanders import expand_time_ids
@@ -345,6 +346,45 @@ def test_hull_is_that_of_exact_numbers(scale):
         hull_ring(np.array([[0.0, 0.0], [1.0, np.nan], [2.0, 5.0]]))
 
 
+def _simplified_plainly(pts, tolerance):
+    """The same sections, each tested against every other segment."""
+    line, flat, kept, todo = set(range(len(pts) - 1)), [], [0], [(0, len(pts) - 1)]
+    while todo:
+        i, j = todo.pop()
+        away = geometry._distances(pts[i + 1:j], pts[i], pts[j]) if j > i + 1 else np.zeros(1)
+        if j == i + 1:
+            kept.append(j)
+            continue
+        others = [(k, k + 1) for k in sorted(line - set(range(i, j)))] + flat
+        ends = np.array(others, int).reshape(-1, 2)
+        if away.max() <= tolerance and not geometry._interior_hit(pts[i], pts[j], pts[ends[:, 0]], pts[ends[:, 1]]):
+            line -= set(range(i, j))
+            flat.append((i, j))
+            kept.append(j)
+        else:
+            middle = i + 1 + int(away.argmax())
+            todo += [(middle, j), (i, middle)]
+    return pts[kept]
+
+
+def test_simplification_of_long_lines(monkeypatch):
+    rng = np.random.default_rng(8)
+    angle = np.linspace(0, 40, 900)
+    lines = [
+        np.cumsum(rng.normal(0, 0.05, (900, 2)), axis=0),
+        np.cumsum(rng.normal(0, 0.005, (900, 2)), axis=0),
+        rng.integers(0, 40, (500, 2)) / 20.0,
+        np.stack([np.cos(angle), np.sin(angle)], axis=1) * angle[:, None] / 20,  # a spiral, turns close together
+        np.repeat([[0.0, 0.0], [1.0, 1.0]], 200, axis=0),
+    ]
+    for n, pts in enumerate(lines):
+        want = _simplified_plainly(pts, 0.1).tolist()
+        for few in (-1, 24, 10_000):
+            with monkeypatch.context() as patch:
+                patch.setattr(geometry, "_FEW", few)
+                assert simplify_line(pts, 0.1).tolist() == want, (n, few)
+
+
 def test_wkb_buffers():
     import struct
 

@@ -181,13 +181,48 @@ def _distances(pts: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.where(along <= 0, to_a, np.where(along >= 1, to_b, across))
 
 
+def _sign(a: tuple, b: tuple, c: tuple) -> int:
+    """As :func:`_turn`, on floating-point numbers without their rounding."""
+    if c == a or c == b:
+        return 0
+    left, right = (b[0] - a[0]) * (c[1] - a[1]), (b[1] - a[1]) * (c[0] - a[0])
+    if abs(left - right) > _ROUNDING * (abs(left) + abs(right)) + _TINY:
+        return 1 if left > right else -1
+    return _turn(*_whole([a, b, c]))
+
+
+def _within(p: tuple, q: tuple, r: tuple) -> bool:
+    """r lies on p-q, apart from the ends (r known to be on the line)."""
+    return (
+        r != p and r != q and min(p[0], q[0]) <= r[0] <= max(p[0], q[0])
+        and min(p[1], q[1]) <= r[1] <= max(p[1], q[1])
+    )
+
+
+def _meet(a: tuple, b: tuple, p: tuple, q: tuple) -> bool:
+    """:func:`_interior_hit` of one segment p-q."""
+    if (a, b) == (p, q) or (a, b) == (q, p):
+        return True
+    d1, d2, d3, d4 = _sign(a, b, p), _sign(a, b, q), _sign(p, q, a), _sign(p, q, b)
+    if d1 * d2 < 0 and d3 * d4 < 0:
+        return True
+    return (
+        d1 == 0 and _within(a, b, p) or d2 == 0 and _within(a, b, q)
+        or d3 == 0 and _within(p, q, a) or d4 == 0 and _within(p, q, b)
+    )
+
+
+_FEW = 24  # segments up to which one by one is faster than as arrays
+
+
 def _interior_hit(a, b, starts: np.ndarray, ends: np.ndarray) -> bool:
     """Is a-b one of the segments, or does it meet one at a point inside either of the two?
 
     Sharing just an end point is no hit.
     """
-    if not len(starts):
-        return False
+    if len(starts) <= _FEW:
+        one, two = tuple(a.tolist()), tuple(b.tolist())
+        return any(_meet(one, two, tuple(p), tuple(q)) for p, q in zip(starts.tolist(), ends.tolist()))
     forth = (starts == a).all(axis=1) & (ends == b).all(axis=1)
     back = (starts == b).all(axis=1) & (ends == a).all(axis=1)
     if (forth | back).any():
@@ -215,6 +250,48 @@ def _interior_hit(a, b, starts: np.ndarray, ends: np.ndarray) -> bool:
     return bool(touch.any())
 
 
+_SPAN = 128  # segments under one box
+
+
+class _Segments:
+    """Segments by number, with the box of every ``_SPAN`` neighbours.
+
+    Neighbours on a line lie close together, so a search by box looks at few spans.
+    """
+
+    def __init__(self, size: int):
+        spans = -(-size // _SPAN)
+        self.starts, self.ends = np.zeros((2, spans * _SPAN, 2))
+        self.low, self.high = np.full((spans * _SPAN, 2), np.inf), np.full((spans * _SPAN, 2), -np.inf)
+        self.span_low, self.span_high = np.full((spans, 2), np.inf), np.full((spans, 2), -np.inf)
+
+    @classmethod
+    def of_line(cls, pts: np.ndarray) -> _Segments:
+        made, n = cls(len(pts) - 1), len(pts) - 1
+        made.starts[:n], made.ends[:n] = pts[:-1], pts[1:]
+        made.low[:n], made.high[:n] = np.minimum(pts[:-1], pts[1:]), np.maximum(pts[:-1], pts[1:])
+        made.span_low = made.low.reshape(-1, _SPAN, 2).min(axis=1)
+        made.span_high = made.high.reshape(-1, _SPAN, 2).max(axis=1)
+        return made
+
+    def put(self, k: int, a: np.ndarray, b: np.ndarray) -> None:
+        self.starts[k], self.ends[k] = a, b
+        self.low[k], self.high[k] = np.minimum(a, b), np.maximum(a, b)
+        span = k // _SPAN
+        self.span_low[span] = np.minimum(self.span_low[span], self.low[k])
+        self.span_high[span] = np.maximum(self.span_high[span], self.high[k])
+
+    def drop(self, i: int, j: int) -> None:
+        self.low[i:j] = np.inf
+
+    def near(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Numbers of the segments whose box meets that of a-b."""
+        low, high = np.minimum(a, b), np.maximum(a, b)
+        spans = np.flatnonzero(((self.span_low <= high) & (self.span_high >= low)).all(axis=1))
+        at = (spans[:, None] * _SPAN + np.arange(_SPAN)).ravel()
+        return at[((self.low[at] <= high) & (self.high[at] >= low)).all(axis=1)]
+
+
 def simplify_line(pts: np.ndarray, tolerance: float) -> np.ndarray:
     """Points kept so that the line stays within the tolerance and gains no crossing.
 
@@ -224,9 +301,8 @@ def simplify_line(pts: np.ndarray, tolerance: float) -> np.ndarray:
     n = len(pts)
     if n < 3:
         return pts
-    starts, ends = pts[:-1], pts[1:]
-    alive = np.ones(n - 1, dtype=bool)  # original segments not yet replaced
-    flat: list[tuple[int, int]] = []  # segments that replaced a section
+    line = _Segments.of_line(pts)  # original segments not yet replaced
+    flat = _Segments(n - 1)  # segments that replaced a section, by its first point
     kept = [0]
     todo = [(0, n - 1)]
     while todo:
@@ -234,18 +310,18 @@ def simplify_line(pts: np.ndarray, tolerance: float) -> np.ndarray:
         if j == i + 1:
             kept.append(j)
             continue
-        away = _distances(pts[i + 1 : j], pts[i], pts[j])
+        a, b = pts[i], pts[j]
+        away = _distances(pts[i + 1 : j], a, b)
         far = int(away.argmax())
         if away[far] <= tolerance:
-            others = alive.copy()
-            others[i:j] = False
-            if not _interior_hit(pts[i], pts[j], starts[others], ends[others]) and not (
-                flat and _interior_hit(
-                    pts[i], pts[j], pts[[a for a, _ in flat]], pts[[b for _, b in flat]]
-                )
+            others = line.near(a, b)
+            others = others[(others < i) | (others >= j)]
+            before = flat.near(a, b)
+            if not _interior_hit(a, b, line.starts[others], line.ends[others]) and not _interior_hit(
+                a, b, flat.starts[before], flat.ends[before]
             ):
-                alive[i:j] = False
-                flat.append((i, j))
+                line.drop(i, j)
+                flat.put(i, a, b)
                 kept.append(j)
                 continue
         middle = i + 1 + far
