@@ -76,6 +76,30 @@ def simplified_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("traj_id", F.size("geom").alias("points"), F.size("s").alias("kept"))
 
 
+@query(LINES + """
+select traj_id, cast(len(geom) as bigint) as points, geom[1].x as x1, geom[1].y as y1, geom[-1].x as x2,
+  geom[-1].y as y2, true as in_order, true as near from o where len(geom) >= 2""")
+def simplified_within(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ends of the simplified line; whether its points are some of the line's in their
+    order, and whether no point of the line is over the tolerance off it."""
+    rows = objects(spark, sf_dir).filter(F.size("geom") >= 2).select(
+        "traj_id", "geom", G.simplify_preserve_topology("geom", 0.1).alias("s")
+    )
+    matched = F.expr("aggregate(geom, 0, (k, p) -> if(try_element_at(s, k + 1) <=> p, k + 1, k))")
+    rows = rows.withColumn("parts", F.expr("zip_with(slice(s, 1, size(s) - 1), slice(s, 2, size(s) - 1), "
+        "(a, b) -> struct(a.x AS x, a.y AS y, b.x - a.x AS dx, b.y - a.y AS dy, "
+        "greatest((b.x - a.x) * (b.x - a.x) + (b.y - a.y) * (b.y - a.y), 1e-300) AS square))"))
+    along = "greatest(0D, least(1D, ((p.x - e.x) * e.dx + (p.y - e.y) * e.dy) / e.square))"
+    off = "+".join(f"power(p.{v} - e.{v} - e.d{v} * {along}, 2)" for v in "xy")
+    near = F.expr(f"forall(geom, p -> exists(parts, e -> {off} <= 0.01D + 1e-9D))")
+    first, last = G.start_point("s"), G.end_point("s")
+    return rows.select(
+        "traj_id", F.size("geom").cast("bigint").alias("points"), G.point_x(first).alias("x1"),
+        G.point_y(first).alias("y1"), G.point_x(last).alias("x2"), G.point_y(last).alias("y2"),
+        (matched == F.size("s")).alias("in_order"), near.alias("near"),
+    )
+
+
 @query(LINES + """
 select traj_id, cast(len(geom) as bigint) as points, geom[1].x as x1, geom[1].y as y1, geom[-1].x as x2,
   geom[-1].y as y2, len(geom) >= 2 as is_line, true as same_ends from o""")
