@@ -319,6 +319,19 @@ def test_whole_number_modulo_is_exact(spark):
     assert got == [a % b for a, b in pairs]
 
 
+def test_modulo_of_whole_numbers_beyond_64_bits(spark, tmp_path):
+    from vesselmart.catalog import QUERIES
+
+    parts = [0, 1000, 2024, 2025, 19999, 7_200_000]
+    data = [(k, n, p, 4 + n) for k, p in enumerate(parts) for n in (1, 2)]
+    kinds = "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint"
+    spark.createDataFrame(data, kinds).write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = {(r.l_orderkey, r.l_linenumber): r.m_int for r in QUERIES["floor_modulo"](spark, str(tmp_path)).collect()}
+    assert got == {
+        (k, n): (p - 1000) * (2**53 + 1) % (7 if s % 2 == 0 else -7) for k, n, p, s in data
+    }
+
+
 def test_chain_key_grows_with_its_levels(spark):
     df = spark.range(1)
     sizes = []

@@ -240,11 +240,12 @@ from (select l_orderkey, l_linenumber, l_partkey - 1000.0e0 as a,
     cast(case when l_suppkey % 2 = 0 then 7 else -7 end as hugeint) as d from lineitem) t""")
 def floor_modulo(spark: SparkSession, sf_dir: str) -> DataFrame:
     even = F.col("l_suppkey") % 2 == 0
-    whole = (F.col("l_partkey") - 1000) * (2**53 + 1)
+    # beyond 64 bits from part 2024 on
+    whole = (F.col("l_partkey") - 1000).cast("decimal(19,0)") * F.lit(2**53 + 1).cast("decimal(18,0)")
     return table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber",
         V.modulo(F.col("l_partkey") - 1000.0, F.when(even, 7.0).otherwise(-7.0)).alias("m"),
-        V.modulo_int(whole, F.when(even, 7).otherwise(-7)).alias("m_int"),
+        V.modulo_int(whole, F.when(even, 7).otherwise(-7), "decimal(38,0)").cast("bigint").alias("m_int"),
     )
 
 

@@ -153,9 +153,10 @@ def grid_id_to_wgs84_envelope(grid_id: Arg, cell_width: Arg, cell_height: Arg) -
     )
 
 
-def modulo_int(a: Arg, b: Arg) -> Column:
-    """As :func:`modulo` for whole numbers, exact over all 64 bits."""
-    n, d = big(a), big(b)
+def modulo_int(a: Arg, b: Arg, kind: str = "bigint") -> Column:
+    """As :func:`modulo` for whole numbers, exact over all 64 bits; over 38 digits
+    if worked out in the ``kind`` ``decimal(38,0)``."""
+    n, d = col(a).cast(kind), col(b).cast(kind)
     rest = n % d
     return F.when((rest != 0) & ((rest < 0) != (d < 0)), rest + d).otherwise(rest)
 
