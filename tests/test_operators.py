@@ -422,3 +422,34 @@ def test_first_load_of_a_key_counts(spark, wh):
         dims.load_dimension(
             wh, wh.next_batch(), spark.createDataFrame(rows, VESSELS + ", load_id bigint"), dims.VESSEL
         )
+
+
+def _reports(spark, folder, rows):
+    from datetime import datetime
+
+    data = [(e, datetime(2024, 1, d, 5), u, "view", v, "{}") for e, d, u, v in rows]
+    kinds = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
+    spark.createDataFrame(data, kinds).write.parquet(f"{folder}/events.parquet")
+    return str(folder)
+
+
+def test_files_of_every_kind_come_from_several_tasks(spark, tmp_path, monkeypatch):
+    from vesselmart.catalog import QUERIES, loads
+
+    folder = _reports(spark, tmp_path, [(e, 1 + e % 28, e % 9, e / 4) for e in range(900)])
+    offered = []
+    asked = loads.conformance
+    monkeypatch.setattr(loads, "conformance", lambda spark, paths: offered.extend(paths) or asked(spark, paths))
+    held = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.files.openCostInBytes", str(1 << 30))  # a file a task
+    try:
+        got = QUERIES["file_conformance"](spark, folder).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.files.openCostInBytes", held)
+    assert len([p for p in offered if "/_set aside/" in p]) > 1
+    assert {(r.folder, r.compatible, r.missing, r.hidden) for r in got} == {
+        ("as it should be", True, 0, False), ("50%20 off+more", True, 0, False), ("lacks two", False, 2, False),
+        ("no table", False, 79, False), ("other name", False, 79, False), ("_set aside", True, 0, True),
+    }

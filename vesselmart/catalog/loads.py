@@ -686,16 +686,18 @@ def file_conformance(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..samples import objects
 
     root = scratch_dir(spark, "conformance")
-    rows = objects(spark, sf_dir).drop("week")
-    rows.write.parquet(f"{root}/as it should be")
+    made = objects(spark, sf_dir).drop("week")
+    made.write.parquet(f"{root}/as it should be")
+    # the objects are made once, and read for the others
+    rows = spark.read.schema(made.schema).parquet(f"{root}/as it should be")
     rows.withColumn("more", F.lit(1)).write.parquet(f"{root}/50%20 off+more")
     rows.drop("mmsi", "geom").write.parquet(f"{root}/lacks two")
     rows.select("vessel_name").write.option("header", True).csv(f"{root}/no table")
     rows.write.orc(f"{root}/other name")
-    rows.coalesce(1).write.parquet(f"{root}/_set aside")
+    rows.write.parquet(f"{root}/_set aside")
     folders = ("as it should be", "50%20 off+more", "lacks two", "no table", "other name")
     paths = [p for f in folders for p in list_files(spark, f"{root}/{f}") if "/part-" in p]
-    # a file under a name that Spark's readers pass over
+    # files under names that Spark's readers pass over
     paths += [under_hidden_name(spark, p) for p in list_files(spark, f"{root}/_set aside") if "/part-" in p]
     folder = F.element_at(F.split("path", "/"), -2)
     return conformance(spark, paths).select(
