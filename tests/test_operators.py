@@ -424,6 +424,21 @@ def test_first_load_of_a_key_counts(spark, wh):
         )
 
 
+def test_short_lines_are_simplified_without_arrays(monkeypatch):
+    rng = np.random.default_rng(5)
+    lines = [rng.integers(0, 6, (n, 2)).astype(float) for n in range(3, 33)]
+    lines += [np.cumsum(rng.normal(0, 0.05, (n, 2)), axis=0) for n in range(3, 33)]
+    lines += [np.column_stack([x := np.round(rng.normal(0, 1, 12), 1), x / 2]) for _ in range(5)]
+    with monkeypatch.context() as patch:
+        patch.setattr(geometry, "_SHORT", 0)
+        patch.setattr(geometry, "_NEAR", 0)
+        want = [simplify_line(pts, 0.1).tolist() for pts in lines]
+    with monkeypatch.context() as patch:
+        patch.setattr(geometry, "_distances", None)
+        patch.setattr(geometry, "_Segments", None)
+        assert [simplify_line(pts, 0.1).tolist() for pts in lines] == want
+
+
 def _reports(spark, folder, rows):
     from datetime import datetime
 
@@ -433,6 +448,27 @@ def _reports(spark, folder, rows):
     return str(folder)
 
 
+def test_objects_group_report_ids_only(spark, tmp_path):
+    from vesselmart.samples import objects
+
+    folder = _reports(spark, tmp_path, [
+        (9, 1, 4, 2.5), (3, 2, 4, 7.25), (3, 2, 4, 7.25), (1200, 3, 4, 0.5),
+        (None, 1, 7, 1.0), (None, 2, 7, 3.0), (5, 1, None, 1.0), (6, 1, None, 2.0),
+    ])
+    made = objects(spark, folder)
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list(event_id" in plan and "collect_list(struct" not in plan
+    got = {r.mmsi: r for r in made.collect()}
+
+    def place(user, event):
+        return 8.0 + user % 40 / 10.0 + event * 7919 % 1000 / 10000.0, 54.0 + user % 30 / 10.0 + event * 104729 % 1000 / 10000.0
+
+    assert [tuple(p) for p in got[219000004].geom] == [place(4, e) for e in (3, 3, 9, 1200)]
+    assert [tuple(p) for p in got[219000007].geom] == [(None, None)] * 2
+    assert [tuple(p) for p in got[None].geom] == [(None, None)] * 2
+    assert (str(got[219000004].sog_max), str(got[219000004].sog_min), str(got[219000004].sog_avg)) == ("7.2", "0.5", "4.3")
+
+
 def test_files_of_every_kind_come_from_several_tasks(spark, tmp_path, monkeypatch):
     from vesselmart.catalog import QUERIES, loads
 

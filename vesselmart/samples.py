@@ -6,6 +6,8 @@ week, a trajectory object with every column a trajectory file must have.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,10 +39,15 @@ def pings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         "event_id", "user_id", "ts", F.round(F.col("value") * 100).cast("bigint").alias("cents"),
         week.alias("week"), (idiv(F.col("event_id"), CUT) * 5 + week).alias("period"),
-        (8.0 + (F.col("user_id") % 40) / 10.0 + (F.col("event_id") * 7919 % 1000) / 10000.0)
-        .alias("lon"),
-        (54.0 + (F.col("user_id") % 30) / 10.0 + (F.col("event_id") * 104729 % 1000) / 10000.0)
-        .alias("lat"),
+        *[c.alias(n) for n, c in zip(("lon", "lat"), _place(F.col("user_id"), F.col("event_id")))],
+    )
+
+
+def _place(user: Column, event: Column) -> tuple[Column, Column]:
+    """Longitude and latitude of a report."""
+    return (
+        8.0 + (user % 40) / 10.0 + (event * 7919 % 1000) / 10000.0,
+        54.0 + (user % 30) / 10.0 + (event * 104729 % 1000) / 10000.0,
     )
 
 
@@ -50,11 +57,17 @@ def _label(text: str, number: Column) -> Column:
 
 def _tenths(number: Column) -> Column:
     """Exact one-place decimal from a whole number of tenths."""
-    return (number.cast("decimal(12,1)") / 10).cast("decimal(10,1)")
+    return (number.cast("decimal(11,0)") * F.lit(Decimal("0.1"))).cast("decimal(10,1)")
 
 
 def _grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    point = F.struct(F.col("lon").alias("x"), F.col("lat").alias("y"))
+    def point(event: Column) -> Column:
+        lon, lat = _place(F.col("user_id"), event)
+        return F.struct(lon.alias("x"), lat.alias("y"))
+
+    # a report's id tells its place, so only ids are grouped; those without one come first
+    unnumbered = F.array_repeat(point(F.lit(None).cast("bigint")), F.col("unnumbered").cast("int"))
+    line = F.concat(unnumbered, F.transform(F.sort_array("ids"), point))
     return (
         pings(spark, sf_dir).groupBy("user_id", "week", "period")
         .agg(
@@ -63,12 +76,12 @@ def _grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
             idiv(idiv(F.sum("cents"), F.count(F.lit(1))), 10).alias("mean"),
             idiv(F.min_by("cents", "event_id"), 10).alias("first"),
             idiv(F.max_by("cents", "event_id"), 10).alias("last"),
-            F.transform(
-                F.array_sort(F.collect_list(F.struct("event_id", point.alias("p")))),
-                lambda e: e["p"],
-            ).alias("geom"),
+            F.collect_list("event_id").alias("ids"),
+            F.count_if(F.col("event_id").isNull()).alias("unnumbered"),
         )
         .filter("n >= 2")
+        .withColumn("geom", line)
+        .drop("ids", "unnumbered")
     )
 
 
